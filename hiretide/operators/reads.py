@@ -35,11 +35,18 @@ def job_filters(company: str | None = None, location: str | None = None,
     return given
 
 
-def newest_page(jobs: DataFrame, filters: list[Column], limit: int, offset: int) -> DataFrame:
+def matching_jobs(jobs: DataFrame, filters: list[Column]) -> DataFrame:
+    return jobs.where(reduce(Column.__and__, filters)) if filters else jobs
+
+
+def check_page(limit: int, offset: int) -> None:
     check_range("limit", limit, 1, 200)
     check_range("offset", offset, 0)
-    found = jobs.where(reduce(Column.__and__, filters)) if filters else jobs
-    return newest_first(found).offset(offset).limit(limit)
+
+
+def newest_page(jobs: DataFrame, filters: list[Column], limit: int, offset: int) -> DataFrame:
+    check_page(limit, offset)
+    return newest_first(matching_jobs(jobs, filters)).offset(offset).limit(limit)
 
 
 def search_jobs(jobs: DataFrame, company: str | None = None, location: str | None = None,

@@ -13,24 +13,27 @@ def tech_trend(df: DataFrame, window_sec: int = 300, time_col: str = "ingested_a
     ``explode_outer`` keeps Catalyst from adding a "tags are not empty" filter
     below it, which would work out all tags of a row a second time.
     """
-    timed = df.withWatermark(time_col, watermark) if watermark else df
-    tagged = timed.select(time_col, F.explode_outer("techs").alias("tech"))
-    return _count(tagged.where(F.col("tech").isNotNull()), "tech", window_sec, time_col)
+    timed = _windowed(df, window_sec, time_col, watermark)
+    tagged = timed.select("window", F.explode_outer("techs").alias("tech"))
+    return _count(tagged.where(F.col("tech").isNotNull()), "tech", window_sec)
 
 
 def role_trend(df: DataFrame, window_sec: int = 300, time_col: str = "ingested_at",
                watermark: str | None = None) -> DataFrame:
     """Postings per window and role category; a posting without time counts nowhere."""
+    return _count(_windowed(df, window_sec, time_col, watermark), "role_category", window_sec)
+
+
+def _windowed(df: DataFrame, window_sec: int, time_col: str, watermark: str | None) -> DataFrame:
+    if window_sec < 1:
+        raise ValueError("window_sec must be at least 1")
     timed = df.withWatermark(time_col, watermark) if watermark else df
-    return _count(timed, "role_category", window_sec, time_col)
+    return timed.withColumn("window", F.window(time_col, f"{window_sec} seconds"))
 
 
-def _count(df: DataFrame, key: str, window_sec: int, time_col: str) -> DataFrame:
+def _count(windowed: DataFrame, key: str, window_sec: int) -> DataFrame:
     # Counted within each task before the shuffle, so a window or key that holds
     # most rows sends one row per task.
-    if window_sec < 1:
-        raise ValueError("window_sec must be at least 1")
-    counted = df.groupBy(F.window(time_col, f"{window_sec} seconds"), key).count()
-    return counted.select(F.col("window.start").alias("window_start"),
-                          F.col("window.end").alias("window_end"),
-                          F.lit(window_sec).cast("int").alias("window_size_sec"), key, "count")
+    return windowed.groupBy("window", key).count().select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        F.lit(window_sec).cast("int").alias("window_size_sec"), key, "count")

@@ -26,9 +26,10 @@ def parse_postings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     # unreadable, a second object makes it longer, and both are wrong lines.
     listed = F.concat(F.lit("["), F.col("line"), F.lit("]"))
     as_object = F.from_json(listed, ArrayType(POSTING), STRICT)
-    read = trimmed.select("line", as_object.alias("_read"), listed.alias("_listed"))
-    valid = F.coalesce(F.size("_read") == 1,
-                       F.size(F.from_json("_listed", ArrayType(StringType()), STRICT)) == 1,
+    anything = ArrayType(StringType())
+    # A list of one exploded: the filters below do not read the JSON again.
+    read = trimmed.select("line", F.explode(F.array(as_object)).alias("_read"))
+    valid = F.coalesce(F.size("_read") == 1, F.size(F.from_json(listed, anything, STRICT)) == 1,
                        F.lit(False))
     good = read.where(valid).select("line", F.get("_read", F.lit(0)).alias("_posting")) \
         .select("line", "_posting.*")

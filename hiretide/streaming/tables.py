@@ -12,13 +12,14 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from hiretide import schemas
 from hiretide.functions.times import utc_day
-from hiretide.operators.reads import job_filters, newest_first, newest_page
+from hiretide.operators.reads import (check_page, job_filters, matching_jobs, newest_first,
+                                      newest_page)
 from hiretide.operators.replace import replace_range
 from hiretide.sources import folders
 
@@ -210,7 +211,7 @@ class JobsTable(PartTable):
             stored = stored.where(self._days_of(rows))
         return rows.join(stored.select(*self._key()), self._key(), "left_anti")
 
-    def _days_of(self, rows: DataFrame):
+    def _days_of(self, rows: DataFrame) -> Column:
         day = F.col("ingest_date")
         days = [r[0] for r in rows.select("ingest_date").distinct().limit(DAYS_LISTED + 1).collect()]
         if len(days) <= DAYS_LISTED:
@@ -221,18 +222,38 @@ class JobsTable(PartTable):
     def search(self, company: str | None = None, location: str | None = None,
                role_category: str | None = None, seniority: str | None = None,
                limit: int = 20, offset: int = 0) -> DataFrame:
-        """``search_jobs`` over the stored table, reading descriptions of the page's days only.
+        """``search_jobs`` over the stored table, reading no more days than it has to.
 
-        First the page's keys, from the columns searched; then their rows.
+        Counts matches in the newest days first, taking four times as many days until
+        the page is full; later days cannot hold newer rows. Then it takes
+        the page's keys from the columns searched, and last the rows of these keys.
         """
         terms = job_filters(company, location, role_category, seniority)
-        narrow = self.rows().select("ingest_date", "event_id", "ingested_at", "company",
-                                    "location", "role_category", "seniority")
+        check_page(limit, offset)
+        rows = self._newest_days(terms, limit + offset)
+        narrow = rows.select("ingest_date", "event_id", "ingested_at", "company", "location",
+                             "role_category", "seniority")
         # At most 200 keys, so the broadcast is small whatever the table's size.
         page = newest_page(narrow, terms, limit, offset).select("ingest_date", "event_id")
-        found = self.rows().join(F.broadcast(page), ["ingest_date", "event_id"], "left_semi")
+        found = rows.join(F.broadcast(page), ["ingest_date", "event_id"], "left_semi")
         return newest_first(found.select(*schemas.JOBS.fieldNames())).limit(limit)
 
+    def days(self) -> list[str]:
+        """Days with rows, newest first, as the folders name them."""
+        paths = [d for p in self.parts()
+                 for d in folders.matching(self.spark, f"{p.path}/ingest_date=*")]
+        return sorted({d.rsplit("=", 1)[1] for d in paths}, reverse=True)
+
+    def _newest_days(self, terms: list[Column], wanted: int) -> DataFrame:
+        rows, days = self.rows(), self.days()
+        taken = 1
+        while taken < len(days):
+            newest = rows.where(F.col("ingest_date") >= F.lit(days[taken - 1]).cast("date"))
+            if matching_jobs(newest, terms).limit(wanted).count() == wanted:
+                return newest
+            taken *= 4
+        return rows
+
 
 MODES = ("queries", "single_pass")
 
