@@ -27,6 +27,8 @@ PART = re.compile(r"part=(\d+)-(\d+)-(\d+)$")
 # Days a batch may spread over before the check of stored ids takes the whole
 # range from first to last day instead of the single days.
 DAYS_LISTED = 1000
+# Days of a batch up to which its rows are written without bringing days together.
+DAYS_UNSORTED = 3
 
 
 @dataclass(frozen=True, order=True)
@@ -111,9 +113,6 @@ class PartTable:
             covered = sum(p.last - p.first + 1 for p in parts)
             if covered == span and len(parts) > 1:
                 rows = self._folded(self.rows(parts))
-                if self.partition_by:
-                    # Files of even size per day; a day with most rows is split.
-                    rows = rows.hint("rebalance", *[F.col(c) for c in self.partition_by])
                 self._write(rows, block * span, block * span + span - 1, 0)
                 made += 1
         return made
@@ -189,7 +188,19 @@ class JobsTable(PartTable):
             return
         rows = df.withColumn("seniority", F.lit(None).cast("string")) \
             .withColumn("ingest_date", utc_day(F.col("ingested_at")))
-        self._write(self._unseen(self._one_per_event(rows)), batch_id, batch_id, 0)
+        days = [r[0] for r in rows.select("ingest_date").distinct().limit(DAYS_LISTED + 1).collect()]
+        new = self._unseen(self._one_per_event(rows), days)
+        if len(days) > DAYS_UNSORTED:
+            # Else every task would write a file per day.
+            new = self._by_day(new)
+        self._write(new, batch_id, batch_id, 0)
+
+    def _by_day(self, rows: DataFrame) -> DataFrame:
+        """Rows of a day together, a day with many rows in several tasks."""
+        return rows.hint("rebalance", F.col("ingest_date"))
+
+    def _folded(self, rows: DataFrame) -> DataFrame:
+        return self._by_day(rows)
 
     def _key(self) -> list[str]:
         return ["event_id"] if self.any_day else ["ingest_date", "event_id"]
@@ -202,22 +213,18 @@ class JobsTable(PartTable):
                                   if c not in key and c != "ingested_at"]
         return rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("row")).select(*key, "row.*")
 
-    def _unseen(self, rows: DataFrame) -> DataFrame:
+    def _unseen(self, rows: DataFrame, days: list) -> DataFrame:
         parts = self.parts()
         if not parts:
             return rows
         stored = self.rows(parts)
-        if not self.any_day:
-            stored = stored.where(self._days_of(rows))
-        return rows.join(stored.select(*self._key()), self._key(), "left_anti")
-
-    def _days_of(self, rows: DataFrame) -> Column:
         day = F.col("ingest_date")
-        days = [r[0] for r in rows.select("ingest_date").distinct().limit(DAYS_LISTED + 1).collect()]
-        if len(days) <= DAYS_LISTED:
-            return day.isin(days)
-        lo, hi = rows.agg(F.min("ingest_date"), F.max("ingest_date")).first()
-        return day.between(lo, hi)
+        if not self.any_day and len(days) <= DAYS_LISTED:
+            stored = stored.where(day.isin(days))
+        elif not self.any_day:
+            first, last = rows.agg(F.min(day), F.max(day)).first()
+            stored = stored.where(day.between(first, last))
+        return rows.join(stored.select(*self._key()), self._key(), "left_anti")
 
     def search(self, company: str | None = None, location: str | None = None,
                role_category: str | None = None, seniority: str | None = None,
