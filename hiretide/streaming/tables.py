@@ -2,8 +2,8 @@
 
 A table is a folder of parts; a part covers a closed range of batch ids and
 counts from the moment its ``_SUCCESS`` marker exists, which the write sets last.
-A replayed batch finds its part and does nothing; a half-written part has no
-marker, is read by nobody and is written again. Folding replaces many parts by
+A replayed batch finds its part and does nothing, or writes the same rows in its place; a
+half-written part has no marker, is read by nobody and is written again. Folding replaces many parts by
 one over the same ids, which takes effect with its marker as well.
 """
 
@@ -86,6 +86,10 @@ class PartTable:
         if not self.holds(batch_id):
             self._write(df, batch_id, batch_id, 0)
 
+    def _next_version(self, first: int, last: int) -> int:
+        return max((p.version for p in self._stored() if (p.first, p.last) == (first, last)),
+                   default=-1) + 1
+
     def _write(self, df: DataFrame, first: int, last: int, version: int) -> None:
         rows = df.select(*self.schema.fieldNames())
         # Static: what a failed attempt left in the folder goes.
@@ -146,7 +150,13 @@ class TrendTable(PartTable):
         return self._folded(self.rows()).select(*self.group, "count")
 
     def append_batch(self, df: DataFrame, batch_id: int) -> None:
-        super().append_batch(df.withColumn("batch_id", F.lit(batch_id).cast("long")), batch_id)
+        rows = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if self.kind == "totals":
+            # The tasks that write the rows also save the stream's state, so a replay
+            # has to write as well: the same rows, in the place of the first.
+            self._write(rows, batch_id, batch_id, self._next_version(batch_id, batch_id))
+        else:
+            super().append_batch(rows, batch_id)
 
     def _folded(self, rows: DataFrame) -> DataFrame:
         count = F.max_by("count", "batch_id") if self.kind == "totals" else F.sum("count")
@@ -154,16 +164,18 @@ class TrendTable(PartTable):
                                              F.max("batch_id").alias("batch_id"))
 
     def replace_range(self, new: DataFrame, window_size_sec: int) -> None:
-        """Store a complete recount of a range of windows in place of what was counted."""
+        """Store a complete recount of a range of windows in place of what was counted.
+
+        For a table that batches were stored in. A running update-mode stream keeps its own
+        counts of these windows and stores them again with the next event for them.
+        """
         parts = self.parts()
         if not parts:
-            self.append_batch(new, 0)
-            return
+            raise RuntimeError(f"{self.path} holds no batch to replace counts of")
         first, last = parts[0].first, max(p.last for p in parts)
-        version = max((p.version for p in self._stored()
-                       if (p.first, p.last) == (first, last)), default=-1) + 1
         merged = replace_range(self.read(), new, window_size_sec)
-        self._write(merged.withColumn("batch_id", F.lit(last).cast("long")), first, last, version)
+        self._write(merged.withColumn("batch_id", F.lit(last).cast("long")), first, last,
+                    self._next_version(first, last))
 
 
 class JobsTable(PartTable):

@@ -1,0 +1,188 @@
+import json
+from datetime import datetime, timedelta, timezone
+
+import pytest
+
+from hiretide.operators.events import parse_events
+from hiretide.operators.tagging import enrich
+from hiretide.operators.trends import role_trend, tech_trend
+from hiretide.sources.event_stream import EventFiles
+from hiretide.streaming.pipeline import await_all, run_pipeline
+from hiretide.streaming.publish import publish
+from hiretide.streaming.tables import MODES, Tables, TrendTable, reset
+
+START = datetime(2024, 1, 1, 12, tzinfo=timezone.utc)
+NOW = {"availableNow": True}
+
+
+def event(event_id, seconds, title, description=""):
+    return json.dumps({"event_id": event_id, "source": "jsonl",
+                       "ingested_at": (START + timedelta(seconds=seconds)).isoformat(),
+                       "posting": {"title": title, "description": description}})
+
+
+@pytest.fixture
+def place(tmp_path):
+    """A folder of event files, written one by one in time order, and a root for tables."""
+    class Place:
+        root = str(tmp_path / "tables")
+        path = tmp_path / "events"
+        source = EventFiles(str(path), files_per_batch=1)
+        files = 0
+
+        def add(self, *lines):
+            self.path.mkdir(exist_ok=True)
+            part = self.path / f"f{self.files}.jsonl"
+            part.write_text("\n".join(lines) + "\n")
+            import os
+            os.utime(part, (1_700_000_000 + self.files,) * 2)
+            self.files += 1
+    return Place()
+
+
+def run(spark, place, mode="queries", **options):
+    await_all(run_pipeline(spark, place.source, place.root, mode, NOW, **options))
+    return Tables(spark, place.root, mode)
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def tech(tables):
+    return {(r["window_start"].strftime("%H:%M"), r["tech"]): r["count"]
+            for r in tables.trend_tech.read().collect()}
+
+
+UNTOUCHED = [[event("1", 60, "python"), event("2", 70, "airflow")],
+             [event("3", 120, "python"), "junk"]]
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_groups_a_batch_does_not_touch_stay(spark, place, mode):
+    for lines in UNTOUCHED:
+        place.add(*lines)
+    tables = run(spark, place, mode)
+    assert tech(tables) == {("12:00", "python"): 2, ("12:00", "airflow"): 1}
+    assert rows(tables.rejects.read()) == [("junk",)]
+    assert tables.jobs.read().count() == 3
+    assert [p.first for p in tables.trend_tech.parts()] == [0, 1]
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_stream_equals_batch(spark, place, mode):
+    lines = [event(str(i), i * 37 % 5000 - 90_000 * (i % 7 == 0),
+                   ["Data Engineer", "Backend Engineer", "Cook"][i % 3],
+                   ["python, sql", "PostgreSQL", "", "kafka docker"][i % 4]) for i in range(60)]
+    lines[5] = '{"event_id": "x"'
+    lines[6] = lines[6].replace('"ingested_at"', '"at"')
+    for n in range(3):
+        place.add(*lines[n * 20:n * 20 + 20])
+    tables = run(spark, place, mode)
+    batch = enrich(parse_events(spark.read.text(place.source.path)))
+    assert rows(tables.trend_tech.read()) == rows(tech_trend(batch))
+    assert rows(tables.trend_role.read()) == rows(role_trend(batch))
+    good = batch.where("raw IS NULL")
+    assert rows(tables.jobs.read().drop("seniority")) == \
+        rows(good.select(*tables.jobs.read().drop("seniority").columns))
+    assert tables.rejects.read().count() == 2
+
+
+@pytest.mark.parametrize("mode", MODES)
+def test_later_runs_go_on_where_the_last_ended(spark, place, mode):
+    place.add(*UNTOUCHED[0])
+    run(spark, place, mode)
+    place.add(*UNTOUCHED[1])
+    tables = run(spark, place, mode)
+    assert tech(tables) == {("12:00", "python"): 2, ("12:00", "airflow"): 1}
+    assert tables.jobs.read().count() == 3
+
+
+@pytest.mark.parametrize("mode, only", [("queries", "trend_tech"), ("single_pass", None)])
+def test_restart_after_a_failure_behind_the_write(spark, place, monkeypatch, mode, only):
+    for lines in UNTOUCHED:
+        place.add(*lines)
+    options = {"only": [only]} if only else {}
+    write = TrendTable.append_batch
+
+    def write_and_fail(self, df, batch_id):
+        write(self, df, batch_id)
+        if batch_id == 1:
+            raise OSError("lost")
+
+    monkeypatch.setattr(TrendTable, "append_batch", write_and_fail)
+    with pytest.raises(Exception, match="lost"):
+        run(spark, place, mode, **options)
+    monkeypatch.setattr(TrendTable, "append_batch", write)
+    tables = run(spark, place, mode, **options)
+    assert tech(tables) == {("12:00", "python"): 2, ("12:00", "airflow"): 1}
+
+
+def test_one_failed_query_stops_the_others(spark, place, monkeypatch):
+    place.add(*UNTOUCHED[0])
+
+    def fail(self, df, batch_id):
+        raise OSError("lost")
+
+    monkeypatch.setattr(TrendTable, "append_batch", fail)
+    queries = run_pipeline(spark, place.source, place.root,
+                           trigger={"processingTime": "1 second"})
+    with pytest.raises(Exception, match="lost"):
+        await_all(queries)
+    assert not any(q.isActive for q in queries)
+
+
+LATE = [[event("1", 130, "python")], [event("2", 3660, "go")], [event("3", 4000, "go")],
+        [event("4", 125, "python")]]
+
+
+def test_late_events_count_without_a_watermark(spark, place):
+    for lines in LATE:
+        place.add(*lines)
+    assert tech(run(spark, place, only=["trend_tech"]))[("12:00", "python")] == 2
+
+
+def test_late_events_count_in_a_single_pass(spark, place):
+    for lines in LATE:
+        place.add(*lines)
+    assert tech(run(spark, place, "single_pass"))[("12:00", "python")] == 2
+
+
+def test_late_events_are_dropped_behind_a_watermark(spark, place):
+    for lines in LATE:
+        place.add(*lines)
+    got = tech(run(spark, place, only=["trend_tech"], watermark="10 minutes"))
+    assert got == {("12:00", "python"): 1, ("13:00", "go"): 1, ("13:05", "go"): 1}
+
+
+def test_tables_without_their_checkpoint_are_refused(spark, place):
+    place.add(*UNTOUCHED[0])
+    tables = run(spark, place)
+    from hiretide.sources import folders
+    folders.remove(spark, tables.checkpoint("trend_tech"))
+    with pytest.raises(RuntimeError, match="trend_tech"):
+        run_pipeline(spark, place.source, place.root, trigger=NOW, only=["trend_tech"])
+    reset(spark, place.root)
+    assert run(spark, place).jobs.read().count() == 2
+
+
+def test_bad_arguments(spark, place):
+    place.add(*UNTOUCHED[0])
+    with pytest.raises(ValueError):
+        run_pipeline(spark, place.source, place.root, only=["other"])
+    with pytest.raises(ValueError):
+        run_pipeline(spark, place.source, place.root, "single_pass", watermark="1 minute")
+
+
+def test_publish_and_read_back(spark, place, tmp_path):
+    place.add(*UNTOUCHED[0])
+    events = spark.read.text(place.source.path).selectExpr("value", "'k' AS key")
+    target = EventFiles(str(tmp_path / "out"))
+    assert publish(events, target) is None
+    stream = spark.readStream.text(place.source.path).selectExpr("value", "'k' AS key")
+    with pytest.raises(ValueError):
+        publish(stream, target)
+    again = EventFiles(str(tmp_path / "again"))
+    publish(stream, again, str(tmp_path / "check"), NOW).awaitTermination()
+    assert rows(spark.read.text(target.path)) == rows(spark.read.text(again.path)) == \
+        sorted((line,) for line in UNTOUCHED[0])
