@@ -29,4 +29,5 @@ def icontains(text: Column, value: str) -> Column:
 
 
 def whole_word(text: Column, word: str) -> Column:
-    return text.rlike(rf"(?<!\w){re.escape(word)}(?!\w)")
+    # The plain search is much the cheaper one and rules most words out.
+    return text.contains(word) & text.rlike(rf"(?<!\w){re.escape(word)}(?!\w)")

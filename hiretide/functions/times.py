@@ -6,15 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def iso_text(ts: Column, offset: str | None = None) -> Column:
-    """ISO-8601 text with offset; the fraction is left out when it is zero.
+def iso_text(ts: Column) -> Column:
+    """ISO-8601 text of an instant, with offset; the fraction is left out when it is zero."""
+    return F.replace(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"), F.lit(".000000"),
+                     F.lit(""))
 
-    Give the offset for a wall-clock time, which has none of its own.
-    """
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
-    fraction = F.when(micros == "000000", F.lit("")).otherwise(F.concat(F.lit("."), micros))
-    return F.concat(whole, fraction, F.lit(offset) if offset else F.date_format(ts, "xxx"))
+
+def clock_iso_text(ts: Column) -> Column:
+    """ISO-8601 text of a wall-clock time that is UTC."""
+    return F.concat(F.replace(ts.cast("string"), F.lit(" "), F.lit("T")), F.lit("+00:00"))
 
 
 def utc_day(ts: Column) -> Column:
@@ -24,4 +24,6 @@ def utc_day(ts: Column) -> Column:
 
 def utc_clock(ts: Column) -> Column:
     """UTC wall-clock time of an instant, without a time zone."""
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    seconds = F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))

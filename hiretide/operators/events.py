@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from hiretide.functions.text import lowered
-from hiretide.functions.times import iso_text
+from hiretide.functions.times import clock_iso_text, iso_text
 from hiretide.schemas import EVENT, POSTING
 
 
@@ -21,19 +21,21 @@ def to_events(postings: DataFrame, source: str = "jsonl", id_col: str | None = N
     the event unchanged, with fields this package does not know.
     """
     event_id = F.col(id_col).cast("string") if id_col else F.uuid()
-    at = iso_text(F.col(time_col) if time_col else F.current_timestamp())
     if time_col and isinstance(postings.schema[time_col].dataType, TimestampNTZType):
-        at = iso_text(F.col(time_col), offset="+00:00")  # wall-clock columns are UTC
-    if "line" in postings.columns:
-        body = F.col("line")
+        at = clock_iso_text(F.col(time_col))  # wall-clock columns are UTC
     else:
-        body = F.to_json(F.struct(*POSTING.fieldNames()), {"ignoreNullFields": "false"})
-    stamped = postings.select(event_id.alias("key"), at.alias("_at"), body.alias("_body"))
-    head = F.to_json(F.struct(F.col("key").alias("event_id"), F.col("_at").alias("ingested_at"),
-                              F.lit(source).alias("source")))
-    value = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.lit(',"posting":'),
-                     F.col("_body"), F.lit("}"))
-    return stamped.select("key", value.alias("value"))
+        at = iso_text(F.col(time_col) if time_col else F.current_timestamp())
+    keep_line = "line" in postings.columns
+    body = ["line"] if keep_line else [F.struct(*POSTING.fieldNames()).alias("posting")]
+    # The id stands in a column of its own first: a random one must not be drawn twice.
+    event = postings.select(event_id.alias("event_id"), at.alias("ingested_at"),
+                            F.lit(source).alias("source"), *body)
+    if not keep_line:
+        return event.select(F.col("event_id").alias("key"), F.to_json(
+            F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    head = F.to_json(F.struct("event_id", "ingested_at", "source"))
+    value = F.concat(F.rtrim(head, F.lit("}")), F.lit(',"posting":'), F.col("line"), F.lit("}"))
+    return event.select(F.col("event_id").alias("key"), value.alias("value"))
 
 
 def parse_events(raw: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from hiretide import vocab
 from hiretide.functions.text import lowered
 from hiretide.functions.times import utc_clock
 from hiretide.operators import dashboard
-from hiretide.operators.events import parse_events, split_rejects, to_events
+from hiretide.operators.events import parse_events, to_events
 from hiretide.operators.reads import (role_timeseries, search_jobs, tech_timeseries, top_roles,
                                       top_techs)
 from hiretide.operators.replace import replace_range
@@ -281,9 +281,7 @@ def parse_events_malformed(spark, sf):
     for n, kind in enumerate(kinds[:-1]):
         value = F.when(F.col("event_id") % MALFORMED_CASES == n, kind).otherwise(value)
     raw = fx.table(spark, sf, "events").select(F.encode(value, "UTF-8").alias("value"))
-    good, rejects = split_rejects(enrich(parse_events(raw)))
-    rows = good.withColumn("rejected", F.lit(False)) \
-        .unionByName(rejects.withColumn("rejected", F.lit(True)))
+    rows = enrich(parse_events(raw)).withColumn("rejected", F.col("raw").isNotNull())
     return clocked(rows, "ingested_at").select(
         "event_id", "ingested_at", "title", "role_category",
         F.array_join("techs", ",").alias("techs"), "rejected")
