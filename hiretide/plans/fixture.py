@@ -91,12 +91,12 @@ def published_events(spark: SparkSession, sf_dir: str, redelivered: bool = False
         "value", (F.col("key").cast("long") % 4).alias("slice"))
     lines.write.partitionBy("slice").text(path)
     files = len(folders.matching(spark, f"{path}/slice=*/part-*"))
-    return EventFiles(path, files_per_batch=max(1, -(-files // 3)))
+    return EventFiles(path, files_per_batch=max(1, -(-files // 2)))
 
 
 def streamed(spark: SparkSession, sf_dir: str, mode: str, only: Sequence[str] = (),
              redelivered: bool = False, window_sec: int = 300) -> Tables:
-    """The tables after the pipeline has read all published events, in about three batches."""
+    """The tables after the pipeline has read all published events, in about two batches."""
     source = published_events(spark, sf_dir, redelivered)
     root = shared_folder(spark)
     more = {"only": only} if only else {}

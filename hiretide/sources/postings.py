@@ -41,3 +41,8 @@ def read_postings(spark: SparkSession, path: str,
     """Postings and unreadable lines of JSON-lines files."""
     reader = spark.readStream if streaming else spark.read
     return parse_postings(reader.text(path))
+
+
+def write_postings(postings: DataFrame, path: str) -> None:
+    """Append postings to a folder as JSON-lines files."""
+    postings.select(*POSTING.fieldNames()).write.mode("append").json(path)

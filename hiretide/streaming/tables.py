@@ -152,8 +152,10 @@ class TrendTable(PartTable):
     def append_batch(self, df: DataFrame, batch_id: int) -> None:
         rows = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
         if self.kind == "totals":
-            # The tasks that write the rows also save the stream's state, so a replay
-            # has to write as well: the same rows, in the place of the first.
+            # Reading the rows to the end is what saves the stream's state, so a replay
+            # has to write as well: the same rows, in the place of the first. Rebalanced,
+            # as there is a state partition per shuffle partition but few rows in each.
+            rows = rows.hint("rebalance", F.col("window_start"))
             self._write(rows, batch_id, batch_id, self._next_version(batch_id, batch_id))
         else:
             super().append_batch(rows, batch_id)

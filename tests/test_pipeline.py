@@ -186,3 +186,26 @@ def test_publish_and_read_back(spark, place, tmp_path):
     publish(stream, again, str(tmp_path / "check"), NOW).awaitTermination()
     assert rows(spark.read.text(target.path)) == rows(spark.read.text(again.path)) == \
         sorted((line,) for line in UNTOUCHED[0])
+
+
+def test_from_posting_files_to_tables(spark, tmp_path):
+    """Generate, write, read as a stream, wrap, publish, and run the command on the events."""
+    from hiretide.__main__ import main
+    from hiretide.operators.events import to_events
+    from hiretide.sources.generate import generate_n_postings
+    from hiretide.sources.postings import read_postings, write_postings
+
+    lines, events, root = (str(tmp_path / n) for n in ("lines", "events", "root"))
+    write_postings(generate_n_postings(spark, 300), lines)
+    good, _ = read_postings(spark, lines, streaming=True)
+    publish(to_events(good), EventFiles(events), str(tmp_path / "check"), NOW).awaitTermination()
+    for arguments in (["--mode", "single_pass"], ["--window", "86400"]):
+        main(["--root", root, "--files", events, "--once", *arguments])
+    for mode in MODES:
+        tables = Tables(spark, root, mode)
+        found = tables.jobs.read()
+        assert found.count() == 300 and found.select("event_id").distinct().count() == 300
+        assert found.where("role_category = 'Other' OR size(techs) < 4").isEmpty()
+        assert tables.trend_role.read().groupBy().sum("count").first()[0] == 300
+    main(["--root", root, "--files", events, "--once", "--reset"])
+    assert Tables(spark, root).trend_role.read().first()["window_size_sec"] == 300

@@ -149,6 +149,18 @@ def test_folds_change_no_row(spark, root, mode):
         assert rows(table) == before and len(table.parts()) == 1
 
 
+@pytest.mark.parametrize("mode", T.MODES)
+def test_replay_of_a_folded_batch(spark, root, mode):
+    table = T.init_tables(spark, root, mode).trend_tech
+    batches = [counts(spark, (0, "go", n + 1), (n, "sql", 2)) for n in range(2)]
+    for n, batch in enumerate(batches):
+        table.append_batch(batch, n)
+    before = trend(table)
+    table.fold(2)
+    table.append_batch(batches[1], 1)
+    assert trend(table) == before
+
+
 def test_half_written_fold_is_ignored(spark, root):
     table = T.init_tables(spark, root).trend_tech
     for n in range(2):
