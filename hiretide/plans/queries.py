@@ -374,12 +374,11 @@ def stream_single_pass_search(spark, sf):
 
 @query(trend("tech", 300))
 def replace_range_backfill(spark, sf):
-    """A trend that lacks half the events of ten days, put right by a recount of those days."""
+    """A trend that lacks the postings without role of ten days, put right by a recount."""
     jobs = fx.jobs(spark, sf)
     day = F.to_date("ingested_at")
     lost = (day >= F.lit("2024-01-10").cast("date")) & (day < F.lit("2024-01-20").cast("date"))
-    odd = F.col("event_id").cast("long") % 2 == 1
-    existing = tech_trend(jobs.where(~(lost & odd)))
+    existing = tech_trend(jobs.where(~(lost & (F.col("role_category") == vocab.OTHER_ROLE))))
     return replace_range(existing, tech_trend(jobs.where(lost)))
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -29,6 +29,8 @@ PART = re.compile(r"part=(\d+)-(\d+)-(\d+)$")
 DAYS_LISTED = 1000
 # Days of a batch up to which its rows are written without bringing days together.
 DAYS_UNSORTED = 3
+# Rows before a page up to which the page is found by sorting.
+SORTED_OFFSET = 10_000
 
 
 @dataclass(frozen=True, order=True)
@@ -248,10 +250,14 @@ class JobsTable(PartTable):
         Counts matches in the newest days first, taking four times as many days until
         the page is full; later days cannot hold newer rows. Then it takes
         the page's keys from the columns searched, and last the rows of these keys.
+        For a deep page, what lies before it is skipped by counts, not sorted.
         """
         terms = job_filters(company, location, role_category, seniority)
         check_page(limit, offset)
-        rows = self._newest_days(terms, limit + offset)
+        if offset > SORTED_OFFSET:
+            rows, offset = self._skipped(terms, offset)
+        else:
+            rows = self._newest_days(terms, limit + offset)
         narrow = rows.select("ingest_date", "event_id", "ingested_at", "company", "location",
                              "role_category", "seniority")
         # At most 200 keys, so the broadcast is small whatever the table's size.
@@ -259,11 +265,24 @@ class JobsTable(PartTable):
         found = rows.join(F.broadcast(page), ["ingest_date", "event_id"], "left_semi")
         return newest_first(found.select(*schemas.JOBS.fieldNames())).limit(limit)
 
+    def _skipped(self, terms: list[Column], offset: int) -> tuple[DataFrame, int]:
+        """Rows without the days, then seconds, that lie before the offset, and what is left of it."""
+        day, second = F.col("ingest_date"), F.unix_seconds("ingested_at")
+        rows = self.rows()
+        first, offset = _locate(matching_jobs(rows, terms).groupBy(day.alias("at")), offset)
+        if first is None:
+            return rows.limit(0), 0
+        rows = rows.where(day <= F.lit(first))
+        seconds = matching_jobs(rows.where(day == F.lit(first)), terms).groupBy(second.alias("at"))
+        first, offset = _locate(seconds, offset)
+        return rows.where(second <= first), offset
+
     def days(self) -> list[str]:
         """Days with rows, newest first, as the folders name them."""
-        paths = [d for p in self.parts()
-                 for d in folders.matching(self.spark, f"{p.path}/ingest_date=*")]
-        return sorted({d.rsplit("=", 1)[1] for d in paths}, reverse=True)
+        parts = {p.path.rsplit("/", 1)[1] for p in self.parts()}
+        found = (d.rsplit("/", 2)[1:] for d in
+                 folders.matching(self.spark, f"{self.path}/part=*/ingest_date=*"))
+        return sorted({day.split("=")[1] for part, day in found if part in parts}, reverse=True)
 
     def _newest_days(self, terms: list[Column], wanted: int) -> DataFrame:
         rows, days = self.rows(), self.days()
@@ -276,6 +295,18 @@ class JobsTable(PartTable):
         return rows
 
 
+def _locate(groups: GroupedData, offset: int) -> tuple[object, int]:
+    """The group, from the greatest down, an offset falls into, and the offset within it.
+
+    The driver gets a row per day, or per second of one day.
+    """
+    for at, count in groups.count().orderBy(F.desc("at")).collect():
+        if offset < count:
+            return at, offset
+        offset -= count
+    return None, 0
+
+
 MODES = ("queries", "single_pass")
 
 

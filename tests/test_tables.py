@@ -93,14 +93,17 @@ def test_many_days_are_stored_whole(spark, root, monkeypatch):
         assert len(table.days()) == 20
 
 
-def test_search_equals_search_of_all_rows(spark, root):
+@pytest.mark.parametrize("sorted_offset", [10_000, 0])
+def test_search_equals_search_of_all_rows(spark, root, monkeypatch, sorted_offset):
+    monkeypatch.setattr(T, "SORTED_OFFSET", sorted_offset)
     table = T.init_tables(spark, root).jobs
-    rows = [(f"e{i:03d}", i * 97 % 6000, "x") for i in range(90)]
+    rows = [(f"e{i:03d}", i * 97 % 6000 // 60 * 60, "x") for i in range(90)]
     for n in range(3):
         batch = jobs(spark, *rows[n * 30:n * 30 + 30])
         batch = batch.withColumn("company", F.when(F.col("event_id") < "e010", "rare").otherwise("c"))
         table.append_batch(batch, n)
     for terms in ({}, {"company": "rare"}, {"limit": 7, "offset": 50}, {"offset": 88},
+                  {"offset": 90}, {"offset": 500}, {"offset": 1, "limit": 200},
                   {"location": "nowhere"}, {"company": "rare", "limit": 3, "offset": 2}):
         assert table.search(**terms).collect() == search_jobs(table.read(), **terms).collect()
     with pytest.raises(ValueError):
