@@ -248,7 +248,7 @@ class JobsTable(PartTable):
         """``search_jobs`` over the stored table, reading no more days than it has to.
 
         Counts matches in the newest days first, taking four times as many days until
-        the page is full; later days cannot hold newer rows. Then it takes
+        the page is full; days before them cannot hold newer rows. Then it takes
         the page's keys from the columns searched, and last the rows of these keys.
         For a deep page, what lies before it is skipped by counts, not sorted.
         """
