@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hiretide.llm import byte_bpe, fingerprints, html_text, packing, pii, quality, token_counts
+from hiretide.llm import (byte_bpe, fingerprints, html_text, licenses, line_dedup, packing, pii,
+                          quality, token_counts)
 from hiretide.llm.common import documents
 
 
@@ -19,6 +21,36 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts as they are left, and how many chunks went."""
+    return line_dedup.dedup_lines(documents(spark, sf_dir)).select(
+        "doc_id", F.col("__removed").cast("long").alias("n_removed"), "text")
+
+
+OP3_SQL = rf"""
+WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+               WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM texts),
+hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
+marked AS (SELECT *, (h + {line_dedup.MULTIPLIER} * coalesce(lag(h) OVER w, 0))
+                     % {line_dedup.MODULUS} % {line_dedup.MEAN_LINES} = 0 AS ends
+           FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+placed AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM marked),
+chunks AS (SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS chunk,
+                  count(*) FILTER (regexp_matches(line, '[^ 	
+]')) AS solid
+           FROM placed GROUP BY doc_id, k),
+ranked AS (SELECT *, solid >= {line_dedup.LEAST_LINES} AND row_number() OVER (
+                  PARTITION BY chunk ORDER BY doc_id, k) > 1 AS gone FROM chunks)
+SELECT d.doc_id, coalesce(r.n, 0) AS n_removed, CASE WHEN r.n > 0 THEN r.rest ELSE d.text END AS text
+FROM documents d LEFT JOIN (
+    SELECT doc_id, count(*) FILTER (gone) AS n,
+           coalesce(string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT gone), '') AS rest
+    FROM ranked GROUP BY doc_id) r ON d.doc_id = r.doc_id
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir),
                                   public_tokenizers.path("word_bpe_49k.json"))
@@ -38,6 +70,55 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: pieces like a licence template, their licences, and the best likeness."""
+    found = F.col("found")
+    return licenses.find_licenses(documents(spark, sf_dir)).select(
+        "doc_id", F.size(found).cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(found["license"])), ",").alias("licenses"),
+        F.coalesce(F.array_max(found["dice"]), F.lit(0.0)).alias("best_dice"))
+
+
+def _license_sql() -> str:
+    values = ",\n  ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')"
+                          for i, (name, text) in enumerate(licenses.TEMPLATES))
+    words = ("list_filter(string_split(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             "'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')")
+    grams = ("list_distinct(list_transform(range(1, len(words)), "
+             "lambda i: words[i] || ' ' || words[i + 1]))")
+    t = licenses.LEAST_DICE
+    return rf"""
+WITH templates(t, license, text) AS (VALUES {values}),
+tgrams AS (SELECT t, license, {grams} AS g FROM (
+    SELECT t, license, {words.format('text')} AS words FROM templates)),
+parts AS (
+    SELECT doc_id, 'line' AS kind, unnest(string_split(text, chr(10))) AS part,
+           generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents
+    UNION ALL SELECT * FROM (
+        SELECT doc_id, 'paragraph' AS kind,
+               unnest(regexp_split_to_array(text, '
+[ 	]*
+')) AS part,
+               generate_subscripts(regexp_split_to_array(text, '
+[ 	]*
+'), 1) AS i
+        FROM documents) WHERE contains(part, chr(10))),
+worded AS (SELECT doc_id, kind, i, {words.format('part')} AS words FROM parts),
+grams AS (SELECT doc_id, kind, i, {grams} AS g FROM worded WHERE len(words) > 1),
+scored AS (SELECT doc_id, kind, i, license,
+                  2.0::DOUBLE * len(list_intersect(p.g, q.g)) / (len(p.g) + len(q.g)) AS dice
+           FROM grams p JOIN tgrams q
+           ON least(len(p.g), len(q.g)) * {2 - t} >= greatest(len(p.g), len(q.g)) * {t}),
+best AS (SELECT doc_id, kind, i, max(dice) AS dice, max(license) AS license FROM (
+             SELECT *, dice = max(dice) OVER (PARTITION BY doc_id, kind, i) AS top FROM scored)
+         WHERE top AND dice >= {t} GROUP BY doc_id, kind, i)
+SELECT d.doc_id, count(b.i) AS n_notices,
+       coalesce(string_agg(DISTINCT b.license, ',' ORDER BY b.license), '') AS licenses,
+       coalesce(max(b.dice), 0.0::DOUBLE) AS best_dice
+FROM documents d LEFT JOIN best b ON d.doc_id = b.doc_id GROUP BY d.doc_id
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -45,6 +126,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_html_extraction, op5_packing, op6_document_fingerprints,
-                            op7_byte_bpe, op8_token_counts, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
+    f.__name__: f for f in (
+        op1_pii, op2_html_extraction, op3_line_dedup, op5_packing, op6_document_fingerprints,
+        op7_byte_bpe, op8_token_counts, op9_license_scans, op10_quality_rules)}
+ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_license_scans": _license_sql()}
