@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LEAST_DICE = 0.8
+LEAST_PCT = 80  # of the Dice coefficient; whole numbers, so that bounds are exact
 
 #: Notices as their licences word them.
 TEMPLATES: tuple[tuple[str, str], ...] = (
@@ -95,16 +95,15 @@ def _pieces(text: Column) -> Column:
 
 
 def find_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  least: float = LEAST_DICE) -> DataFrame:
+                  least_pct: int = LEAST_PCT) -> DataFrame:
     """Per row: id, ``found``: an array of (kind, place, license, dice), one for each piece that is
     like a template, by its best one (ties: the last name)."""
     templates = [(name, template_bigrams(text)) for name, text in TEMPLATES]
     table = F.array(*(F.struct(F.lit(name).alias("license"), F.lit(len(b)).alias("n"),
                                F.array(*map(F.lit, b)).alias("bigrams")) for name, b in templates))
     sizes = [len(b) for _, b in templates]
-    ratio = least / (2 - least)
     # A set of bigrams has at most one less than the words; the distinct ones are counted below.
-    shortest = min(sizes) * ratio
+    shortest = min(sizes) * least_pct // (200 - least_pct)
 
     rows = df.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     rows = rows.withColumn("__pieces", F.transform(_pieces(F.col("__text")), lambda p: F.struct(
@@ -117,8 +116,8 @@ def find_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     near = F.transform("__grams", lambda p: F.struct(
         p["kind"].alias("kind"), p["place"].alias("place"), p["grams"].alias("grams"),
         F.filter(table, lambda t: (
-            F.least(t["n"], F.size(p["grams"])) * (2 - least)
-            >= F.greatest(t["n"], F.size(p["grams"])) * least)).alias("near")))
+            F.least(t["n"], F.size(p["grams"])) * (200 - least_pct)
+            >= F.greatest(t["n"], F.size(p["grams"])) * least_pct)).alias("near")))
     rows = rows.withColumn("__near", F.filter(near, lambda p: F.size(p["near"]) > 0))
     scored = F.transform("__near", lambda p: F.struct(
         p["kind"].alias("kind"), p["place"].alias("place"), F.array_max(F.transform(
@@ -126,7 +125,7 @@ def find_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 (2.0 * F.size(F.array_intersect(t["bigrams"], p["grams"]))
                  / (t["n"] + F.size(p["grams"]))).alias("dice"), t["license"].alias("license"))
         )).alias("best")))
-    found = F.filter(scored, lambda p: p["best"]["dice"] >= least)
+    found = F.filter(scored, lambda p: 100 * p["best"]["dice"] >= least_pct)
     return rows.select(id_col, F.transform(found, lambda p: F.struct(
         p["kind"].alias("kind"), p["place"].alias("place"), p["best"]["license"].alias("license"),
         p["best"]["dice"].alias("dice"))).alias("found"))

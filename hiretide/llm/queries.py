@@ -39,7 +39,8 @@ placed AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM marked),
 chunks AS (SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS chunk,
                   count(*) FILTER (regexp_matches(line, '[^ 	
-]')) AS solid
+
+]')) AS solid
            FROM placed GROUP BY doc_id, k),
 ranked AS (SELECT *, solid >= {line_dedup.LEAST_LINES} AND row_number() OVER (
                   PARTITION BY chunk ORDER BY doc_id, k) > 1 AS gone FROM chunks)
@@ -86,7 +87,7 @@ def _license_sql() -> str:
              "'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w <> '')")
     grams = ("list_distinct(list_transform(range(1, len(words)), "
              "lambda i: words[i] || ' ' || words[i + 1]))")
-    t = licenses.LEAST_DICE
+    t = licenses.LEAST_PCT
     return rf"""
 WITH templates(t, license, text) AS (VALUES {values}),
 tgrams AS (SELECT t, license, {grams} AS g FROM (
@@ -97,10 +98,12 @@ parts AS (
     UNION ALL SELECT * FROM (
         SELECT doc_id, 'paragraph' AS kind,
                unnest(regexp_split_to_array(text, '
-[ 	]*
+[ 	
+]*
 ')) AS part,
                generate_subscripts(regexp_split_to_array(text, '
-[ 	]*
+[ 	
+]*
 '), 1) AS i
         FROM documents) WHERE contains(part, chr(10))),
 worded AS (SELECT doc_id, kind, i, {words.format('part')} AS words FROM parts),
@@ -108,10 +111,10 @@ grams AS (SELECT doc_id, kind, i, {grams} AS g FROM worded WHERE len(words) > 1)
 scored AS (SELECT doc_id, kind, i, license,
                   2.0::DOUBLE * len(list_intersect(p.g, q.g)) / (len(p.g) + len(q.g)) AS dice
            FROM grams p JOIN tgrams q
-           ON least(len(p.g), len(q.g)) * {2 - t} >= greatest(len(p.g), len(q.g)) * {t}),
+           ON least(len(p.g), len(q.g)) * {200 - t} >= greatest(len(p.g), len(q.g)) * {t}),
 best AS (SELECT doc_id, kind, i, max(dice) AS dice, max(license) AS license FROM (
              SELECT *, dice = max(dice) OVER (PARTITION BY doc_id, kind, i) AS top FROM scored)
-         WHERE top AND dice >= {t} GROUP BY doc_id, kind, i)
+         WHERE top AND 100 * dice >= {t} GROUP BY doc_id, kind, i)
 SELECT d.doc_id, count(b.i) AS n_notices,
        coalesce(string_agg(DISTINCT b.license, ',' ORDER BY b.license), '') AS licenses,
        coalesce(max(b.dice), 0.0::DOUBLE) AS best_dice
