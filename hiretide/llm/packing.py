@@ -18,6 +18,7 @@ import heapq
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from hiretide.llm.common import code_path, type_of
+from hiretide.llm.common import by_bytes, code_path, type_of
 from hiretide.llm.token_counts import _json_tokenizer
 
 SEQUENCE, END_ID = 4096, 2
 BLOCK_TOKENS, QUADRATIC = 4 << 20, 2048.0
-CACHED_CHARS, CACHED_WORDS = 32, 700_000
+CACHED_WORDS, CACHED_CHARS, BATCH_BYTES = 700_000, 64 << 20, 2 << 20
 
 
 class WordEncoder:
@@ -45,7 +46,7 @@ class WordEncoder:
         self.place: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 12, np.int64)
-        self.used = 0
+        self.used = self.chars = 0
 
     def _learn(self, words: list[str]) -> None:
         encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -60,32 +61,25 @@ class WordEncoder:
             self.used += n
             self.ends[at + 1] = self.used
             self.place[word] = at
-
-    def encode(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        if any(len(w) > CACHED_CHARS for w in words):
-            parts, run = [], []
-            for w in words:
-                if len(w) > CACHED_CHARS:
-                    parts += [self._known(run), np.array(self.tokenizer.encode(
-                        w, add_special_tokens=False).ids, np.uint32)]
-                    run = []
-                else:
-                    run.append(w)
-            return np.concatenate([*parts, self._known(run)])
-        return self._known(words)
-
-    def _known(self, words: list[str]) -> np.ndarray:
-        if len(self.place) > CACHED_WORDS:
+        self.chars += sum(map(len, words))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. New words of all texts go to the library in one call."""
+        lists = [t.replace("\n", " ").split(" ") for t in texts]
+        words = list(chain.from_iterable(lists))
+        new = set(words).difference(self.place)
+        if len(self.place) + len(new) > CACHED_WORDS or self.chars > CACHED_CHARS:
             self._clear()
-        new = [w for w in set(words) if w not in self.place]
+            new = set(words)
         if new:
             self._learn(sorted(new))
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
         first = self.ends[at]
         size = self.ends[at + 1] - first
-        begin = np.cumsum(size) - size
-        return self.ids[np.arange(int(size.sum())) + np.repeat(first - begin, size)]
+        stop = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.arange(int(stop[-1])) + np.repeat(first - stop[:-1], size)]
+        cuts = stop[np.cumsum(list(map(len, lists)))].tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
 
 
 @lru_cache(maxsize=2)
@@ -161,18 +155,15 @@ def pack_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         tokens: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            begin = 0
-            for i, text in enumerate(batch.column(1)):
-                own = np.append(encoder.encode(text.as_py() or ""), np.uint32(END_ID))
-                tokens.append(own)
-                size += len(own)
+            for part in by_bytes(batch, batch.schema.names[1], BATCH_BYTES):
+                ids.append(part.column(0))
+                for own in encoder.encode([t or "" for t in part.column(1).to_pylist()]):
+                    tokens.append(np.append(own, np.uint32(END_ID)))
+                    size += len(tokens[-1])
                 if size >= block_tokens:
-                    ids.append(batch.column(0).slice(begin, i + 1 - begin))
                     out, n = block(ids, tokens, first)
                     yield out
-                    ids, tokens, size, begin, first = [], [], 0, i + 1, first + n
-            if begin < batch.num_rows:
-                ids.append(batch.column(0).slice(begin))
+                    ids, tokens, size, first = [], [], 0, first + n
         if tokens:
             yield block(ids, tokens, first)[0]
 
