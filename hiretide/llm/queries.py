@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiretide.llm import (byte_bpe, fingerprints, html_text, licenses, line_dedup, packing, pii,
-                          quality, token_counts)
+from hiretide.llm import (byte_bpe, fingerprints, html_text, licenses, line_dedup, ngram_join,
+                          packing, pii, quality, token_counts)
 from hiretide.llm.common import documents
 
 
@@ -52,6 +52,10 @@ FROM documents d LEFT JOIN (
 """
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir),
                                   public_tokenizers.path("word_bpe_49k.json"))
@@ -130,6 +134,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_pii, op2_html_extraction, op3_line_dedup, op5_packing, op6_document_fingerprints,
+        op1_pii, op2_html_extraction, op3_line_dedup, op4_ngram_jaccard_join,
+        op5_packing, op6_document_fingerprints,
         op7_byte_bpe, op8_token_counts, op9_license_scans, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_license_scans": _license_sql()}
