@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiretide.llm import packing, pii, quality
+from hiretide.llm import line_dedup, ngram_join, packing, pii, quality
 from hiretide.llm.common import documents, stored
 
 
@@ -15,9 +15,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the chunks of lines that an earlier one has; those of which nothing is
+    left go."""
+    return _measured(line_dedup.dedup_lines(docs, drop_emptied=True))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return ngram_join.drop_near_duplicates(docs)
+
+
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data replaced, and their length as it is then."""
-    return pii.redact_pii(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """Documents with personal data replaced by its kind."""
+    return _measured(pii.redact_pii(docs))
+
+
+def _measured(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +40,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality_rules", quality_rules), ("pii", redact_pii), ("packing", pack)]
+STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup_stage),
+          ("near_duplicates", near_duplicates), ("pii", redact_pii), ("packing", pack)]
 
 #: SQL has no tokenizer, so the last stage cannot be written in it.
 ORACLE_SQL = None

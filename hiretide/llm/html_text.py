@@ -8,8 +8,8 @@ footers, sidebars, notices, adverts, forms, comments, by tag, role, class or id)
 Pass one decides blocks by themselves: ``out`` is boilerplate, and so is a block made of links;
 long text with many stop words is content, long text without them boilerplate. Inside ``main``
 only links count against a block. Short blocks stay open. Pass two lets open blocks inherit from
-their nearest decided neighbours of the same zone: both sides agree, or the nearer one rules; without
-any they count as content. Stop words say nothing on a page that has none of those listed. Open blocks of a page that has a main zone do not
+their nearest decided neighbours of the same zone: both sides agree, or the nearer one rules (content, if
+both are as near); without any they count as content. Stop words say nothing on a page that has none of those listed. Open blocks of a page that has a main zone do not
 count.
 
 Null and empty pages give the empty text; broken markup (unclosed tags, cut files, stray quotes)
@@ -255,7 +255,8 @@ def second_pass(found: list[Block]) -> None:
             elif last[1] == before[i][1]:
                 own[i].verdict = last[1]
             else:
-                own[i].verdict = last[1] if last[0] - i <= i - before[i][0] else before[i][1]
+                after, behind = last[0] - i, i - before[i][0]
+                own[i].verdict = after == behind or (last[1] if after < behind else before[i][1])
             if zone == "main" and decided[i] is None and own[i].linked <= MOST_LINKS * len(
                     own[i].text):
                 own[i].verdict = True  # a menu in an article says nothing of the text around it

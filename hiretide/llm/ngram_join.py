@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -362,3 +362,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.join(named, "name", "left").select(
         F.col("id").alias(id_col), F.col("size").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"))
+
+
+def drop_near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of each component of ``df``, the one of the least id, with all its columns. Of rows
+    equal in id and text one stays; rows without an id are kept, as nothing names them."""
+    found = near_duplicates(df, id_col, text_col, n, percent)
+    kept = found.filter(F.col(id_col) == F.col("component_id")).select(
+        F.col(id_col).alias("__kept")).distinct()
+    names = df.columns
+    plain = df.toDF(*(f"__c{i}" for i in range(len(names))))
+    ident, text = (F.col(f"__c{names.index(c)}") for c in (id_col, text_col))
+    rows = plain.join(kept.hint("shuffle_hash"), ident == F.col("__kept"), "left")
+    place = F.row_number().over(Window.partitionBy(ident, F.xxhash64(text)).orderBy(F.lit(0)))
+    rows = rows.filter(F.col("__kept").isNotNull()).withColumn("__place", place).filter(
+        "__place = 1").select(*plain.columns)
+    return rows.unionByName(plain.filter(ident.isNull())).toDF(*names)

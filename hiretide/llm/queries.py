@@ -23,8 +23,8 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The texts as they are left, and how many chunks went."""
-    return line_dedup.dedup_lines(documents(spark, sf_dir)).select(
-        "doc_id", F.col("__removed").cast("long").alias("n_removed"), "text")
+    return line_dedup.dedup_lines(documents(spark, sf_dir), count_col="n_removed").select(
+        "doc_id", "n_removed", "text")
 
 
 OP3_SQL = rf"""

@@ -1,0 +1,88 @@
+import re
+
+from hypothesis import given
+from hypothesis import strategies as st
+
+from hiretide.llm import pii
+
+NAIVE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def naive_luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        x = int(d) * (2 if i % 2 else 1)
+        total += x - 9 if x > 9 else x
+    return total % 10 == 0
+
+
+def naive(text):
+    found = []
+    for kind, pattern in NAIVE.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card" and not (12 <= len(digits) <= 19 and naive_luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            found.append((m.start(), m.end(), kind))
+    return sorted(found, key=lambda s: (s[0], list(NAIVE).index(s[2])))
+
+
+@given(st.text(st.sampled_from("a@.b-+1 (0)92Z%_\n5,4")))
+def test_base_spans_are_those_of_the_plain_expressions(text):
+    assert [s[:3] for s in pii.base_spans(text)] == naive(text)
+
+
+def test_base_spans_in_given_documents(docs):
+    texts = [r.text for r in docs.collect()]
+    assert sum(map(len, map(naive, texts))) > 5
+    for text in texts:
+        assert [s[:3] for s in pii.base_spans(text)] == naive(text)
+
+
+def test_failing_match_is_dropped_without_retry():
+    assert pii.base_spans("1.2.3.4.5.6.7.8") == [(0, 7, "ip", 1.0), (8, 15, "ip", 1.0)]
+    assert pii.base_spans("999.1.2.3") == []
+    assert [s[2] for s in pii.base_spans("4111 1111 1111 1111")] == ["card"]
+    assert pii.base_spans("4111 1111 1111 1112") == []
+
+
+def test_checksums_and_context_decide_further_kinds():
+    kinds = lambda text: [s[2] for s in pii.all_spans(text)[1]]
+    assert kinds("pay to DE89 3704 0044 0532 0130 00 now") == ["iban"]
+    assert kinds("pay to DE88 3704 0044 0532 0130 00 now") == []
+    assert kinds("my social security number 123-45-6789") == ["ssn"]
+    assert kinds("part 123-45-6789") == []
+    assert kinds("call (212) 555-0123") == ["local_phone"]
+    assert kinds("code (212) 555-0123") == []
+
+
+def test_linear_on_long_runs():
+    for text in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+1" * 100_000, "a@" * 100_000):
+        pii.all_spans(text)
+
+
+def test_digest_and_edges(edge_docs, no_docs):
+    rows = pii.digest_pii(edge_docs).collect()
+    assert len(rows) == edge_docs.count()
+    by_text = {r.doc_id: r for r in rows if r.doc_id}
+    empty = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+    assert by_text[2].base_sha256 == by_text[3].base_sha256 == empty
+    assert [r.spans for r in rows if r.doc_id is None and r.n_email] == ["email:17:25"]
+    assert pii.digest_pii(no_docs).collect() == []
+    assert pii.find_pii(no_docs).collect() == []
+
+
+def test_redaction_keeps_columns(edge_docs):
+    out = pii.redact_pii(edge_docs)
+    assert out.columns == edge_docs.columns
+    assert any(r.text == "no id here, mail <EMAIL> or x" for r in out.collect())
+    assert pii.redact_text("1.2.3.4 and 5.6.7.8") == "<IP> and <IP>"

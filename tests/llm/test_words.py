@@ -1,0 +1,35 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given
+from hypothesis import strategies as st
+
+from hiretide.llm import words
+
+TEXTS = st.lists(st.one_of(st.none(), st.text(st.sampled_from("aBé \n\t\x0b\x1cz漢"))), max_size=8)
+
+
+@given(TEXTS)
+def test_words_and_shingles_are_those_of_the_expression(texts):
+    column = pa.array(texts, pa.string())
+    w = words.split_words(column)
+    wanted = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    assert w.counts.tolist() == [len(x) for x in wanted]
+    flat = [x.encode() for own in wanted for x in own]
+    assert [w.data[a:b].tobytes() for a, b in zip(w.start, w.stop)] == flat
+    hashes = words.word_hashes(w, lower=True)
+    lowered = [x.lower() for x in flat]  # of bytes: A-Z alone
+    assert len(set(hashes.tolist())) == len(set(lowered))
+    shingles, bounds = words.shingle_sets(hashes, w.first, 3)
+    for own, a, b in zip(wanted, bounds, bounds[1:]):
+        own = [x.encode().lower() for x in own]
+        sets = {tuple(own[i:i + 3]) for i in range(len(own) - 2)} or ({tuple(own)} - {()})
+        assert b - a == len(sets)
+        assert np.all(np.diff(shingles[a:b].astype(object)) > 0)
+
+
+def test_long_words_differ_beyond_the_table_of_powers():
+    column = pa.array(["x" * 9000, "x" * 8999 + "y", "y" + "x" * 8999, "x" * 9000])
+    hashes = words.word_hashes(words.split_words(column), lower=False)
+    assert hashes[0] == hashes[3] and len(set(hashes.tolist())) == 3
