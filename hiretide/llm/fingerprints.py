@@ -34,7 +34,7 @@ LEAST, MEAN, MOST = 24, 48, 192  # characters of a segment
 GROUP, STRETCH = 8, 4  # a band samples one step of a group, in one of two stretches of 4 groups
 STEPS = 3 * MOST
 BATCH_CHARS = 3 << 20
-BANDS_PER_KEY, SIMILAR = 4, 0.5
+BANDS_PER_KEY, SIMILAR = 2, 0.5
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _MOVE = _RNG.integers(0, 2, (STEPS, 256), dtype=np.int32)  # of the shared walk
