@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from hiretide.session import CONF
 from hiretide.sources.event_stream import EventFiles, KafkaTopic
-from hiretide.streaming.pipeline import await_all, run_pipeline
+from hiretide.streaming.pipeline import COUNTS, await_all, run_pipeline
 from hiretide.streaming.tables import MODES, reset
 
 
@@ -22,6 +22,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--mode", choices=MODES, default="queries")
     parser.add_argument("--window", type=int, default=300, help="window size in seconds")
     parser.add_argument("--watermark", help="e.g. '1 hour': drop state and events older than this")
+    parser.add_argument("--count", choices=COUNTS, help="count events once, or every delivery")
+    parser.add_argument("--merge-every", type=int, default=100, help="batches between merges")
     parser.add_argument("--every", help="e.g. '30 seconds': time between batches")
     parser.add_argument("--once", action="store_true", help="read what is there, then stop")
     parser.add_argument("--reset", action="store_true", help="empty the tables first")
@@ -38,7 +40,7 @@ def main(arguments: list[str] | None = None) -> None:
     trigger = {"availableNow": True} if args.once \
         else {"processingTime": args.every} if args.every else None
     await_all(run_pipeline(spark, source, args.root, args.mode, trigger, args.window,
-                           args.watermark))
+                           args.watermark, count=args.count, merge_every=args.merge_every))
 
 
 if __name__ == "__main__":

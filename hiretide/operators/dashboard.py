@@ -17,8 +17,9 @@ def snapshot(jobs: DataFrame, trend_tech: DataFrame, trend_role: DataFrame,
              window_size_sec: int = 300) -> dict[str, DataFrame]:
     """Jobs page, top tags, top roles and the series of the chosen tag.
 
-    Nothing runs until a frame is used. For a drill-down call it with another
-    ``tech`` and use ``series`` alone.
+    Each frame is worked out when it is used, so pass trends that are stored
+    (``Tables.trend_tech.read()``): counts of raw jobs would be made anew for each. For a
+    drill-down call it with another ``tech`` and use ``series`` alone.
     """
     return {
         "jobs": search_jobs(jobs, location=(location or "").strip(),

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hiretide.functions.text import icontains
+from hiretide.functions.times import utc_day
 from hiretide.schemas import JOBS
 
 
@@ -44,20 +46,102 @@ def check_page(limit: int, offset: int) -> None:
     check_range("offset", offset, 0)
 
 
-def newest_page(jobs: DataFrame, filters: list[Column], limit: int, offset: int) -> DataFrame:
+def _micros(column: Column) -> Column:
+    return F.unix_micros(column.cast("timestamp"))
+
+
+def _at(jobs: DataFrame, micros: int) -> Column:
+    return F.timestamp_micros(F.lit(micros)).cast(jobs.schema["ingested_at"].dataType)
+
+
+def cursor_of(row) -> tuple[datetime, str]:
+    """The cursor behind a result row: pass it as ``after`` to get the rows that follow."""
+    return row["ingested_at"], row["event_id"]
+
+
+def _behind(jobs: DataFrame, after: tuple) -> DataFrame:
+    at, event_id = F.lit(after[0]).cast(jobs.schema["ingested_at"].dataType), after[1]
+    return jobs.where((F.col("ingested_at") < at)
+                      | ((F.col("ingested_at") == at) & (F.col("event_id") > event_id)))
+
+
+def _locate(counts: list, offset: int) -> tuple[object, int]:
+    """The group, in the given order, an offset falls into, and the offset within it."""
+    for at, count in counts:
+        if offset < count:
+            return at, offset
+        offset -= count
+    return None, 0
+
+
+def _counted(rows: DataFrame, by: Column) -> list:
+    """(group, rows) from the greatest group down; counted in each task before the shuffle."""
+    return [tuple(r) for r in rows.groupBy(by.alias("at")).count().orderBy(F.desc("at")).collect()]
+
+
+def _row_at(keys: DataFrame, offset: int) -> tuple[int, str]:
+    """Time and id of the row at an offset, of rows of one second however many: these are sorted
+    over many tasks, and the tasks' row counts tell where the row is."""
+    order = [F.desc("ingested_at"), F.asc("event_id")]
+    tasks = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = keys.select("ingested_at", "event_id").repartitionByRange(tasks, *order) \
+        .withColumn("task", F.spark_partition_id()).persist()
+    try:
+        counts = [tuple(r) for r in placed.groupBy("task").count().orderBy("task").collect()]
+        task, rest = _locate(counts, offset)
+        ranked = placed.where(F.col("task") == task).withColumn(
+            "place", F.row_number().over(Window.partitionBy("task").orderBy(*order)))
+        row = ranked.where(F.col("place") == rest + 1).select(
+            _micros(F.col("ingested_at")), "event_id").first()
+        return row[0], row[1]
+    finally:
+        placed.unpersist()
+
+
+def find_page(jobs: DataFrame, filters: list[Column], limit: int, offset: int = 0,
+              after: tuple | None = None, day: str | None = None) -> DataFrame:
+    """One page of matching rows, newest first, all of them behind ``after`` if that is given.
+
+    Rows before an offset are skipped by counts: of days, then of the seconds of one day, then of the
+    places in one second. The driver gets a row per day, per second of a day and per task.
+    The page itself is a top-k: no task gets more rows than ``limit`` from another. With the
+    partition column ``day`` only the days of the page are read whole. A cursor needs no counts of
+    what lies before it.
+    """
     check_page(limit, offset)
-    return newest_first(matching_jobs(jobs, filters)).offset(offset).limit(limit)
+    rows = matching_jobs(jobs if after is None else _behind(jobs, after), filters)
+    days = F.col(day) if day else utc_day(F.col("ingested_at").cast("timestamp"))
+    if offset or day:
+        counts = _counted(rows, days)
+        start, rest = _locate(counts, offset)
+        if start is None:
+            return newest_first(jobs.limit(0))
+        if day:
+            end, _ = _locate(counts, offset + limit - 1)
+            rows = rows.where(days <= F.lit(start))
+            rows = rows if end is None else rows.where(days >= F.lit(end))
+        if offset:
+            seconds = F.unix_seconds(F.col("ingested_at").cast("timestamp"))
+            first = rows.where(days == F.lit(start))
+            second, rest = _locate(_counted(first, seconds), rest)
+            micros, event_id = _row_at(first.where(seconds == second), rest)
+            at = _at(jobs, micros)
+            rows = rows.where((F.col("ingested_at") < at)
+                              | ((F.col("ingested_at") == at) & (F.col("event_id") >= event_id)))
+    return newest_first(rows).limit(limit)
 
 
 def search_jobs(jobs: DataFrame, company: str | None = None, location: str | None = None,
                 role_category: str | None = None, seniority: str | None = None,
-                limit: int = 20, offset: int = 0) -> DataFrame:
+                limit: int = 20, offset: int = 0, after: tuple | None = None) -> DataFrame:
     """One page of matching jobs, newest first.
 
-    A top-k per task, then of the tasks: no full sort, no full shuffle.
+    A top-k per task, then of the tasks: no full sort, no full shuffle. An ``offset`` costs
+    counts of what lies before it (see ``find_page``); ``after``, a (time, id) pair as ``cursor_of`` gives
+    it, goes on behind a row without them.
     """
     terms = job_filters(company, location, role_category, seniority)
-    return newest_page(jobs.select(*JOBS.fieldNames()), terms, limit, offset)
+    return find_page(jobs.select(*JOBS.fieldNames()), terms, limit, offset, after)
 
 
 def top_techs(trend: DataFrame, window_size_sec: int = 300, limit: int = 10) -> DataFrame:
@@ -92,7 +176,11 @@ def _top_of_latest(trend: DataFrame, key: str, size: int, limit: int) -> DataFra
     # count it twice where it is not stored.
     check_range("window_size_sec", size, 1)
     check_range("limit", limit, 1, 100)
-    rows = trend.where(F.col("window_size_sec") == size).select(*_columns(key))
+    rows = trend.where(F.col("window_size_sec") == size)
+    if "window_date" in trend.columns:  # stored by day: the newest one is read, the others are not
+        newest = rows.agg(F.max("window_date").alias("newest")).scalar()
+        rows = rows.where(F.col("window_date") == newest)
+    rows = rows.select(*_columns(key))
     first = rows.orderBy(F.desc("window_start"), F.desc("count"), F.asc(key)).limit(limit)
     # At most ``limit`` rows are left here, so one task is enough.
     latest = first.withColumn("_latest", F.max("window_start").over(Window.partitionBy()))

@@ -6,8 +6,6 @@ no title, every 19th no description, and so on (see ``postings``).
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,42 +63,72 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.withColumn("seniority", F.lit(None).cast("string"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder all executors reach: under the cluster's checkpoint folder, if it names one."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") \
-        or tempfile.mkdtemp(prefix="hiretide-")
-    return f"{root.rstrip('/')}/run-{uuid.uuid4().hex}"
+def work_folder(spark: SparkSession) -> str:
+    """The application's own folder, where all executors reach it: in the folder that the setting
+    ``spark.checkpoint.dir`` names, or, in local mode, in the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/hiretide-{spark.sparkContext.applicationId}"
 
 
-def published_events(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> EventFiles:
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """An empty folder for one use. The next use of the name takes it over, so that runs do not
+    pile up; ``clean`` removes all of them."""
+    path = f"{work_folder(spark)}/{name}"
+    folders.remove(spark, path)
+    return path
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove what queries of this application have written; their results cannot be read then."""
+    folders.remove(spark, work_folder(spark))
+
+
+#: Files a micro-batch of the derived stream reads, however many there are.
+FILES_PER_BATCH = 4
+
+
+def published_events(spark: SparkSession, sf_dir: str, name: str,
+                     redelivered: bool = False) -> EventFiles:
     """The derived postings published as event files, with one broken line per 29 events.
 
-    With ``redelivered`` every 43rd event stands there twice.
+    With ``redelivered`` every 43rd event comes once more, in files that are read after the others,
+    so in a later batch.
     """
     rows = postings(spark, sf_dir)
     n = F.col("event_id").cast("long")
-    copies = F.when((n % 43 == 0) & F.lit(redelivered), F.lit(2)).otherwise(F.lit(1))
-    events = to_events(rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))),
-                       id_col="event_id", time_col="ingested_at")
+    events = to_events(rows, id_col="event_id", time_col="ingested_at")
     broken = rows.where(n % 29 == 0).select(
         F.col("event_id").alias("key"),
         F.concat(F.lit('{"event_id": "broken-'), "event_id").alias("value"))
-    path = shared_folder(spark)
+    path = shared_folder(spark, f"{name}/events")
     # Neighbouring events go to different files, so the batches share windows.
-    lines = events.unionByName(broken).select(
-        "value", (F.col("key").cast("long") % 4).alias("slice"))
-    lines.write.partitionBy("slice").text(path)
-    files = len(folders.matching(spark, f"{path}/slice=*/part-*"))
-    return EventFiles(path, files_per_batch=max(1, -(-files // 2)))
-
-
-def streamed(spark: SparkSession, sf_dir: str, mode: str, only: Sequence[str] = (),
-             redelivered: bool = False, window_sec: int = 300) -> Tables:
-    """The tables after the pipeline has read all published events, in about two batches."""
-    source = published_events(spark, sf_dir, redelivered)
-    root = shared_folder(spark)
+    slices = (F.col("key").cast("long") % 6).alias("slice")
+    events.unionByName(broken).select("value", slices).write.partitionBy("slice").text(path)
+    if redelivered:
+        again = events.where(F.col("key").cast("long") % 43 == 0)
+        again.select("value", F.lit("again").alias("slice")).write.mode("append") \
+            .partitionBy("slice").text(path)
+    return EventFiles(path, files_per_batch=FILES_PER_BATCH)
+
+
+def streamed(spark: SparkSession, sf_dir: str, name: str, mode: str, only: Sequence[str] = (),
+             redelivered: bool = False, window_sec: int = 300, merge_every: int = 2) -> Tables:
+    """The tables after the pipeline has read all published events, in several batches; the last
+    ones are not merged."""
+    source = published_events(spark, sf_dir, name, redelivered)
+    return piped(spark, source, shared_folder(spark, f"{name}/tables"), mode, only, window_sec,
+                 merge_every)
+
+
+def piped(spark: SparkSession, source: EventFiles, root: str, mode: str, only: Sequence[str] = (),
+          window_sec: int = 300, merge_every: int = 2) -> Tables:
     more = {"only": only} if only else {}
-    await_all(run_pipeline(spark, source, root, mode, {"availableNow": True}, window_sec, **more))
+    await_all(run_pipeline(spark, source, root, mode, {"availableNow": True}, window_sec,
+                           merge_every=merge_every, **more))
     return Tables(spark, root, mode)
 
 

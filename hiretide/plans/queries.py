@@ -13,14 +13,17 @@ from hiretide.functions.text import lowered
 from hiretide.functions.times import utc_clock
 from hiretide.operators import dashboard
 from hiretide.operators.events import parse_events, to_events
-from hiretide.operators.reads import (role_timeseries, search_jobs, tech_timeseries, top_roles,
+from hiretide.operators.reads import (cursor_of, role_timeseries, search_jobs, tech_timeseries, top_roles,
                                       top_techs)
 from hiretide.operators.replace import replace_range
 from hiretide.operators.tagging import add_role_category, add_techs, enrich
 from hiretide.operators.trends import role_trend, tech_trend
 from hiretide.plans import fixture as fx
+from hiretide.sources.event_stream import EventFiles
 from hiretide.sources.generate import PRIME, SPREAD, STEP, generate_postings
 from hiretide.sources.postings import read_postings
+from hiretide.streaming.publish import publish
+from hiretide.streaming.tables import init_tables, reset
 
 DAY = 86_400
 SEED = 7
@@ -188,10 +191,39 @@ def search_jobs_company_wildcard(spark, sf):
     return flat(search_jobs(fx.jobs(spark, sf), company="s_ark%LAB", limit=200))
 
 
-@query(f"{TAGGED} {FLAT} WHERE seniority = 'senior' ORDER BY ingested_at DESC LIMIT 20")
+SENIOR = """SELECT event_id, ingested_at, company, title, location,
+  CASE WHEN title LIKE 'Senior %' THEN 'senior' WHEN title IS NOT NULL THEN 'regular' END
+    AS seniority, role_category, description, url, array_to_string(techs, ',') AS techs
+FROM tagged"""
+
+
+@query(f"{TAGGED} SELECT * FROM ({SENIOR}) WHERE seniority = 'senior' "
+       "ORDER BY ingested_at DESC, event_id LIMIT 20")
 def search_jobs_seniority(spark, sf):
-    """No job has a seniority, so there is no match."""
-    return flat(search_jobs(fx.jobs(spark, sf), seniority="senior"))
+    """The column is empty in the pipeline's own tables, so it is filled from the titles here."""
+    jobs = fx.jobs(spark, sf).withColumn(
+        "seniority", F.when(F.col("title").startswith("Senior "), "senior")
+        .when(F.col("title").isNotNull(), "regular"))
+    return flat(search_jobs(jobs, seniority="senior"))
+
+
+DEEP = 900
+
+
+@query(f"{TAGGED} {FLAT} ORDER BY ingested_at DESC, event_id LIMIT 50 OFFSET {DEEP}")
+def search_jobs_deep_page(spark, sf):
+    """A page behind many others, found by counts."""
+    return flat(search_jobs(fx.jobs(spark, sf), limit=50, offset=DEEP))
+
+
+@query(f"""{TAGGED} {FLAT} WHERE location ILIKE '%remote%'
+ORDER BY ingested_at DESC, event_id LIMIT 30 OFFSET 15""")
+def search_jobs_next_page(spark, sf):
+    """The page that follows a row, without counting what lies before it."""
+    jobs = fx.jobs(spark, sf)
+    last = search_jobs(jobs, location="remote", limit=15).orderBy(
+        "ingested_at", F.desc("event_id")).first()
+    return flat(search_jobs(jobs, location="remote", limit=30, after=cursor_of(last)))
 
 
 # --- dashboard -------------------------------------------------------------------------------
@@ -295,7 +327,15 @@ FROM events WHERE event_id % 41 = 0
 UNION ALL SELECT 'reject', NULL, NULL, NULL, NULL, NULL, '{{"title": "broken ' || event_id
 FROM events WHERE event_id % 29 = 0
 UNION ALL SELECT 'reject', NULL, NULL, NULL, NULL, NULL, '{{"title": "x"}} ' || event_id
-FROM events WHERE event_id % 37 = 0""")
+FROM events WHERE event_id % 37 = 0
+UNION ALL SELECT 'reject', NULL, NULL, NULL, NULL, NULL, '{{"title":"x"}}] garbage ' || event_id
+FROM events WHERE event_id % 43 = 0
+UNION ALL SELECT 'reject', NULL, NULL, NULL, NULL, NULL,
+  '{{"title":"' || event_id || '"}}],[{{"title":"y"}}' FROM events WHERE event_id % 47 = 0
+UNION ALL SELECT 'reject', NULL, NULL, NULL, NULL, NULL, event_id || '],[2'
+FROM events WHERE event_id % 53 = 0
+UNION ALL SELECT 'posting', NULL, 'a ]}} b ' || event_id, NULL, NULL, NULL, NULL
+FROM events WHERE event_id % 59 = 0""")
 def read_postings_rejects(spark, sf):
     """JSON-lines files with blank, broken and non-object lines among the postings."""
     rows = fx.postings(spark, sf)
@@ -310,8 +350,13 @@ def read_postings_rejects(spark, sf):
         every(41, F.concat(F.lit("["), n.cast("string"), F.lit("]"))),
         every(31, F.lit("   ")),
         every(29, F.concat(F.lit('{"title": "broken '), n.cast("string"))),
-        every(37, F.concat(F.lit('{"title": "x"} '), n.cast("string")))))).alias("value"))
-    path = fx.shared_folder(spark)
+        every(37, F.concat(F.lit('{"title": "x"} '), n.cast("string"))),
+        every(43, F.concat(F.lit('{"title":"x"}] garbage '), n.cast("string"))),
+        every(47, F.concat(F.lit('{"title":"'), n.cast("string"), F.lit('"}],[{"title":"y"}'))),
+        every(53, F.concat(n.cast("string"), F.lit("],[2"))),
+        every(59, F.concat(F.lit('{"title":"a ]} b '), n.cast("string"), F.lit('"}')))
+    ))).alias("value"))
+    path = fx.shared_folder(spark, "read_postings_rejects")
     lines.write.text(path)
     good, rejects = read_postings(spark, path)
     good = good.withColumn("line", F.when(F.col("line").startswith("["), F.col("line")))
@@ -322,64 +367,137 @@ def read_postings_rejects(spark, sf):
 # --- streams and tables ----------------------------------------------------------------------
 
 def tech_rows(tables):
-    return clocked(tables.trend_tech.read())
+    return clocked(tables.trend_tech.read().drop("window_date"))
 
 
 def role_rows(tables):
-    return clocked(tables.trend_role.read())
+    return clocked(tables.trend_role.read().drop("window_date"))
 
 
 @query(trend("tech", 300))
 def stream_tech_trend(spark, sf):
     """The tag trend as a stateful stream leaves it in its table."""
-    return tech_rows(fx.streamed(spark, sf, "queries", ["trend_tech"]))
+    return tech_rows(fx.streamed(spark, sf, "stream_tech_trend", "queries", ["trend_tech"]))
 
 
 @query(trend("role_category", 300))
 def stream_role_trend(spark, sf):
     """The role trend as a stateful stream leaves it in its table."""
-    return role_rows(fx.streamed(spark, sf, "queries", ["trend_role"]))
+    return role_rows(fx.streamed(spark, sf, "stream_role_trend", "queries", ["trend_role"]))
 
 
 @query(f"{TAGGED} {FLAT}")
 def stream_jobs(spark, sf):
-    """The jobs table after a stream in which some events came twice."""
-    tables = fx.streamed(spark, sf, "queries", ["jobs"], redelivered=True)
+    """The jobs table after a stream in which some events came again in a later batch."""
+    tables = fx.streamed(spark, sf, "stream_jobs", "queries", ["jobs"], redelivered=True)
     return clocked(flat(tables.jobs.read()), "ingested_at")
 
 
 @query("""SELECT '{"event_id": "broken-' || event_id AS raw FROM events WHERE event_id % 29 = 0""")
 def stream_rejects(spark, sf):
     """Lines of the stream that hold no event."""
-    return fx.streamed(spark, sf, "queries", ["jobs"]).rejects.read()
+    return fx.streamed(spark, sf, "stream_rejects", "queries", ["jobs"]).rejects.read()
 
 
 @query(trend("tech", 300))
 def stream_single_pass_tech_trend(spark, sf):
-    """The tag trend of the one-query pipeline, after its batches were folded into one part."""
-    tables = fx.streamed(spark, sf, "single_pass")
-    batches = len(tables.trend_tech.parts())
-    tables.trend_tech.fold(batches)
-    return tech_rows(tables)
+    """The tag trend of the one-query pipeline: events that come again count once."""
+    return tech_rows(fx.streamed(spark, sf, "stream_single_pass_tech_trend", "single_pass",
+                                 redelivered=True))
 
 
 @query(f"""{TAGGED} {FLAT} WHERE location ILIKE '%austin%'
 ORDER BY ingested_at DESC, event_id LIMIT 50 OFFSET 10""")
 def stream_single_pass_search(spark, sf):
-    """A search of the jobs table of the one-query pipeline, after a fold."""
-    jobs = fx.streamed(spark, sf, "single_pass").jobs
-    jobs.fold(len(jobs.parts()))
+    """A search of the jobs table of the one-query pipeline, of which a part is merged."""
+    jobs = fx.streamed(spark, sf, "stream_single_pass_search", "single_pass").jobs
     return clocked(flat(jobs.search(location="austin", limit=50, offset=10)), "ingested_at")
 
 
+@query(trend("tech", 300, fx.latest_sql("tech")))
+def stream_top_techs(spark, sf):
+    """The top of the latest window out of the stored trend, of which one day is read."""
+    tables = fx.streamed(spark, sf, "stream_top_techs", "single_pass")
+    return clocked(top_techs(tables.trend_tech.read()))
+
+
+@query(f"""{TAGGED}, {fx.trend_sql("tech", 300, name="by_tech")},
+{fx.trend_sql("role_category", 300, name="by_role")}
+SELECT 'jobs' AS what, role_category AS key, count(*) AS n FROM tagged GROUP BY role_category
+UNION ALL SELECT 'tech', tech, sum(count)::BIGINT FROM by_tech GROUP BY tech
+UNION ALL SELECT 'windows', tech, count(*) FROM by_tech GROUP BY tech
+UNION ALL SELECT 'role', role_category, sum(count)::BIGINT FROM by_role GROUP BY role_category""")
+def stream_three_queries(spark, sf):
+    """All three queries at once over one source, each with its own checkpoint."""
+    tables = fx.streamed(spark, sf, "stream_three_queries", "queries")
+    trend_tech, trend_role = tables.trend_tech.read(), tables.trend_role.read()
+    return tables.jobs.read().groupBy(F.col("role_category").alias("key")).agg(
+        F.count("*").alias("n")).select(F.lit("jobs").alias("what"), "key", "n").unionByName(
+        trend_tech.groupBy(F.col("tech").alias("key")).agg(F.sum("count").alias("n")).withColumn(
+            "what", F.lit("tech"))).unionByName(
+        trend_tech.groupBy(F.col("tech").alias("key")).agg(F.count("*").alias("n")).withColumn(
+            "what", F.lit("windows"))).unionByName(
+        trend_role.groupBy(F.col("role_category").alias("key")).agg(
+            F.sum("count").alias("n")).withColumn("what", F.lit("role")))
+
+
+@query(trend("role_category", 300))
+def stream_reset_and_rerun(spark, sf):
+    """Tables and checkpoints reset after a first run, then filled again from the same source."""
+    source = fx.published_events(spark, sf, "stream_reset_and_rerun")
+    root = fx.shared_folder(spark, "stream_reset_and_rerun/tables")
+    fx.piped(spark, source, root, "queries", ["trend_role"])
+    reset(spark, root, "queries")
+    return role_rows(fx.piped(spark, source, root, "queries", ["trend_role"]))
+
+
+@query("""SELECT count(*) AS events, count(*) AS ids, count(*) AS uuids, count(*) AS timed
+FROM events""")
+def drawn_event_ids(spark, sf):
+    """Events without given id and time, published and read back: ids are random UUIDs that differ,
+    the time is that of the run."""
+    events = to_events(fx.postings(spark, sf).drop("event_id", "ingested_at"))
+    path = fx.shared_folder(spark, "drawn_event_ids")
+    publish(events, EventFiles(path))
+    rows = parse_events(spark.read.text(path))
+    uuid = F.col("event_id").rlike("^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$")
+    age = F.current_timestamp().cast("double") - F.col("ingested_at").cast("double")
+    return rows.agg(F.count("*").alias("events"), F.countDistinct("event_id").alias("ids"),
+                    F.count_if(uuid).alias("uuids"),
+                    F.count_if(age.between(-60, 3600)).alias("timed"))
+
+
 @query(trend("tech", 300))
 def replace_range_backfill(spark, sf):
-    """A trend that lacks the postings without role of ten days, put right by a recount."""
+    """A trend put right by a recount of ten days: it lacks postings of these days, and has groups
+    there that no posting stands for."""
     jobs = fx.jobs(spark, sf)
     day = F.to_date("ingested_at")
     lost = (day >= F.lit("2024-01-10").cast("date")) & (day < F.lit("2024-01-20").cast("date"))
     existing = tech_trend(jobs.where(~(lost & (F.col("role_category") == vocab.OTHER_ROLE))))
-    return replace_range(existing, tech_trend(jobs.where(lost)))
+    times = jobs.where(lost)
+    stale = tech_trend(times).withColumn("tech", F.concat(F.lit("stale "), "tech"))
+    return replace_range(existing.unionByName(stale), tech_trend(times), times=times)
+
+
+@query(trend("tech", 300))
+def stream_replace_range(spark, sf):
+    """The stored form: a stream that saw wrong tags for ten days, then a recount of these."""
+    name = "stream_replace_range"
+    tables = init_tables(spark, fx.shared_folder(spark, name), "single_pass")
+    jobs = fx.jobs(spark, sf).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+    day = F.to_date("ingested_at")
+    lost = (day >= F.lit("2024-01-10").cast("date")) & (day < F.lit("2024-01-20").cast("date"))
+    counted = tech_trend(jobs)
+    tables.trend_tech.append_batch(counted.withColumn("tech", F.when(
+        lost_window(), F.concat(F.lit("stale "), "tech")).otherwise(F.col("tech"))), 0)
+    tables.trend_tech.replace_range(tech_trend(jobs.where(lost)), 300)
+    return tech_rows(tables)
+
+
+def lost_window():
+    day = F.to_date("window_start")
+    return (day >= F.lit("2024-01-10").cast("date")) & (day < F.lit("2024-01-20").cast("date"))
 
 
 # --- generated postings ----------------------------------------------------------------------

@@ -16,14 +16,14 @@ class KafkaTopic:
     were lost; ``options`` override both and take any other connector option.
     """
 
-    bootstrap: str = "kafka:29092"
+    bootstrap: str
     topic: str = "job_postings_raw"
     max_per_batch: int | None = None
     options: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
     def from_env(cls, env: Mapping[str, str], **more) -> KafkaTopic:
-        return cls(env.get("KAFKA_BOOTSTRAP", cls.bootstrap),
+        return cls(env["KAFKA_BOOTSTRAP"],
                    env.get("KAFKA_TOPIC_RAW", cls.topic), **more)
 
     def read_options(self) -> dict[str, str]:

@@ -3,24 +3,70 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def postgres_options(env: Mapping[str, str]) -> dict[str, str]:
     """Reader and writer options from the usual POSTGRES_* settings."""
-    host, port = env.get("POSTGRES_HOST", "postgres"), env.get("POSTGRES_PORT", "5432")
-    return {"url": f"jdbc:postgresql://{host}:{port}/{env['POSTGRES_DB']}",
+    return {"url": f"jdbc:postgresql://{env['POSTGRES_HOST']}:{env.get('POSTGRES_PORT', '5432')}/"
+                   f"{env['POSTGRES_DB']}",
             "user": env["POSTGRES_USER"], "password": env["POSTGRES_PASSWORD"],
             "driver": "org.postgresql.Driver"}
 
 
-def read_table(spark: SparkSession, table: str, options: Mapping[str, str]) -> DataFrame:
-    return spark.read.format("jdbc").options(**options).option("dbtable", table).load()
+@dataclass(frozen=True)
+class Split:
+    """How a table is read by many tasks: ranges of a number, date or time column between bounds.
+    Rows beyond the bounds are in the first and the last range."""
+
+    column: str
+    lower: str
+    upper: str
+    tasks: int
+
+    def options(self) -> dict[str, str]:
+        return {"partitionColumn": self.column, "lowerBound": self.lower,
+                "upperBound": self.upper, "numPartitions": str(self.tasks)}
+
+
+def read_table(spark: SparkSession, table: str, options: Mapping[str, str],
+               split: Split | None) -> DataFrame:
+    """A database table; ``split=None``, for small tables alone, reads it in one task."""
+    more = split.options() if split else {}
+    return spark.read.format("jdbc").options(**options, **more).option("dbtable", table).load()
 
 
 def export_table(df: DataFrame, table: str, options: Mapping[str, str],
                  connections: int = 8) -> None:
-    """Replace the rows of a database table; run again after a failure, it ends the same."""
-    df.coalesce(connections).write.format("jdbc").mode("overwrite").options(**options) \
-        .option("dbtable", table).option("truncate", "true").save()
+    """Replace the rows of a database table; run again after a failure, it ends the same.
+
+    The frame is worked out by as many tasks as it has and then dealt to the connections. Readers
+    see an empty table meanwhile: export under another name and rename it where that matters.
+    """
+    _write(df, table, options, connections).mode("overwrite").option("truncate", "true").save()
+
+
+def _write(df: DataFrame, table: str, options: Mapping[str, str], connections: int):
+    return df.repartition(connections).write.format("jdbc").options(**options) \
+        .option("numPartitions", str(connections)).option("dbtable", table)
+
+
+@dataclass(frozen=True)
+class JdbcSink:
+    """Appends the rows of each batch to tables of a database, with the batch's id.
+
+    At least once: a batch that broke off while it was written is written again, so readers take one
+    row of each key (of jobs the event, of trends window and key with the last ``batch_id``).
+    """
+
+    options: Mapping[str, str]
+    prefix: str = ""
+    connections: int = 4
+
+    def append(self, df: DataFrame, table: str, batch_id: int) -> None:
+        rows = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        rows = rows.drop("ingest_date", "bucket", "window_date", "adjust")
+        _write(rows, f"{self.prefix}{table}", self.options, self.connections).mode("append").save()

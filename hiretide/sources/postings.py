@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
@@ -13,6 +13,21 @@ BLANKS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003
           "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 STRICT = {"allowSingleQuotes": "false"}
+BROKEN = "_broken"
+
+
+def _ends_well(line: Column) -> Column:
+    """Whether the text is one whole JSON value.
+
+    A reader stops behind the first value, so the text is read inside a list and inside an object. A
+    bracket that closes the one too early is an error in the other, so what passes
+    both closes neither, and the list must have one entry.
+    """
+    listed = F.from_json(F.concat(F.lit("["), line, F.lit("]")), ArrayType(StringType()), STRICT)
+    wrapped = F.from_json(
+        F.concat(F.lit('{"v":'), line, F.lit("}")), f"v string, {BROKEN} string",
+        {**STRICT, "columnNameOfCorruptRecord": BROKEN})
+    return F.coalesce((F.size(listed) == 1) & wrapped[BROKEN].isNull(), F.lit(False))
 
 
 def parse_postings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -22,18 +37,12 @@ def parse_postings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     without fields. ``line`` is the trimmed text.
     """
     trimmed = lines.select(F.trim("value", F.lit(BLANKS)).alias("line")).where("line <> ''")
-    # Read as the only entry of a list: text after the object makes the list
-    # unreadable, a second object makes it longer, and both are wrong lines.
-    listed = F.concat(F.lit("["), F.col("line"), F.lit("]"))
-    as_object = F.from_json(listed, ArrayType(POSTING), STRICT)
-    anything = ArrayType(StringType())
     # A list of one exploded: the filters below do not read the JSON again.
-    read = trimmed.select("line", F.explode(F.array(as_object)).alias("_read"))
-    valid = F.coalesce(F.size("_read") == 1, F.size(F.from_json(listed, anything, STRICT)) == 1,
-                       F.lit(False))
-    good = read.where(valid).select("line", F.get("_read", F.lit(0)).alias("_posting")) \
-        .select("line", "_posting.*")
-    return good, read.where(~valid).select("line")
+    read = trimmed.select("line", F.explode(F.array(F.struct(
+        _ends_well(F.col("line")).alias("whole"),
+        F.from_json("line", POSTING, STRICT).alias("posting")))).alias("_read"))
+    good = read.where("_read.whole").select("line", "_read.posting.*")
+    return good, read.where("NOT _read.whole").select("line")
 
 
 def read_postings(spark: SparkSession, path: str,

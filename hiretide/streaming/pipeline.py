@@ -12,15 +12,20 @@ from hiretide.operators.tagging import add_role_category, add_techs, enrich
 from hiretide.operators.trends import role_trend, tech_trend
 from hiretide.sources import folders
 from hiretide.sources.event_stream import EventFiles, KafkaTopic, read_event_stream
+from hiretide.sources.jdbc import JdbcSink
 from hiretide.streaming.tables import Tables, init_tables
 
 QUERIES = ("jobs", "trend_tech", "trend_role")
 
 
+COUNTS = ("events", "deliveries")
+
+
 def run_pipeline(spark: SparkSession, source: KafkaTopic | EventFiles, root: str,
                  mode: str = "queries", trigger: dict | None = None, window_sec: int = 300,
                  watermark: str | None = None, only: Iterable[str] = QUERIES,
-                 any_day: bool = False) -> list[StreamingQuery]:
+                 any_day: bool = False, count: str | None = None, merge_every: int = 100,
+                 database: JdbcSink | None = None) -> list[StreamingQuery]:
     """Start the queries that fill the tables under ``root``.
 
     ``mode="queries"``: one query per table. Trends are stateful counts in update mode;
@@ -30,35 +35,56 @@ def run_pipeline(spark: SparkSession, source: KafkaTopic | EventFiles, root: str
     ``mode="single_pass"``: one stateless query reads, parses and tags each event once
     and stores its batch's own counts, which reads add up. No state, no lost late events.
 
-    ``trigger`` is passed on, e.g. ``{"availableNow": True}``; unset, a batch follows the last.
+    ``count``: what trends count. ``"events"``: an event that is delivered again counts once; a single
+    pass counts the rows new to the jobs table, queries drop copies within the watermark, which
+    they need for it. ``"deliveries"``: every copy counts. Unset: events, where that can be had.
+
+    Every ``merge_every`` batches a table's batches go into its base. ``database`` gets the rows of
+    each batch as well. ``trigger`` is passed on, e.g. ``{"availableNow": True}``; unset, a batch
+    follows the last.
     """
+    if count is None:
+        count = "events" if mode == "single_pass" or watermark else "deliveries"
+    if count not in COUNTS:
+        raise ValueError(f"count must be one of {COUNTS}, not {count!r}")
+    if merge_every < 1:
+        raise ValueError("merge_every must be at least 1")
     tables = init_tables(spark, root, mode, any_day)
     if mode == "single_pass":
         if watermark:
             raise ValueError("single_pass keeps no state, so it takes no watermark")
         events = enrich(parse_events(read_event_stream(spark, source)))
-        touched = list(tables.all())
-        return [_start(tables, "single_pass", touched, events, _store_all(tables, window_sec),
-                       "append", trigger)]
+        store = _kept_small(tables, list(tables.all()), merge_every, _copied(
+            tables, ("jobs", "trend_tech", "trend_role"), database,
+            _store_all(tables, window_sec, count)))
+        return [_start(tables, "single_pass", list(tables.all()), events, store, "append", trigger)]
     unknown = set(only) - set(QUERIES)
     if unknown:
         raise ValueError(f"no such query: {sorted(unknown)}")
+    if count == "events" and not watermark:
+        raise ValueError("stateful queries need a watermark to count each event once")
     started = []
     for name in QUERIES:
         if name not in only:
             continue
         events = parse_events(read_event_stream(spark, source))
+        touched, output = ["jobs", "rejects"], "append"
         if name == "jobs":
-            started.append(_start(tables, name, ["jobs", "rejects"], enrich(events),
-                                  _store_jobs(tables), "append", trigger))
-            continue
-        if name == "trend_tech":
-            counted = tech_trend(add_techs(events), window_sec, watermark=watermark)
-            store = tables.trend_tech.append_batch
+            rows, store = enrich(events), _store_jobs(tables)
         else:
-            counted = role_trend(add_role_category(events), window_sec, watermark=watermark)
-            store = tables.trend_role.append_batch
-        started.append(_start(tables, name, [name], counted, store, "update", trigger))
+            touched, output = [name], "update"
+            if count == "events":
+                events = events.withWatermark("ingested_at", watermark) \
+                    .dropDuplicatesWithinWatermark(["event_id"])
+            late = watermark if count == "deliveries" else None
+            if name == "trend_tech":
+                rows = tech_trend(add_techs(events), window_sec, watermark=late)
+            else:
+                rows = role_trend(add_role_category(events), window_sec, watermark=late)
+            store = tables.all()[name].append_batch
+        store = _copied(tables, [name], database, store)
+        started.append(_start(tables, name, touched, rows,
+                              _kept_small(tables, touched, merge_every, store), output, trigger))
     return started
 
 
@@ -80,7 +106,7 @@ def _start(tables: Tables, name: str, touched: list[str], rows: DataFrame,
            trigger: dict | None) -> StreamingQuery:
     checkpoint = tables.checkpoint(name)
     if not folders.exists(tables.spark, f"{checkpoint}/offsets"):
-        filled = [t for t in touched if tables.all()[t].parts()]
+        filled = [t for t in touched if not tables.all()[t].is_empty()]
         if filled:
             # Batch ids would start again at 0 and new rows pass for stored ones.
             raise RuntimeError(f"{filled} hold rows but {checkpoint} does not exist: "
@@ -104,7 +130,7 @@ def _store_jobs(tables: Tables):
     return store
 
 
-def _store_all(tables: Tables, window_sec: int):
+def _store_all(tables: Tables, window_sec: int, count: str):
     def store(batch: DataFrame, batch_id: int) -> None:
         if all(t.holds(batch_id) for t in tables.all().values()):
             return
@@ -113,8 +139,37 @@ def _store_all(tables: Tables, window_sec: int):
             good, rejects = split_rejects(batch)
             tables.jobs.append_batch(good, batch_id)
             tables.rejects.append_batch(rejects, batch_id)
-            tables.trend_tech.append_batch(tech_trend(batch, window_sec), batch_id)
-            tables.trend_role.append_batch(role_trend(batch, window_sec), batch_id)
+            # What the jobs table took of this batch is in its folder, also when this is a replay.
+            counted = tables.jobs.batch_rows(batch_id) if count == "events" else batch
+            tables.trend_tech.append_batch(tech_trend(counted, window_sec), batch_id)
+            tables.trend_role.append_batch(role_trend(counted, window_sec), batch_id)
         finally:
             batch.unpersist()
     return store
+
+
+def _kept_small(tables: Tables, names: Iterable[str], every: int,
+                store: Callable[[DataFrame, int], None]):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        if (batch_id + 1) % every == 0:
+            for name in names:
+                tables.all()[name].merge()
+    return run
+
+
+def _copied(tables: Tables, names: Iterable[str], database: JdbcSink | None,
+            store: Callable[[DataFrame, int], None]):
+    """Also appends what a batch stored to the database; a marker per batch keeps replays out, but for
+    one that broke off between the two."""
+    if database is None:
+        return store
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        store(batch, batch_id)
+        for name in names:
+            marker = f"{tables.base}/_database/{name}/batch={batch_id:012d}"
+            if not folders.exists(tables.spark, marker):
+                database.append(tables.all()[name].batch_rows(batch_id), name, batch_id)
+                folders.make(tables.spark, marker)
+    return run

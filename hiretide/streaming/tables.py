@@ -1,199 +1,248 @@
 """Replay-safe Parquet tables written batch by batch.
 
-A table is a folder of parts; a part covers a closed range of batch ids and
-counts from the moment its ``_SUCCESS`` marker exists, which the write sets last.
-A replayed batch finds its part and does nothing, or writes the same rows in its place; a
-half-written part has no marker, is read by nobody and is written again. Folding replaces many parts by
-one over the same ids, which takes effect with its marker as well.
+A table is a folder of plain Parquet folders:
+
+* ``batches/batch=N``: the rows of batch N, overwritten when the batch is replayed;
+* ``base/up_to=N``: what the batches up to N were merged to, partitioned for reading.
+
+A folder counts from the moment its ``_SUCCESS`` marker exists, which the write sets last. Readers
+take the base and the batches after it. ``merge`` makes the next base, by one batch query; the
+pipeline calls it every ``merge_every`` batches, so the batches after the base stay few.
 """
 
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType
 
 from hiretide import schemas
 from hiretide.functions.times import utc_day
-from hiretide.operators.reads import (check_page, job_filters, matching_jobs, newest_first,
-                                      newest_page)
-from hiretide.operators.replace import replace_range
+from hiretide.operators.reads import find_page, job_filters
 from hiretide.sources import folders
 
-PART = re.compile(r"part=(\d+)-(\d+)-(\d+)$")
-# Days a batch may spread over before the check of stored ids takes the whole
-# range from first to last day instead of the single days.
-DAYS_LISTED = 1000
-# Days of a batch up to which its rows are written without bringing days together.
-DAYS_UNSORTED = 3
-# Rows before a page up to which the page is found by sorting.
-SORTED_OFFSET = 10_000
-
-
-@dataclass(frozen=True, order=True)
-class Part:
-    first: int
-    last: int
-    version: int
-    path: str
+NUMBER = re.compile(r"=(\d+)/_SUCCESS$")
+# Of the jobs table, within a day: a batch is compared with the stored ids of its own buckets.
+BUCKETS = 16
 
-    def replaces(self, other: Part) -> bool:
-        """Whether the other part's batches are all in this one."""
-        if self == other or self.first > other.first or self.last < other.last:
-            return False
-        same = (self.first, self.last) == (other.first, other.last)
-        return not same or self.version > other.version
 
-
-class PartTable:
-    """Rows of batches, as written."""
+class BatchTable:
+    """Rows of batches, as written. A merge adds a base of the batches since the last one, so a
+    row is rewritten once."""
 
     partition_by: tuple[str, ...] = ()
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
-    def _stored(self) -> list[Part]:
-        marked = folders.matching(self.spark, f"{self.path}/part=*/_SUCCESS")
-        found = (PART.search(m.rsplit("/", 1)[0]) for m in marked)
-        return sorted(Part(int(f[1]), int(f[2]), int(f[3]), f"{self.path}/{f[0]}")
-                      for f in found if f)
+    def _numbers(self, kind: str) -> list[int]:
+        found = (NUMBER.search(m) for m in folders.matching(self.spark, f"{self.path}/{kind}=*/_SUCCESS"))
+        return sorted(int(m[1]) for m in found if m)
+
+    def _batch(self, n: int) -> str:
+        return f"{self.path}/batches/batch={n:012d}"
+
+    def _base(self, n: int) -> str:
+        return f"{self.path}/base/up_to={n:012d}"
+
+    def bases(self) -> list[int]:
+        """The bases that are read."""
+        return self._numbers("base/up_to")
 
-    def parts(self) -> list[Part]:
-        """The parts that make up the table now."""
-        stored = self._stored()
-        return [p for p in stored if not any(q.replaces(p) for q in stored)]
+    def tail(self) -> list[int]:
+        """Batches that no base has yet."""
+        last = max(self._numbers("base/up_to"), default=-1)
+        return [b for b in self._numbers("batches/batch") if b > last]
 
     def holds(self, batch_id: int) -> bool:
-        return any(p.first <= batch_id <= p.last for p in self._stored())
+        return folders.exists(self.spark, f"{self._batch(batch_id)}/_SUCCESS") \
+            or batch_id <= max(self.bases(), default=-1)
 
-    def rows(self, parts: list[Part] | None = None) -> DataFrame:
-        """Stored rows of the given parts, or of all."""
-        chosen = self.parts() if parts is None else parts
-        if not chosen:
+    def is_empty(self) -> bool:
+        return not self._numbers("batches/batch") and not self.bases()
+
+    def _rows(self, paths: list[str], root: str) -> DataFrame:
+        if not paths:
             return self.spark.createDataFrame([], self.schema)
-        # The part shows up as a partition column of its own, which is not a table column.
-        return self.spark.read.schema(self.schema).option("basePath", self.path) \
-            .parquet(*[p.path for p in chosen]).select(*self.schema.fieldNames())
+        return self.spark.read.schema(self.schema).option("basePath", root).parquet(*paths) \
+            .select(*self.schema.fieldNames())
+
+    def base_rows(self) -> DataFrame:
+        # Each base has a root of its own: its number is no column of the table.
+        parts = [self._rows([self._base(n)], self._base(n)) for n in self.bases()]
+        out = parts[0] if parts else self._rows([], "")
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
+
+    def tail_rows(self) -> DataFrame:
+        return self._rows([self._batch(n) for n in self.tail()], f"{self.path}/batches")
+
+    def rows(self) -> DataFrame:
+        """All rows stored."""
+        if not self.tail():
+            return self.base_rows()
+        return self.base_rows().unionByName(self.tail_rows()) if self.bases() else self.tail_rows()
 
     def read(self) -> DataFrame:
         """The table's rows."""
         return self.rows()
 
+    def batch_rows(self, batch_id: int) -> DataFrame:
+        """What was stored of one batch; for batches that no merge has removed."""
+        return self._rows([self._batch(batch_id)], self._batch(batch_id))
+
     def append_batch(self, df: DataFrame, batch_id: int) -> None:
         """Store the rows of one batch; a batch stored before is left as it is."""
         if not self.holds(batch_id):
-            self._write(df, batch_id, batch_id, 0)
+            self._write(df, self._batch(batch_id))
 
-    def _next_version(self, first: int, last: int) -> int:
-        return max((p.version for p in self._stored() if (p.first, p.last) == (first, last)),
-                   default=-1) + 1
-
-    def _write(self, df: DataFrame, first: int, last: int, version: int) -> None:
-        rows = df.select(*self.schema.fieldNames())
+    def _write(self, df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
         # Static: what a failed attempt left in the folder goes.
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(f"{self.path}/part={first:010d}-{last:010d}-{version:04d}")
-
-    def _folded(self, rows: DataFrame) -> DataFrame:
-        """Rows of several parts as the rows of one."""
-        return rows
-
-    def fold(self, span: int) -> int:
-        """Make one part of every ``span`` batches stored as several; gives the parts made.
-
-        Spans start at multiples of ``span`` and only complete ones are folded,
-        so a row is rewritten once per span size, not once per fold.
-        """
-        made = 0
-        blocks: dict[int, list[Part]] = {}
-        for p in self.parts():
-            if p.first // span == p.last // span:
-                blocks.setdefault(p.first // span, []).append(p)
-        for block, parts in blocks.items():
-            covered = sum(p.last - p.first + 1 for p in parts)
-            if covered == span and len(parts) > 1:
-                rows = self._folded(self.rows(parts))
-                self._write(rows, block * span, block * span + span - 1, 0)
-                made += 1
-        return made
-
-    def drop_replaced(self) -> int:
-        """Delete parts that folds replaced. Call it when no reader is older than the fold."""
-        now = set(self.parts())
-        old = [p for p in self._stored() if p not in now]
-        for p in old:
-            folders.remove(self.spark, p.path)
-        return len(old)
-
-
-class TrendTable(PartTable):
+        df.select(*self.schema.fieldNames()).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+
+    def _merged(self) -> DataFrame:
+        """Rows of the next base."""
+        rows = self.tail_rows()
+        return rows.hint("rebalance", *map(F.col, self.partition_by)) if self.partition_by else rows
+
+    def merge(self) -> None:
+        """Make the next base of the batches that have none. Batches of the base before are deleted:
+        those of the new one stay for readers that began before it."""
+        tail = self.tail()
+        if tail:
+            before = max(self.bases(), default=-1)
+            self._write(self._merged(), self._base(tail[-1]), self.partition_by)
+            self._drop(before)
+
+    def _drop(self, before: int) -> None:
+        for n in self._numbers("batches/batch"):
+            if n <= before:
+                folders.remove(self.spark, self._batch(n))
+
+
+class TrendTable(BatchTable):
     """Windowed counts, one row per window and key when read.
 
     ``kind="totals"``: a batch holds the full new count of every key it changes, as
     an update-mode stream gives; the last batch of a key counts. ``kind="deltas"``: a batch
     holds what it adds, and the counts are summed.
+
+    The base has one row per key, by window size and day. A base replaces the one before: a trend has
+    at most some dozen rows per window, whatever the number of events. ``adjust`` is what a recount
+    adds to the counts of the stream: it stays when a running stream, which knows nothing of
+    the recount, stores its next total.
     """
 
+    partition_by = ("window_size_sec", "window_date")
+
     def __init__(self, spark: SparkSession, path: str, key: str, kind: str = "totals"):
         if kind not in ("totals", "deltas"):
             raise ValueError(f"kind must be 'totals' or 'deltas', not {kind!r}")
-        row = schemas.trend(key)
-        super().__init__(spark, path, StructType(row.fields + [StructField("batch_id", LongType())]))
+        more = [StructField("window_date", DateType()), StructField("batch_id", LongType()),
+                StructField("adjust", LongType())]
+        super().__init__(spark, path, StructType(schemas.trend(key).fields + more))
         self.key, self.kind = key, kind
-        self.group = ["window_start", "window_end", "window_size_sec", key]
+        self.group = ["window_start", "window_end", "window_size_sec", key, "window_date"]
+
+    def bases(self) -> list[int]:
+        return super().bases()[-1:]
 
     def read(self) -> DataFrame:
-        return self._folded(self.rows()).select(*self.group, "count")
+        """One row per window and key; ``window_date`` lets readers leave out days."""
+        rows = self._folded(self.rows())
+        return rows.select(*self.group, (F.col("count") + F.col("adjust")).alias("count")) \
+            .where("count > 0")
 
     def append_batch(self, df: DataFrame, batch_id: int) -> None:
-        rows = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if self.kind == "totals":
-            # Reading the rows to the end is what saves the stream's state, so a replay
-            # has to write as well: the same rows, in the place of the first. Rebalanced,
-            # as there is a state partition per shuffle partition but few rows in each.
-            rows = rows.hint("rebalance", F.col("window_start"))
-            self._write(rows, batch_id, batch_id, self._next_version(batch_id, batch_id))
-        else:
-            super().append_batch(rows, batch_id)
+        rows = df.withColumns({"window_date": utc_day(F.col("window_start")),
+                               "batch_id": F.lit(batch_id).cast("long"),
+                               "adjust": F.lit(0).cast("long")})
+        # Reading the rows to the end is what saves a stream's state, so a replay
+        # has to do it as well: it writes the same rows, in the place of the first.
+        if batch_id <= max(self.bases(), default=-1):
+            rows.write.format("noop").mode("overwrite").save()
+        elif self.kind == "totals" or not self.holds(batch_id):
+            # Rebalanced: there is a state partition per shuffle partition, but few rows in each.
+            self._write(rows.hint("rebalance", F.col("window_start")), self._batch(batch_id))
 
     def _folded(self, rows: DataFrame) -> DataFrame:
         count = F.max_by("count", "batch_id") if self.kind == "totals" else F.sum("count")
-        return rows.groupBy(*self.group).agg(count.alias("count"),
-                                             F.max("batch_id").alias("batch_id"))
+        return rows.groupBy(*self.group).agg(
+            count.alias("count"), F.max("batch_id").alias("batch_id"), F.sum("adjust").alias("adjust"))
+
+    def _merged(self) -> DataFrame:
+        return self._folded(self.rows()).hint("rebalance", *map(F.col, self.partition_by))
+
+    def _drop(self, before: int) -> None:
+        super()._drop(before)
+        for n in self._numbers("base/up_to"):
+            if n < before:
+                folders.remove(self.spark, self._base(n))
+
+    def merge(self) -> None:
+        self._finish_replace()
+        super().merge()
 
     def replace_range(self, new: DataFrame, window_size_sec: int) -> None:
         """Store a complete recount of a range of windows in place of what was counted.
 
-        For a table that batches were stored in. A running update-mode stream keeps its own
-        counts of these windows and stores them again with the next event for them.
+        Rewrites the days of the range in the base and no others. The recount is worked out once, into
+        ``replace``, where the new days are made ready, too: a call that broke off is finished
+        by the next call or merge. Readers that list a day while it is moved in may miss it.
         """
-        parts = self.parts()
-        if not parts:
+        self.merge()
+        if not self.bases():
             raise RuntimeError(f"{self.path} holds no batch to replace counts of")
-        first, last = parts[0].first, max(p.last for p in parts)
-        merged = replace_range(self.read(), new, window_size_sec)
-        self._write(merged.withColumn("batch_id", F.lit(last).cast("long")), first, last,
-                    self._next_version(first, last))
-
-
-class JobsTable(PartTable):
+        work = f"{self.path}/replace"
+        columns = [c for c in schemas.trend(self.key).fieldNames()]
+        new.where(F.col("window_size_sec") == window_size_sec).select(*columns) \
+            .write.mode("overwrite").parquet(f"{work}/new")
+        new = self.spark.read.schema(schemas.trend(self.key)).parquet(f"{work}/new") \
+            .withColumn("window_date", utc_day(F.col("window_start")))
+        low, high = new.agg(F.struct(F.min("window_start"), F.min("window_date")),
+                            F.struct(F.max("window_start"), F.max("window_date"))).first()
+        if low[0] is not None:
+            inside = F.col("window_start").between(low[0], high[0])
+            old = self.base_rows().where((F.col("window_size_sec") == window_size_sec)
+                                         & F.col("window_date").between(low[1], high[1]))
+            # What the stream counted in the range is taken back, and what the recount has added.
+            old = old.withColumn("adjust", F.when(inside, -F.col("count")).otherwise(F.col("adjust")))
+            added = new.withColumns({"adjust": F.col("count"), "count": F.lit(0).cast("long"),
+                                     "batch_id": F.lit(-1).cast("long")})
+            both = old.unionByName(added).groupBy(*self.group).agg(
+                F.sum("count").alias("count"), F.max("batch_id").alias("batch_id"),
+                F.sum("adjust").alias("adjust"))
+            self._write(both.hint("rebalance", *map(F.col, self.partition_by)), f"{work}/days",
+                        self.partition_by)
+        self._finish_replace()
+
+    def _finish_replace(self) -> None:
+        work = f"{self.path}/replace"
+        if folders.exists(self.spark, f"{work}/days/_SUCCESS"):
+            days = self._rows([f"{work}/days"], f"{work}/days")
+            days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                .partitionBy(*self.partition_by).parquet(self._base(self.bases()[-1]))
+        if folders.exists(self.spark, work):
+            folders.remove(self.spark, work)
+
+
+class JobsTable(BatchTable):
     """Enriched postings, one row per event.
 
     An event's id and time are stamped together, so copies of an event share
-    its day, and a batch is compared with the stored ids of its own days only.
-    ``any_day=True`` drops that assumption and compares with all stored ids.
+    its day, and a batch is compared with the stored ids of its own days and id buckets only.
+    ``any_day=True`` drops that assumption and compares with all stored ids of the buckets.
     """
 
-    partition_by = ("ingest_date",)
+    partition_by = ("ingest_date", "bucket")
 
     def __init__(self, spark: SparkSession, path: str, any_day: bool = False):
-        super().__init__(spark, path, schemas.STORED_JOBS)
+        bucket = StructField("bucket", IntegerType())
+        super().__init__(spark, path, StructType(schemas.STORED_JOBS.fields + [bucket]))
         self.any_day = any_day
 
     def read(self) -> DataFrame:
@@ -202,109 +251,43 @@ class JobsTable(PartTable):
     def append_batch(self, df: DataFrame, batch_id: int) -> None:
         if self.holds(batch_id):
             return
-        rows = df.withColumn("seniority", F.lit(None).cast("string")) \
-            .withColumn("ingest_date", utc_day(F.col("ingested_at")))
-        days = [r[0] for r in rows.select("ingest_date").distinct().limit(DAYS_LISTED + 1).collect()]
-        new = self._unseen(self._one_per_event(rows), days)
-        if len(days) > DAYS_UNSORTED:
-            # Else every task would write a file per day.
-            new = self._by_day(new)
-        self._write(new, batch_id, batch_id, 0)
-
-    def _by_day(self, rows: DataFrame) -> DataFrame:
-        """Rows of a day together, a day with many rows in several tasks."""
-        return rows.hint("rebalance", F.col("ingest_date"))
-
-    def _folded(self, rows: DataFrame) -> DataFrame:
-        return self._by_day(rows)
+        rows = df.withColumns({
+            "seniority": F.lit(None).cast("string"), "ingest_date": utc_day(F.col("ingested_at")),
+            "bucket": F.pmod(F.xxhash64("event_id"), F.lit(BUCKETS)).cast("int"),
+            "row": F.monotonically_increasing_id()}).persist()
+        try:
+            # Which rows to keep is found out on keys; the rows themselves move once, or not at all
+            # where the keys are few enough to be broadcast.
+            kept = self._unseen(self._one_per_event(rows), rows).select("row")
+            self._write(rows.join(kept, "row", "left_semi"), self._batch(batch_id))
+        finally:
+            rows.unpersist()
 
     def _key(self) -> list[str]:
-        return ["event_id"] if self.any_day else ["ingest_date", "event_id"]
+        return (["bucket"] if self.any_day else ["ingest_date", "bucket"]) + ["event_id"]
 
     def _one_per_event(self, rows: DataFrame) -> DataFrame:
-        # The least copy, so a replay keeps the same one. Copies are merged
+        # The copy of the least hash, so a replay keeps the same one. Copies are merged
         # within each task before the shuffle: many of one event are no skew.
-        key = self._key()
-        rest = ["ingested_at"] + [c for c in self.schema.fieldNames()
-                                  if c not in key and c != "ingested_at"]
-        return rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("row")).select(*key, "row.*")
-
-    def _unseen(self, rows: DataFrame, days: list) -> DataFrame:
-        parts = self.parts()
-        if not parts:
-            return rows
-        stored = self.rows(parts)
-        day = F.col("ingest_date")
-        if not self.any_day and len(days) <= DAYS_LISTED:
-            stored = stored.where(day.isin(days))
-        elif not self.any_day:
-            first, last = rows.agg(F.min(day), F.max(day)).first()
-            stored = stored.where(day.between(first, last))
-        return rows.join(stored.select(*self._key()), self._key(), "left_anti")
+        content = F.xxhash64(*schemas.JOBS.fieldNames())
+        return rows.groupBy(*self._key()).agg(F.min_by("row", content).alias("row"))
+
+    def _unseen(self, events: DataFrame, rows: DataFrame) -> DataFrame:
+        if self.is_empty():
+            return events
+        stored = self.rows().select(*self._key())
+        for part in self._key()[:-1]:  # a value per day or bucket; read before the scan starts
+            values = rows.agg(F.collect_set(part).alias("v")).scalar()
+            stored = stored.where(F.array_contains(values, F.col(part)))
+        return events.join(stored, self._key(), "left_anti")
 
     def search(self, company: str | None = None, location: str | None = None,
                role_category: str | None = None, seniority: str | None = None,
-               limit: int = 20, offset: int = 0) -> DataFrame:
-        """``search_jobs`` over the stored table, reading no more days than it has to.
-
-        Counts matches in the newest days first, taking four times as many days until
-        the page is full; days before them cannot hold newer rows. Then it takes
-        the page's keys from the columns searched, and last the rows of these keys.
-        For a deep page, what lies before it is skipped by counts, not sorted.
-        """
+               limit: int = 20, offset: int = 0, after: tuple | None = None) -> DataFrame:
+        """``search_jobs`` over the stored table, reading the page's days only."""
         terms = job_filters(company, location, role_category, seniority)
-        check_page(limit, offset)
-        if offset > SORTED_OFFSET:
-            rows, offset = self._skipped(terms, offset)
-        else:
-            rows = self._newest_days(terms, limit + offset)
-        narrow = rows.select("ingest_date", "event_id", "ingested_at", "company", "location",
-                             "role_category", "seniority")
-        # At most 200 keys, so the broadcast is small whatever the table's size.
-        page = newest_page(narrow, terms, limit, offset).select("ingest_date", "event_id")
-        found = rows.join(F.broadcast(page), ["ingest_date", "event_id"], "left_semi")
-        return newest_first(found.select(*schemas.JOBS.fieldNames())).limit(limit)
-
-    def _skipped(self, terms: list[Column], offset: int) -> tuple[DataFrame, int]:
-        """Rows without the days, then seconds, that lie before the offset, and what is left of it."""
-        day, second = F.col("ingest_date"), F.unix_seconds("ingested_at")
-        rows = self.rows()
-        first, offset = _locate(matching_jobs(rows, terms).groupBy(day.alias("at")), offset)
-        if first is None:
-            return rows.limit(0), 0
-        rows = rows.where(day <= F.lit(first))
-        seconds = matching_jobs(rows.where(day == F.lit(first)), terms).groupBy(second.alias("at"))
-        first, offset = _locate(seconds, offset)
-        return rows.where(second <= first), offset
-
-    def days(self) -> list[str]:
-        """Days with rows, newest first, as the folders name them."""
-        parts = {p.path.rsplit("/", 1)[1] for p in self.parts()}
-        found = (d.rsplit("/", 2)[1:] for d in
-                 folders.matching(self.spark, f"{self.path}/part=*/ingest_date=*"))
-        return sorted({day.split("=")[1] for part, day in found if part in parts}, reverse=True)
-
-    def _newest_days(self, terms: list[Column], wanted: int) -> DataFrame:
-        rows, days = self.rows(), self.days()
-        taken = 1
-        while taken < len(days):
-            newest = rows.where(F.col("ingest_date") >= F.lit(days[taken - 1]).cast("date"))
-            if matching_jobs(newest, terms).limit(wanted).count() == wanted:
-                return newest
-            taken *= 4
-        return rows
-
-
-def _locate(groups: GroupedData, offset: int) -> tuple[object, int]:
-    """The group, from the greatest down, an offset falls into, and the offset within it.
-
-    The driver gets a row per day, or per second of one day.
-    """
-    for at, count in groups.count().orderBy(F.desc("at")).collect():
-        if offset < count:
-            return at, offset
-        offset -= count
-    return None, 0
+        return find_page(self.rows(), terms, limit, offset, after, day="ingest_date").select(
+            *schemas.JOBS.fieldNames())
 
 
 MODES = ("queries", "single_pass")
@@ -325,19 +308,19 @@ class Tables:
         self.jobs = JobsTable(spark, f"{self.base}/jobs", any_day)
         self.trend_tech = TrendTable(spark, f"{self.base}/trend_tech", "tech", kind)
         self.trend_role = TrendTable(spark, f"{self.base}/trend_role", "role_category", kind)
-        self.rejects = PartTable(spark, f"{self.base}/rejects", schemas.REJECTS)
+        self.rejects = BatchTable(spark, f"{self.base}/rejects", schemas.REJECTS)
 
     def checkpoint(self, query: str) -> str:
         return f"{self.base}/_checkpoints/{query}"
 
-    def all(self) -> dict[str, PartTable]:
+    def all(self) -> dict[str, BatchTable]:
         return {"jobs": self.jobs, "trend_tech": self.trend_tech,
                 "trend_role": self.trend_role, "rejects": self.rejects}
 
     def register_views(self) -> None:
         """Temporary views jobs, trend_tech and trend_role over the tables as they are now."""
         for name in ("jobs", "trend_tech", "trend_role"):
-            self.all()[name].read().createOrReplaceTempView(name)
+            self.all()[name].read().drop("window_date").createOrReplaceTempView(name)
 
 
 def init_tables(spark: SparkSession, root: str, mode: str = "queries",

@@ -11,7 +11,7 @@ from hiretide.plans import fixture as fx
 from hiretide.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-PLAIN = [n for n in QUERIES if not n.startswith(("stream", "read_postings"))]
+PLAIN = [n for n in QUERIES if not n.startswith(("stream", "read_postings", "drawn"))]
 
 
 def plan(df):
@@ -62,3 +62,25 @@ def test_trend_reads_are_filtered_at_the_file(spark, tmp_path):
         "window_size_sec", "tech", "count"), 0)
     text = plan(tech_timeseries(table.read(), "python"))
     assert "EqualTo(tech,python)" in text and "EqualTo(window_size_sec,300)" in text
+    table.merge()
+    text = plan(tech_timeseries(table.read(), "python"))
+    assert "EqualTo(tech,python)" in text
+    assert "window_size_sec" in text.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_a_recount_is_worked_out_once(spark):
+    df = QUERIES["replace_range_backfill"].run(spark, SF)
+    df.collect()
+    text = plan(df)
+    final = text[:text.index("\n+- == Initial Plan")]
+    # Existing counts, stale ones and the recount read postings; the range comes from times alone.
+    assert final.count("ReadSchema: struct<event_id") <= 3
+    assert "ReadSchema: struct<ts:timestamp_ntz>" in final and "ReusedSubquery" in final
+
+
+def test_no_intermediate_data_in_machine_folders():
+    import pathlib
+
+    import hiretide
+    for source in pathlib.Path(hiretide.__file__).parent.rglob("*.py"):
+        assert "tempfile" not in source.read_text() and "localCheckpoint" not in source.read_text()

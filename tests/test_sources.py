@@ -1,9 +1,15 @@
+import json
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from hiretide import vocab
 from hiretide.sources.event_stream import EventFiles, KafkaTopic, read_event_stream
+from hiretide.operators.events import parse_events, to_events
 from hiretide.sources.generate import generate_n_postings
-from hiretide.sources.jdbc import postgres_options
+from hiretide.sources.jdbc import JdbcSink, Split, export_table, postgres_options
+from hiretide.sources.postings import parse_postings
 
 
 def test_kafka_options():
@@ -12,13 +18,18 @@ def test_kafka_options():
     assert topic.read_options() == {
         "kafka.bootstrap.servers": "b:1", "subscribe": "job_postings_raw",
         "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "5"}
-    assert KafkaTopic().write_options()["topic"] == "job_postings_raw"
-    assert KafkaTopic().write_options()["kafka.bootstrap.servers"] == "kafka:29092"
+    assert KafkaTopic("b:2").write_options()["topic"] == "job_postings_raw"
+    assert KafkaTopic("b:2").write_options()["kafka.bootstrap.servers"] == "b:2"
+    with pytest.raises(KeyError):
+        KafkaTopic.from_env({})
 
 
 def test_postgres_options():
-    options = postgres_options({"POSTGRES_DB": "d", "POSTGRES_USER": "u", "POSTGRES_PASSWORD": "p"})
-    assert options["url"] == "jdbc:postgresql://postgres:5432/d"
+    options = postgres_options({"POSTGRES_HOST": "h", "POSTGRES_DB": "d", "POSTGRES_USER": "u",
+                                "POSTGRES_PASSWORD": "p"})
+    assert options["url"] == "jdbc:postgresql://h:5432/d"
+    assert Split("id", "0", "9", 3).options() == {
+        "partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
     with pytest.raises(KeyError):
         postgres_options({})
 
@@ -47,3 +58,49 @@ def test_generated_postings_of_huge_ids(spark):
     ids = spark.range(9_000_000_000_000_000_000, 9_000_000_000_000_000_010)
     from hiretide.sources.generate import generate_postings
     assert generate_postings(ids).where("title IS NOT NULL").count() == 10
+
+
+def test_jdbc_writers_deal_rows_to_their_connections(spark, monkeypatch):
+    """What reaches the writer; there is no database to write to."""
+    from pyspark.sql import DataFrameWriter
+
+    seen = {}
+    monkeypatch.setattr(DataFrameWriter, "option", lambda self, k, v: seen.update({k: v}) or self)
+    monkeypatch.setattr(DataFrameWriter, "options", lambda self, **o: seen.update(o) or self)
+    monkeypatch.setattr(DataFrameWriter, "mode", lambda self, m: seen.update(mode=m) or self)
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self: seen.update(
+        parts=self._df.rdd.getNumPartitions(), columns=self._df.columns))
+    rows = spark.range(100).withColumn("bucket", F.lit(1))
+    export_table(rows, "t", {"url": "u"}, 3)
+    assert seen == {"url": "u", "numPartitions": "3", "dbtable": "t", "mode": "overwrite",
+                    "truncate": "true", "parts": 3, "columns": ["id", "bucket"]}
+    seen.clear()
+    JdbcSink({"url": "u"}, "x_", 2).append(rows, "jobs", 7)
+    assert seen == {"url": "u", "numPartitions": "2", "dbtable": "x_jobs", "mode": "append",
+                    "parts": 2, "columns": ["id", "batch_id"]}
+
+
+def test_a_line_is_one_whole_value_or_a_reject(spark):
+    """Against a strict reader, on lines that try to end the wrappers early."""
+    chosen = random.Random(6)
+    parts = ['{"title":"x"}', "]", "[", "}", "{", ",", "1", '"]"', '"}"', ' garbage', '"a":', ":", "[2]",
+             '{"title":"a ]} b"}', "null", '"v":1', " "]
+    lines = ['{"title":"x"}] garbage', '{"title":"x"}],[{"title":"y"}', "1],[2", '1},{"v":2',
+             '{"title":"a ]} b"}', '{"title":"[{"}', "[]", "{}", '"text"', '{"title":"x"}}', "]", "}"]
+    lines += ["".join(chosen.choice(parts) for _ in range(chosen.randint(1, 6))) for _ in range(1500)]
+
+    def whole(line):
+        try:
+            json.loads(line)
+            return True
+        except ValueError:
+            return False
+
+    lines = [x for x in lines if x.strip()]
+    good, rejects = parse_postings(spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert sorted(r["line"] for r in good.collect()) == sorted(x.strip() for x in lines if whole(x))
+    assert sorted(r["line"] for r in rejects.collect()) == sorted(
+        x.strip() for x in lines if not whole(x))
+    events = parse_events(to_events(good))
+    assert events.where("raw IS NULL").count() == sum(map(whole, lines))
+    assert {r["title"] for r in good.collect()} >= {"x", "a ]} b", "[{"}

@@ -1,10 +1,11 @@
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from hiretide.functions.times import utc_day
-from hiretide.operators.reads import search_jobs
+from hiretide.operators.reads import cursor_of, search_jobs, top_techs
 from hiretide.schemas import JOBS
 from hiretide.sources import folders
 from hiretide.streaming import tables as T
@@ -57,11 +58,17 @@ def test_batches_add_up_and_replays_change_nothing(spark, root):
     assert stored(table) == [("a", "x"), ("b", "x"), ("c", "x")]
 
 
-def test_half_written_part_is_not_read_and_is_written_again(spark, root):
+def files(folder):
+    """Data files under a folder, by name, with their time of writing."""
+    return {os.path.relpath(os.path.join(d, f), folder): os.path.getmtime(os.path.join(d, f))
+            for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_half_written_batch_is_not_read_and_is_written_again(spark, root):
     table = T.init_tables(spark, root).jobs
     table.append_batch(jobs(spark, ("a", 0, "x")), 0)
     table.append_batch(jobs(spark, ("b", 0, "x"), ("c", 3000, "x")), 1)
-    folders.remove(spark, f"{table.parts()[1].path}/_SUCCESS")
+    folders.remove(spark, f"{table.path}/batches/batch=000000000001/_SUCCESS")
     assert stored(table) == [("a", "x")]
     table.append_batch(jobs(spark, ("b", 0, "y")), 1)
     assert stored(table) == [("a", "x"), ("b", "y")]
@@ -82,41 +89,143 @@ def test_one_id_on_two_days(spark, root, any_day, kept):
     assert table.read().count() == kept
 
 
-def test_many_days_are_stored_whole(spark, root, monkeypatch):
+def test_many_days_are_stored_whole(spark, root):
     rows = [(f"e{i}", i * 60 * 12, "x") for i in range(40)]
-    for listed, path in ((1000, "a"), (5, "b")):  # days compared one by one, and as a range
-        monkeypatch.setattr(T, "DAYS_LISTED", listed)
-        table = T.init_tables(spark, f"{root}/{path}").jobs
-        table.append_batch(jobs(spark, *rows[:30]), 0)
-        table.append_batch(jobs(spark, *rows), 1)
-        assert stored(table) == sorted((i, t) for i, _, t in rows)
-        assert len(table.days()) == 20
-
-
-@pytest.mark.parametrize("sorted_offset", [10_000, 0])
-def test_search_equals_search_of_all_rows(spark, root, monkeypatch, sorted_offset):
-    monkeypatch.setattr(T, "SORTED_OFFSET", sorted_offset)
+    table = T.init_tables(spark, root).jobs
+    table.append_batch(jobs(spark, *rows[:30]), 0)
+    table.merge()
+    table.append_batch(jobs(spark, *rows), 1)
+    assert stored(table) == sorted((i, t) for i, _, t in rows)
+    table.merge()
+    days = {n.split("/")[2] for n in files(f"{table.path}/base")} | {
+        n.split("/")[1] for n in files(f"{table.path}/base")}
+    assert sum(d.startswith("ingest_date=") for d in days) == 20
+
+
+def test_a_batch_is_compared_with_its_own_days_and_buckets(spark, root):
+    table = T.init_tables(spark, root).jobs
+    table.append_batch(jobs(spark, *[(f"e{i}", i % 9 * 1440, "x") for i in range(200)]), 0)
+    table.merge()
+    new = jobs(spark, ("e0", 0, "y"), ("n1", 0, "y"))
+    keyed = new.withColumns({
+        "ingest_date": utc_day(F.col("ingested_at")),
+        "bucket": F.pmod(F.xxhash64("event_id"), F.lit(T.BUCKETS)).cast("int"),
+        "row": F.monotonically_increasing_id()})
+    unseen = table._unseen(table._one_per_event(keyed), keyed)
+    assert [r["event_id"] for r in unseen.collect()] == ["n1"]
+    scan = [x for x in unseen._jdf.queryExecution().executedPlan().toString().splitlines()
+            if "FileScan parquet" in x and "event_id" in x]
+    assert scan and all("array_contains" in x.split("PartitionFilters")[1] for x in scan)
+    partitions = _metric(unseen._jdf.queryExecution().executedPlan(), "numPartitions")
+    assert partitions and max(partitions) <= 2  # of 9 days times 16 buckets
+
+
+def _metric(plan, name):
+    """Values of a metric of the plan's file scans."""
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+            continue
+        if kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+            continue
+        if kind == "FileSourceScanExec" and node.metrics().contains(name):
+            found.append(node.metrics().apply(name).value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_wide_rows_move_once(spark, root):
+    table = T.init_tables(spark, root).jobs
+    jobs(spark, ("a", 0, "x"), ("b", 0, "x")).repartition(2).write.parquet(f"{root}/in")
+    rows = spark.read.schema(JOBS).parquet(f"{root}/in").withColumns({
+        "ingest_date": utc_day(F.col("ingested_at")), "bucket": F.lit(0),
+        "row": F.monotonically_increasing_id()})
+    kept = table._unseen(table._one_per_event(rows), rows).select("row")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rows.join(kept, "row", "left_semi")._jdf.queryExecution().executedPlan()
+        exchanged = _exchanged(plan)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(exchanged) > 1 and sum("description" in columns for columns in exchanged) == 1, exchanged
+
+
+def _exchanged(plan):
+    """Output columns of each exchange."""
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.initialPlan())
+            continue
+        if kind == "ShuffleExchangeExec":
+            found.append(node.output().toString())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+def test_search_equals_search_of_all_rows(spark, root):
     table = T.init_tables(spark, root).jobs
     rows = [(f"e{i:03d}", i * 97 % 6000 // 60 * 60, "x") for i in range(90)]
     for n in range(3):
         batch = jobs(spark, *rows[n * 30:n * 30 + 30])
         batch = batch.withColumn("company", F.when(F.col("event_id") < "e010", "rare").otherwise("c"))
         table.append_batch(batch, n)
-    for terms in ({}, {"company": "rare"}, {"limit": 7, "offset": 50}, {"offset": 88},
-                  {"offset": 90}, {"offset": 500}, {"offset": 1, "limit": 200},
-                  {"location": "nowhere"}, {"company": "rare", "limit": 3, "offset": 2}):
-        assert table.search(**terms).collect() == search_jobs(table.read(), **terms).collect()
+        if n == 1:
+            table.merge()
+    every = sorted((r for r in table.read().collect()),
+                   key=lambda r: (-r["ingested_at"].timestamp(), r["event_id"]))
+    rare = [r for r in every if r["company"] == "rare"]
+    for terms, wanted in (
+            ({}, every[:20]), ({"company": "rare"}, rare), ({"limit": 7, "offset": 50}, every[50:57]),
+            ({"offset": 88}, every[88:]), ({"offset": 90}, []), ({"offset": 500}, []),
+            ({"offset": 1, "limit": 200}, every[1:]), ({"location": "nowhere"}, []),
+            ({"company": "rare", "limit": 3, "offset": 2}, rare[2:5]),
+            ({"after": cursor_of(every[33]), "limit": 9}, every[34:43]),
+            ({"after": cursor_of(every[33]), "limit": 9, "offset": 4}, every[38:47]),
+            ({"after": cursor_of(every[-1])}, [])):
+        assert table.search(**terms).collect() == wanted
+        assert search_jobs(table.read(), **terms).collect() == wanted
     with pytest.raises(ValueError):
         table.search(limit=0)
 
 
+def test_deep_pages_of_one_instant(spark, root):
+    """Ten thousand jobs of one instant between a few others; pages cost no sort in one task."""
+    many = spark.range(10_000).select(
+        F.format_string("m%05d", "id").alias("event_id"), F.lit(START).alias("ingested_at"),
+        *(F.lit("x").alias(c) for c in ("company", "title", "location")),
+        F.lit(None).cast("string").alias("seniority"),
+        *(F.lit("x").alias(c) for c in ("role_category", "description", "url")),
+        F.array(F.lit("go")).alias("techs"))
+    few = jobs(spark, *[(f"f{i}", i - 3, "x") for i in range(7) if i != 3])
+    table = T.init_tables(spark, root).jobs
+    table.append_batch(many.unionByName(few), 0)
+    order = ["f6", "f5", "f4", *(f"m{i:05d}" for i in range(10_000)), "f2", "f1", "f0"]
+    for offset in (0, 2, 9_999, 10_001, 10_004, 10_006, 20_000):
+        for page in (table.search(offset=offset, limit=5),
+                     search_jobs(table.read(), offset=offset, limit=5)):
+            assert [r["event_id"] for r in page.collect()] == order[offset:offset + 5]
+            plan = page._jdf.queryExecution().executedPlan().toString()
+            assert "SinglePartition" not in plan and "GlobalLimit" not in plan
+
+
 def test_default_page_reads_the_newest_day_only(spark, root):
     table = T.init_tables(spark, root).jobs
     table.append_batch(jobs(spark, *[(f"e{i:03d}", i * 60, "x") for i in range(24 * 9)]), 0)
+    table.merge()
     page = table.search(limit=5)
     assert [r["event_id"] for r in page.collect()] == [f"e{i}" for i in (215, 214, 213, 212, 211)]
     plan = page._jdf.queryExecution().executedPlan().toString()
-    assert "(ingest_date" in plan and ">= 2024-01-09" in plan
+    assert "PartitionFilters: [isnotnull(ingest_date" in plan and ">= 2024-01-09" in plan
 
 
 def test_totals_keep_untouched_groups(spark, root):
@@ -134,44 +243,62 @@ def test_deltas_add_up(spark, root):
 
 
 @pytest.mark.parametrize("mode", T.MODES)
-def test_folds_change_no_row(spark, root, mode):
+def test_merges_change_no_row(spark, root, mode):
     tables = T.init_tables(spark, root, mode)
     for n in range(7):
         tables.trend_tech.append_batch(counts(spark, (0, "go", n + 1), (n, f"k{n % 2}", 1)), n)
         tables.jobs.append_batch(jobs(spark, (f"e{n}", n * 900, "x"), ("same", 0, "x")), n)
-    for table, rows in ((tables.trend_tech, trend), (tables.jobs, stored)):
-        before = rows(table)
-        assert table.fold(3) == 2
-        assert [(p.first, p.last) for p in table.parts()] == [(0, 2), (3, 5), (6, 6)]
-        assert rows(table) == before
-        assert table.holds(4) and not table.holds(7)
-        assert table.drop_replaced() == 6
-        assert rows(table) == before
-        assert table.fold(3) == 0
-        assert table.fold(7) == 1
-        assert rows(table) == before and len(table.parts()) == 1
+        tables.rejects.append_batch(spark.createDataFrame([(f"r{n}",)], "raw string"), n)
+        for table, rows in ((tables.trend_tech, trend), (tables.jobs, stored)):
+            before = rows(table)
+            if n % 3 == 2:
+                table.merge()
+                assert table.tail() == [] and rows(table) == before
+                assert table.holds(n) and table.holds(0) and not table.holds(n + 1)
+    assert len(tables.jobs.bases()) == 2 and tables.trend_tech.bases() == [5]
+    tables.rejects.merge()
+    assert sorted(r[0] for r in tables.rejects.read().collect()) == [f"r{n}" for n in range(7)]
+    for table in (tables.trend_tech, tables.jobs):
+        table.merge()
+        table.merge()
+        # Batches of the base before are gone, those of the last one stay for readers.
+        assert table._numbers("batches/batch") == [6]
+
+
+def test_the_tail_stays_short_over_many_batches(spark, root):
+    table = T.init_tables(spark, root, "single_pass").trend_tech
+    row = counts(spark, (0, "go", 1)).persist()
+    every, most = 50, 0
+    for n in range(200):
+        table.append_batch(row, n)
+        if (n + 1) % every == 0:
+            table.merge()
+        most = max(most, len(table.tail()))
+    assert most <= every and len(table._numbers("batches/batch")) <= every
+    assert trend(table) == [(0, "go", 200)]
 
 
 @pytest.mark.parametrize("mode", T.MODES)
-def test_replay_of_a_folded_batch(spark, root, mode):
+def test_replay_of_a_merged_batch(spark, root, mode):
     table = T.init_tables(spark, root, mode).trend_tech
     batches = [counts(spark, (0, "go", n + 1), (n, "sql", 2)) for n in range(2)]
     for n, batch in enumerate(batches):
         table.append_batch(batch, n)
     before = trend(table)
-    table.fold(2)
+    table.merge()
     table.append_batch(batches[1], 1)
     assert trend(table) == before
 
 
-def test_half_written_fold_is_ignored(spark, root):
+def test_half_written_base_is_ignored(spark, root):
     table = T.init_tables(spark, root).trend_tech
     for n in range(2):
         table.append_batch(counts(spark, (n, "go", 1)), n)
-    table.fold(2)
-    folders.remove(spark, f"{table.parts()[0].path}/_SUCCESS")
-    assert len(table.parts()) == 2 and len(trend(table)) == 2
-    assert table.fold(2) == 1 and len(trend(table)) == 2
+    table.merge()
+    folders.remove(spark, f"{table.path}/base/up_to=000000000001/_SUCCESS")
+    assert table.tail() == [0, 1] and len(trend(table)) == 2
+    table.merge()
+    assert table.tail() == [] and len(trend(table)) == 2
 
 
 @pytest.mark.parametrize("mode", T.MODES)
@@ -184,9 +311,66 @@ def test_recount_of_a_range(spark, root, mode):
     table.replace_range(counts(spark, (5, "java", 4), (10, "go", 6)), 300)
     assert trend(table) == [(0, "go", 9), (5, "java", 4), (10, "go", 6), (15, "sql", 1)]
     table.replace_range(counts(spark, (0, "go", 10)), 300)
-    assert trend(table)[0] == (0, "go", 10) and len(table.parts()) == 1
+    assert trend(table)[0] == (0, "go", 10)
     table.append_batch(counts(spark, (20, "go", 1)), 2)
     assert len(trend(table)) == 5
+    # The stream goes on from its own counts: one more "go" at 5 minutes, two more at 10.
+    more = {"queries": [(5, "go", 2), (10, "go", 3)], "single_pass": [(5, "go", 1), (10, "go", 2)]}
+    table.append_batch(counts(spark, *more[mode]), 3)
+    wanted = [(0, "go", 10), (5, "go", 1), (5, "java", 4), (10, "go", 8), (15, "sql", 1), (20, "go", 1)]
+    assert trend(table) == wanted
+    table.merge()
+    assert trend(table) == wanted
+
+
+def test_recount_changes_the_days_of_its_range_only(spark, root):
+    table = T.init_tables(spark, root, "single_pass").trend_tech
+    day = 24 * 60
+    table.append_batch(counts(spark, *[(d * day, k, 1) for d in range(6) for k in ("go", "sql")]), 0)
+    table.merge()
+    base = f"{table.path}/base/up_to=000000000000"
+    before = files(base)
+    table.replace_range(counts(spark, (2 * day, "go", 7), (3 * day, "go", 8)), 300)
+    after = files(base)
+    changed = {n.split("/")[1] for n in before.keys() ^ after.keys()}
+    assert changed == {"window_date=2024-01-03", "window_date=2024-01-04"}
+    assert all(before[n] == after[n] for n in before.keys() & after.keys())
+    assert sorted((r["window_start"].day, r["tech"], r["count"]) for r in table.read().collect()) == [
+        (1, "go", 1), (1, "sql", 1), (2, "go", 1), (2, "sql", 1), (3, "go", 7), (4, "go", 8),
+        (5, "go", 1), (5, "sql", 1), (6, "go", 1), (6, "sql", 1)]
+
+
+def test_recount_that_broke_off_is_finished(spark, root, monkeypatch):
+    table = T.init_tables(spark, root, "single_pass").trend_tech
+    table.append_batch(counts(spark, (0, "go", 1), (5, "go", 1)), 0)
+    finish = T.TrendTable._finish_replace
+    calls = []
+
+    def broken(self):
+        calls.append(1)
+        if len(calls) > 1:
+            raise OSError("lost")
+        finish(self)
+
+    monkeypatch.setattr(T.TrendTable, "_finish_replace", broken)
+    with pytest.raises(OSError):
+        table.replace_range(counts(spark, (5, "go", 4)), 300)
+    monkeypatch.setattr(T.TrendTable, "_finish_replace", finish)
+    table.merge()
+    assert trend(table) == [(0, "go", 1), (5, "go", 4)]
+
+
+def test_the_latest_window_is_read_from_one_day(spark, root):
+    table = T.init_tables(spark, root, "single_pass").trend_tech
+    table.append_batch(counts(spark, *[(d * 1440, "go", d + 1) for d in range(5)]), 0)
+    table.merge()
+    top = top_techs(table.read())
+    assert [r["count"] for r in top.collect()] == [5]
+    plan = top._jdf.queryExecution().executedPlan()
+    filters = [x.split("PartitionFilters: ")[1].split("]")[0] for x in plan.toString().splitlines()
+               if "FileScan" in x]
+    assert any("window_size_sec" in f and "window_date" in f for f in filters)
+    assert 1 in _metric(plan, "numPartitions")
 
 
 def test_reset(spark, root):
