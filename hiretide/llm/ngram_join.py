@@ -41,7 +41,7 @@ from hiretide.llm.components import components
 from hiretide.llm.words import mix, shingle_sets, split_words, word_hashes
 
 SHINGLE, PERCENT = 5, 75
-BATCH_BYTES = 8 << 20  # of text hashed at a time
+BATCH_BYTES = 4 << 20  # of text hashed at a time
 FRAGMENT_TOKENS = 1 << 20  # shingles of a fragment when frequencies are counted
 FREQUENT_SHARE, FREQUENT_LEAST, FREQUENT_IN_BATCH = 1000, 256, 4
 OVERLAP_FRAGMENTS = 8
@@ -112,17 +112,16 @@ def _unpacked(data: bytes, dtype: type) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(dtype).ravel(), dtype=dtype)
 
 
-_PIECE = T.StructType([T.StructField("fragment", T.LongType()), T.StructField("name", T.LongType()),
+_PIECE = T.StructType([*(T.StructField(c, T.LongType()) for c in ("fragment", "name", "n")),
                        *(T.StructField(c, T.BinaryType()) for c in ("sets", "counts", "tokens",
                                                                     "ranks"))])
-_SHARED = T.StructType([T.StructField("name", T.LongType()), T.StructField("known", T.BooleanType()),
-                        T.StructField("tokens", T.BinaryType()),
-                        T.StructField("ranks", T.BinaryType())])
+_SHARED = T.StructType([*(T.StructField(c, T.LongType()) for c in ("name", "n")),
+                        *(T.StructField(c, T.BinaryType()) for c in ("tokens", "ranks"))])
 
 
 def pieces(df: DataFrame, text_col: str, n: int, fragments: int, frequent) -> DataFrame:
     """Per batch and fragment: the sets with shingles there, how many each, and these in order.
-    Frequent shingles of a set go by themselves, in fragments below 0."""
+    The size of each set and its frequent shingles go by themselves, in fragments below 0."""
     common, common_count = frequent
     top = np.uint64((1 << 64) // fragments + 1)
 
@@ -134,7 +133,7 @@ def pieces(df: DataFrame, text_col: str, n: int, fragments: int, frequent) -> Da
                     columns = list(zip(*out))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(columns, (
-                            pa.int64(), pa.int64(), *[pa.binary()] * 4))], names=_PIECE.names)
+                            *[pa.int64()] * 3, *[pa.binary()] * 4))], names=_PIECE.names)
 
     def rows(part: pa.RecordBatch):
         shingles, bounds, name = _sets(part.column(0), n)
@@ -145,24 +144,23 @@ def pieces(df: DataFrame, text_col: str, n: int, fragments: int, frequent) -> Da
         of = np.repeat(np.arange(len(name)), size)
         live = keep[of]
         shingles, of = shingles[live], of[live]
-        if len(common):
-            at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
-            known = common[at] == shingles
-            if known.any():
-                owner, token, place = of[known], shingles[known], at[known]
-                cut = np.flatnonzero(np.diff(owner)) + 1
-                for a, b in zip([0, *cut], [*cut, len(owner)]):
-                    own = int(name[owner[a]].view(np.int64))
-                    yield (-1 - own % fragments, own, None, None, token[a:b].tobytes(),
-                           (common_count[place[a:b]] + FREQUENT_RANK).tobytes())
-            shingles, of = shingles[~known], of[~known]
+        at = np.minimum(np.searchsorted(common, shingles), max(0, len(common) - 1))
+        known = common[at] == shingles if len(common) else np.zeros(len(shingles), bool)
+        token, rank = shingles[known], common_count[at[known]] + FREQUENT_RANK
+        cut = np.searchsorted(of[known], np.arange(len(name) + 1)).tolist()
+        names = _signed(name).tolist()
+        for i in np.flatnonzero(keep).tolist():
+            a, b = cut[i], cut[i + 1]
+            yield (-1 - names[i] % fragments, names[i], int(size[i]), None, None,
+                   token[a:b].tobytes(), rank[a:b].tobytes())
+        shingles, of = shingles[~known], of[~known]
         fragment = (shingles // top).astype(np.int64)
         order = np.argsort(fragment, kind="stable")  # within one, by set and then by shingle
         shingles, of, fragment = shingles[order], of[order], fragment[order]
         cut = np.flatnonzero(np.diff(fragment)) + 1
         for a, b in zip([0, *cut], [*cut, len(fragment)] if len(fragment) else []):
             edge = np.flatnonzero(np.diff(of[a:b], prepend=-1))
-            yield (int(fragment[a]), None, name[of[a:b][edge]].tobytes(),
+            yield (int(fragment[a]), None, None, name[of[a:b][edge]].tobytes(),
                    np.diff(edge, append=b - a).astype(np.uint32).tobytes(),
                    _packed(shingles[a:b]), None)
 
@@ -173,12 +171,8 @@ def pieces(df: DataFrame, text_col: str, n: int, fragments: int, frequent) -> Da
 def _fragment_shared(table: pa.Table) -> pa.Table:
     """Of one fragment: for each set its shingles that other sets have too, with their frequency."""
     if table.column("fragment")[0].as_py() < 0:
-        plain = table.select(["name", "tokens", "ranks"])
-        name = plain.column("name").to_numpy()
-        _, first = np.unique(name, return_index=True)  # a set's frequent shingles come from any copy
-        plain = plain.take(pa.array(first))
-        return pa.table([plain.column("name"), pa.array(np.ones(len(first), bool)),
-                         plain.column("tokens"), plain.column("ranks")], names=_SHARED.names)
+        _, first = np.unique(table.column("name").to_numpy(), return_index=True)
+        return table.select(_SHARED.names).take(pa.array(first))  # copies have the same
     sets, tokens = [], []
     for s, c, t in zip(*(table.column(k).to_pylist() for k in ("sets", "counts", "tokens"))):
         sets.append(np.repeat(np.frombuffer(s, np.uint64), np.frombuffer(c, np.uint32)))
@@ -202,7 +196,7 @@ def _fragment_shared(table: pa.Table) -> pa.Table:
     edge = np.flatnonzero(np.diff(name, prepend=~name[:1])) if len(name) else np.zeros(0, int)
     stop = [*edge[1:].tolist(), len(name)] if len(name) else []
     return pa.table([
-        pa.array(_signed(name[edge])), pa.array(np.zeros(len(edge), bool)),
+        pa.array(_signed(name[edge])), pa.nulls(len(edge), pa.int64()),
         pa.array([token[a:b].tobytes() for a, b in zip(edge.tolist(), stop)], pa.binary()),
         pa.array([count[a:b].tobytes() for a, b in zip(edge.tolist(), stop)], pa.binary())],
         names=_SHARED.names)
@@ -214,49 +208,56 @@ def shared_shingles(df: DataFrame, text_col: str, n: int, fragments: int, freque
         _fragment_shared, _SHARED)
 
 
-def _ordered(parts: DataFrame, percent: int) -> DataFrame:
-    """Per set that may be linked: name, ``n``, its shared shingles from rare to frequent, how many
-    of them the prefix filter takes, and how many it has."""
+def candidate_sets(shared: DataFrame, percent: int) -> DataFrame:
+    """Sets that may be linked: name, ``n``, the shared shingles from rare to frequent, and how many
+    of them the prefix filter takes. A set's rows meet in one task, sorted, and are counted there."""
     schema = T.StructType([T.StructField("name", T.LongType()), T.StructField("n", T.LongType()),
                            T.StructField("prefix", T.IntegerType()),
                            T.StructField("tokens", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        size = 0
         for batch in batches:
             held.append(batch)
-            if sum(b.nbytes for b in held) < BATCH_BYTES:
+            size += batch.nbytes
+            if size < BATCH_BYTES:
                 continue
             table = pa.Table.from_batches(held)
             name = table.column("name").to_numpy()
             last = int(np.searchsorted(name == name[-1], True))  # the last set may go on
             held = table.slice(last).to_batches()
+            size = sum(b.nbytes for b in held)
             if last:
                 yield sets(table.slice(0, last))
         if held:
             yield sets(pa.Table.from_batches(held))
 
     def sets(table: pa.Table) -> pa.RecordBatch:
-        name, n = table.column("name").to_numpy(), table.column("n").to_numpy()
+        name = table.column("name").to_numpy()
+        first = np.flatnonzero(np.diff(name, prepend=~name[:1]) != 0)
+        n = np.maximum.reduceat(table.column("n").fill_null(0).to_numpy(), first)
         token = [np.frombuffer(x, np.int64) for x in table.column("tokens").to_pylist()]
         rank = np.concatenate([np.frombuffer(x, np.int64) for x in
                                table.column("ranks").to_pylist()])
         row = np.repeat(np.arange(len(name)), list(map(len, token)))
-        first = np.flatnonzero(np.diff(name, prepend=~name[:1]) != 0)
-        of = np.searchsorted(first, row, side="right") - 1
         token = np.concatenate(token)
-        order = np.lexsort((token, rank, of))
+        of = np.searchsorted(first, row, side="right") - 1
         size = np.bincount(of, minlength=len(first))
-        n = n[first]
+        living = 100 * size >= percent * n
+        chosen = living[of]
+        token, rank, of = token[chosen], rank[chosen], of[chosen]
+        order = np.lexsort((token, rank, of))
+        n, size = n[living], size[living]
         least = (percent * n + 99) // 100
         prefix = n - least + 1 - (n - size)  # shingles of no other set come first of all
         tokens = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(token[order]))
         return pa.RecordBatch.from_arrays(
-            [pa.array(name[first]), pa.array(n), pa.array(prefix, pa.int32()), tokens],
+            [pa.array(name[first][living]), pa.array(n), pa.array(prefix, pa.int32()), tokens],
             names=schema.names)
 
-    return parts.repartition("name").sortWithinPartitions("name").mapInArrow(run, schema)
+    return shared.repartition("name").sortWithinPartitions("name").mapInArrow(run, schema)
 
 
 def _reach(n_a: Column, n_b: Column, most: Column, percent: int) -> Column:
@@ -346,15 +347,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     total = sizes.filter("kind = 0").agg(F.sum("size")).first()[0] or 0
     fragments = max(2, -(-total // FRAGMENT_TOKENS),
                     int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shared = stored(shared_shingles(df, text_col, n, fragments, frequent), "shared")
+    shared = shared_shingles(df, text_col, n, fragments, frequent)
+    sets = stored(candidate_sets(shared, percent), "sets")
     rows = sizes.filter("kind = 0").select("id", "size", F.when(
         F.col("hash") != 0, F.col("hash")).alias("name"))
-    classes = rows.filter(F.col("name").isNotNull()).groupBy("name").agg(
-        F.first("size").alias("n"), F.min("id").alias("id"))
-    counted = shared.groupBy("name").agg(F.sum(F.octet_length("tokens") / 8).alias("shared"))
-    living = classes.join(counted, "name").filter(100 * F.col("shared") >= percent * F.col("n"))
-    sets = stored(_ordered(shared.join(living.select("name", "n"), "name").select(
-        "name", "n", "tokens", "ranks"), percent), "sets")
+    classes = rows.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("id").alias("id"))
     linked = stored(link_sets(sets, percent), "linked")
     least = classes.join(linked, "name").groupBy("component").agg(F.min("id").alias("least"))
     named = classes.join(linked.join(least, "component").select("name", "least"), "name", "left")
