@@ -1,8 +1,8 @@
 """Personal data in texts: expressions propose spans, checksums confirm, context words weigh.
 
 Four base kinds are found by their expression and test alone: ``email``, ``ip`` (parts at most
-255), ``card`` (12 to 19 digits, Luhn), ``phone`` (leading ``+``, 9 to 15 digits). Three more kinds
-are kept by score: a proposal starts at its kind's prior, a passed checksum (IBAN: mod 97) and
+255), ``card`` (12 to 19 digits, Luhn), ``phone`` (leading ``+``, 9 to 15 digits). Four more kinds
+(``iban``, ``ssn``, ``local_phone``, and ``secret``: access keys and named passwords) are kept by score: a proposal starts at its kind's prior, a passed checksum (IBAN: mod 97) and
 each kind of context word near it raise the score, and it counts from ``MIN_SCORE``.
 
 Null and empty texts have no spans. Rows are independent: ties, repeated rows and equal ids each
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from hiretide.llm.common import arrow_map, type_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "ssn", "local_phone")
+KINDS = (*BASE_KINDS, "iban", "ssn", "local_phone", "secret")
 MIN_SCORE = 0.6
 
 Span = tuple[int, int, str, float]
@@ -40,17 +40,21 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(
     r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
+                     r"|(?<=[=:])[^\s\"'<>,;]{8,200}")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 #: Score of a bare proposal, and the words that raise it by ``CONTEXT_GAIN`` when one is near.
-PRIORS = {"iban": 0.3, "ssn": 0.4, "local_phone": 0.35}
+PRIORS = {"iban": 0.3, "ssn": 0.4, "local_phone": 0.35, "secret": 0.3}
 CHECKSUM_GAIN, CONTEXT_GAIN, CONTEXT_CHARS = 0.5, 0.35, 60
 CONTEXT = {
     "iban": frozenset(("iban", "account", "bank", "konto", "compte", "cuenta", "transfer")),
     "ssn": frozenset(("ssn", "social", "security", "taxpayer")),
     "local_phone": frozenset(("phone", "tel", "telephone", "call", "mobile", "cell", "fax",
                               "telefon", "téléphone", "teléfono")),
+    # The word that names the value stands right before it.
+    "secret": frozenset(("password", "passwd", "pwd", "secret", "token", "apikey", "passwort")),
 }
 
 
@@ -95,24 +99,30 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _score(kind: str, text: str, start: int, end: int, checksum: bool) -> float:
-    near = text[max(0, start - CONTEXT_CHARS):start] + " " + text[end:end + CONTEXT_CHARS // 2]
+    if kind == "secret":
+        near = text[max(0, start - 16):start]
+    else:
+        near = text[max(0, start - CONTEXT_CHARS):start] + " " + text[end:end + CONTEXT_CHARS // 2]
     context = any(w in CONTEXT[kind] for w in _WORD.findall(near.lower()))
     return round(PRIORS[kind] + CHECKSUM_GAIN * checksum + CONTEXT_GAIN * context, 2)
 
 
 def scored_spans(text: str, base: list[Span]) -> list[Span]:
-    """Further spans whose score suffices and that no base span overlaps."""
+    """Further spans whose score suffices and that no base span overlaps, nor one found before."""
     if not any(c in text for c in "0123456789"):
         return []
-    found = []
-    for kind, pattern in (("iban", _IBAN), ("ssn", _SSN), ("local_phone", _LOCAL_PHONE)):
+    found: list[Span] = []
+    for kind, pattern in (("iban", _IBAN), ("ssn", _SSN), ("local_phone", _LOCAL_PHONE),
+                          ("secret", _SECRET)):
         for m in pattern.finditer(text):
-            checksum = kind == "iban" and mod97(m.group().replace(" ", ""))
+            # An access key's fixed form confirms it, as a checksum does.
+            checksum = mod97(m.group().replace(" ", "")) if kind == "iban" else (
+                kind == "secret" and m.group()[:4] in ("AKIA", "ASIA"))
             if kind == "iban" and not checksum:
                 continue
             score = _score(kind, text, m.start(), m.end(), checksum)
             if score >= MIN_SCORE and not any(
-                    s[0] < m.end() and m.start() < s[1] for s in base):
+                    s[0] < m.end() and m.start() < s[1] for s in base + found):
                 found.append((m.start(), m.end(), kind, score))
     return found
 
