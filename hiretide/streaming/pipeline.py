@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.util import inheritable_thread_target
 
 from hiretide.operators.events import parse_events, split_rejects
 from hiretide.operators.tagging import add_role_category, add_techs, enrich
@@ -138,11 +140,12 @@ def _store_all(tables: Tables, window_sec: int, count: str):
         try:
             good, rejects = split_rejects(batch)
             tables.jobs.append_batch(good, batch_id)
-            tables.rejects.append_batch(rejects, batch_id)
             # What the jobs table took of this batch is in its folder, also when this is a replay.
             counted = tables.jobs.batch_rows(batch_id) if count == "events" else batch
-            tables.trend_tech.append_batch(tech_trend(counted, window_sec), batch_id)
-            tables.trend_role.append_batch(role_trend(counted, window_sec), batch_id)
+            _at_once(tables.spark, [
+                lambda: tables.rejects.append_batch(rejects, batch_id),
+                lambda: tables.trend_tech.append_batch(tech_trend(counted, window_sec), batch_id),
+                lambda: tables.trend_role.append_batch(role_trend(counted, window_sec), batch_id)])
         finally:
             batch.unpersist()
     return store
@@ -153,11 +156,17 @@ def _kept_small(tables: Tables, names: Iterable[str], every: int,
     def run(batch: DataFrame, batch_id: int) -> None:
         store(batch, batch_id)
         if (batch_id + 1) % every == 0:
-            for name in names:
-                tables.all()[name].merge()
+            _at_once(tables.spark, [tables.all()[name].merge for name in names])
     return run
 
 
+def _at_once(spark: SparkSession, tasks: list[Callable[[], None]]) -> None:
+    """Run small jobs on different tables side by side; the first failure is raised."""
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(task)) for task in tasks]:
+            done.result()
+
+
 def _copied(tables: Tables, names: Iterable[str], database: JdbcSink | None,
             store: Callable[[DataFrame, int], None]):
     """Also appends what a batch stored to the database; a marker per batch keeps replays out, but for

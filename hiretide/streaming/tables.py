@@ -203,12 +203,12 @@ class TrendTable(BatchTable):
             .write.mode("overwrite").parquet(f"{work}/new")
         new = self.spark.read.schema(schemas.trend(self.key)).parquet(f"{work}/new") \
             .withColumn("window_date", utc_day(F.col("window_start")))
-        low, high = new.agg(F.struct(F.min("window_start"), F.min("window_date")),
-                            F.struct(F.max("window_start"), F.max("window_date"))).first()
-        if low[0] is not None:
-            inside = F.col("window_start").between(low[0], high[0])
+        start, day = F.unix_micros("window_start"), F.col("window_date")
+        low, high, first, last = new.agg(F.min(start), F.max(start), F.min(day), F.max(day)).first()
+        if low is not None:
+            inside = start.between(low, high)
             old = self.base_rows().where((F.col("window_size_sec") == window_size_sec)
-                                         & F.col("window_date").between(low[1], high[1]))
+                                         & day.between(first, last))
             # What the stream counted in the range is taken back, and what the recount has added.
             old = old.withColumn("adjust", F.when(inside, -F.col("count")).otherwise(F.col("adjust")))
             added = new.withColumns({"adjust": F.col("count"), "count": F.lit(0).cast("long"),
