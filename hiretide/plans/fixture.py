@@ -63,28 +63,17 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.withColumn("seniority", F.lit(None).cast("string"))
 
 
-def work_folder(spark: SparkSession) -> str:
-    """The application's own folder, where all executors reach it: in the folder that the setting
-    ``spark.checkpoint.dir`` names, or, in local mode, in the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root.rstrip('/')}/hiretide-{spark.sparkContext.applicationId}"
-
-
 def shared_folder(spark: SparkSession, name: str) -> str:
     """An empty folder for one use. The next use of the name takes it over, so that runs do not
     pile up; ``clean`` removes all of them."""
-    path = f"{work_folder(spark)}/{name}"
+    path = f"{folders.scratch(spark)}/{name}"
     folders.remove(spark, path)
     return path
 
 
 def clean(spark: SparkSession) -> None:
     """Remove what queries of this application have written; their results cannot be read then."""
-    folders.remove(spark, work_folder(spark))
+    folders.remove(spark, folders.scratch(spark))
 
 
 #: Files a micro-batch of the derived stream reads, however many there are.

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+
 from pyspark.sql import SparkSession
 
 
@@ -29,3 +32,24 @@ def make(spark: SparkSession, path: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _hadoop(spark, path)
     fs.delete(p, True)
+
+
+def scratch(spark: SparkSession) -> str:
+    """The application's own folder for intermediate tables, which every executor sees: inside the
+    folder that ``spark.checkpoint.dir`` names. Unset, a local session takes its warehouse, and leaves
+    nothing there when Python ends; elsewhere that is an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    own = f"hiretide-{spark.sparkContext.applicationId}"
+    if root:
+        return f"{root.rstrip('/')}/{own}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{own}"
+    local = path.removeprefix("file:")
+    if local not in _AT_EXIT:
+        _AT_EXIT.add(local)
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+    return path
+
+
+_AT_EXIT: set[str] = set()
