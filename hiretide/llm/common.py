@@ -6,27 +6,20 @@ import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``, which every executor sees. Unset, a local session
-    takes its warehouse; elsewhere that is an error, since executors would not share the files."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    return folder.rstrip("/")
+from hiretide.llm.words import text_bytes
+from hiretide.sources.folders import scratch
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: lineage ends here, so a lost
     executor costs a read and not the work before it."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -63,10 +56,6 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[list]],
 
 def by_bytes(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` in which ``column`` has about ``most`` bytes, one row at least."""
-    import numpy as np
-
-    from hiretide.llm.words import text_bytes
-
     if not batch.num_rows:
         return
     _, ends = text_bytes(batch.column(column))
