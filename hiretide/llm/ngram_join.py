@@ -42,7 +42,7 @@ from hiretide.llm.words import mix, shingle_sets, split_words, word_hashes
 
 SHINGLE, PERCENT = 5, 75
 BATCH_BYTES = 4 << 20  # of text hashed at a time
-FRAGMENT_TOKENS = 1 << 20  # shingles of a fragment when frequencies are counted
+FRAGMENT_TOKENS = 2 << 20  # shingles of a fragment when frequencies are counted
 FREQUENT_SHARE, FREQUENT_LEAST, FREQUENT_IN_BATCH = 1000, 256, 4
 OVERLAP_FRAGMENTS = 8
 FREQUENT_RANK = 1 << 40  # places known frequent shingles after all counted ones
@@ -115,8 +115,12 @@ def _unpacked(data: bytes, dtype: type) -> np.ndarray:
 _PIECE = T.StructType([*(T.StructField(c, T.LongType()) for c in ("fragment", "name", "n")),
                        *(T.StructField(c, T.BinaryType()) for c in ("sets", "counts", "tokens",
                                                                     "ranks"))])
-_SHARED = T.StructType([*(T.StructField(c, T.LongType()) for c in ("name", "n")),
-                        *(T.StructField(c, T.BinaryType()) for c in ("tokens", "ranks"))])
+_SHARED = T.StructType([T.StructField("bucket", T.LongType()),
+                        *(T.StructField(c, T.BinaryType()) for c in ("sets", "sizes", "counts",
+                                                                     "tokens", "ranks"))])
+_SET = T.StructType([T.StructField("name", T.LongType()), T.StructField("n", T.LongType()),
+                     T.StructField("prefix", T.IntegerType()),
+                     T.StructField("tokens", T.ArrayType(T.LongType()))])
 
 
 def pieces(df: DataFrame, text_col: str, n: int, fragments: int, frequent) -> DataFrame:
@@ -168,11 +172,22 @@ def pieces(df: DataFrame, text_col: str, n: int, fragments: int, frequent) -> Da
     return df.select(text_col).mapInArrow(run, _PIECE)
 
 
-def _fragment_shared(table: pa.Table) -> pa.Table:
-    """Of one fragment: for each set its shingles that other sets have too, with their frequency."""
-    if table.column("fragment")[0].as_py() < 0:
-        _, first = np.unique(table.column("name").to_numpy(), return_index=True)
-        return table.select(_SHARED.names).take(pa.array(first))  # copies have the same
+def _known(table: pa.Table) -> pa.Table:
+    """Sizes and frequent shingles of the sets of one bucket, each set once: its copies say the same."""
+    name = table.column("name").to_numpy()
+    _, first = np.unique(name, return_index=True)
+    table = table.take(pa.array(first))
+    tokens, ranks = (table.column(c).to_pylist() for c in ("tokens", "ranks"))
+    counts = np.array([len(t) // 8 for t in tokens], np.uint32)
+    return pa.table([
+        pa.array([-1 - table.column("fragment")[0].as_py()]), [name[first].tobytes()],
+        [table.column("n").to_numpy().tobytes()], [counts.tobytes()], [b"".join(tokens)],
+        [b"".join(ranks)]], names=_SHARED.names)
+
+
+def _counted(table: pa.Table, fragments: int) -> pa.Table:
+    """Of one fragment: for each set its shingles that other sets have too, with their frequency, as
+    one row for each bucket of sets."""
     sets, tokens = [], []
     for s, c, t in zip(*(table.column(k).to_pylist() for k in ("sets", "counts", "tokens"))):
         sets.append(np.repeat(np.frombuffer(s, np.uint64), np.frombuffer(c, np.uint32)))
@@ -191,73 +206,63 @@ def _fragment_shared(table: pa.Table) -> pa.Table:
     token, name, run = token[fresh], name[fresh], run[fresh]
     count = np.bincount(run)[run] if len(run) else run
     token, name, count = token[count > 1], name[count > 1], count[count > 1]
-    order = np.argsort(name, kind="stable")
-    token, name, count = token[order], name[order], count[order]
-    edge = np.flatnonzero(np.diff(name, prepend=~name[:1])) if len(name) else np.zeros(0, int)
-    stop = [*edge[1:].tolist(), len(name)] if len(name) else []
-    return pa.table([
-        pa.array(_signed(name[edge])), pa.nulls(len(edge), pa.int64()),
-        pa.array([token[a:b].tobytes() for a, b in zip(edge.tolist(), stop)], pa.binary()),
-        pa.array([count[a:b].tobytes() for a, b in zip(edge.tolist(), stop)], pa.binary())],
-        names=_SHARED.names)
+    # As Python's modulo of the signed name, which the sizes go by.
+    bucket = name.view(np.int64) % np.int64(fragments)
+    order = np.lexsort((token, name, bucket))
+    token, name, count, bucket = token[order], name[order], count[order], bucket[order]
+    edge = np.flatnonzero(np.diff(bucket, prepend=-1))
+    rows = []
+    for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(bucket)]):
+        own, size = np.unique(name[a:b], return_counts=True)
+        rows.append((int(bucket[a]), own.tobytes(), None, size.astype(np.uint32).tobytes(),
+                     token[a:b].tobytes(), _packed(count[a:b])))
+    columns = list(zip(*rows)) or [()] * 6
+    return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 5))],
+                    names=_SHARED.names)
 
 
 def shared_shingles(df: DataFrame, text_col: str, n: int, fragments: int, frequent) -> DataFrame:
-    """Per set and fragment, the shingles that it shares with other sets, and their frequency."""
+    """The shingles that sets share with other sets, and their frequency, packed by buckets of sets."""
+    def of_fragment(table: pa.Table) -> pa.Table:
+        known = table.column("fragment")[0].as_py() < 0
+        return _known(table) if known else _counted(table, fragments)
+
     return pieces(df, text_col, n, fragments, frequent).groupBy("fragment").applyInArrow(
-        _fragment_shared, _SHARED)
+        of_fragment, _SHARED)
 
 
 def candidate_sets(shared: DataFrame, percent: int) -> DataFrame:
     """Sets that may be linked: name, ``n``, the shared shingles from rare to frequent, and how many
-    of them the prefix filter takes. A set's rows meet in one task, sorted, and are counted there."""
-    schema = T.StructType([T.StructField("name", T.LongType()), T.StructField("n", T.LongType()),
-                           T.StructField("prefix", T.IntegerType()),
-                           T.StructField("tokens", T.ArrayType(T.LongType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size < BATCH_BYTES:
-                continue
-            table = pa.Table.from_batches(held)
-            name = table.column("name").to_numpy()
-            last = int(np.searchsorted(name == name[-1], True))  # the last set may go on
-            held = table.slice(last).to_batches()
-            size = sum(b.nbytes for b in held)
-            if last:
-                yield sets(table.slice(0, last))
-        if held:
-            yield sets(pa.Table.from_batches(held))
-
-    def sets(table: pa.Table) -> pa.RecordBatch:
-        name = table.column("name").to_numpy()
+    of them the prefix filter takes. A bucket of sets is put together in one task; there are as many
+    buckets as fragments, so one holds about as much as a fragment."""
+    def sets(table: pa.Table) -> pa.Table:
+        names, tokens, ranks, size_of = [], [], [], {}
+        for s, z, c, t, r in zip(*(table.column(k).to_pylist() for k in _SHARED.names[1:])):
+            own = np.frombuffer(s, np.int64)
+            names.append(np.repeat(own, np.frombuffer(c, np.uint32)))
+            tokens.append(np.frombuffer(t, np.int64))
+            if z is None:
+                ranks.append(_unpacked(r, np.int64))
+            else:
+                ranks.append(np.frombuffer(r, np.int64))
+                size_of = dict(zip(own.tolist(), np.frombuffer(z, np.int64).tolist()))
+        name, token, rank = map(np.concatenate, (names, tokens, ranks))
+        order = np.lexsort((token, rank, name))
+        name, token = name[order], token[order]
         first = np.flatnonzero(np.diff(name, prepend=~name[:1]) != 0)
-        n = np.maximum.reduceat(table.column("n").fill_null(0).to_numpy(), first)
-        token = [np.frombuffer(x, np.int64) for x in table.column("tokens").to_pylist()]
-        rank = np.concatenate([np.frombuffer(x, np.int64) for x in
-                               table.column("ranks").to_pylist()])
-        row = np.repeat(np.arange(len(name)), list(map(len, token)))
-        token = np.concatenate(token)
-        of = np.searchsorted(first, row, side="right") - 1
-        size = np.bincount(of, minlength=len(first))
+        size = np.diff(first, append=len(name))
+        n = np.array([size_of[x] for x in name[first].tolist()], np.int64)
         living = 100 * size >= percent * n
-        chosen = living[of]
-        token, rank, of = token[chosen], rank[chosen], of[chosen]
-        order = np.lexsort((token, rank, of))
-        n, size = n[living], size[living]
+        token = token[np.repeat(living, size)]
+        name, n, size = name[first][living], n[living], size[living]
         least = (percent * n + 99) // 100
         prefix = n - least + 1 - (n - size)  # shingles of no other set come first of all
-        tokens = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(token[order]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(name[first][living]), pa.array(n), pa.array(prefix, pa.int32()), tokens],
-            names=schema.names)
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(size)]), pa.int32()), pa.array(token))
+        return pa.table([pa.array(name), pa.array(n), pa.array(prefix, pa.int32()), lists],
+                        names=_SET.names)
 
-    return shared.repartition("name").sortWithinPartitions("name").mapInArrow(run, schema)
+    return shared.groupBy("bucket").applyInArrow(sets, _SET)
 
 
 def _reach(n_a: Column, n_b: Column, most: Column, percent: int) -> Column:
