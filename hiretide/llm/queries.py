@@ -56,6 +56,31 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(documents(spark, sf_dir))
 
 
+BLANK = r"\x20\x09-\x0D"
+OP4_SQL = rf"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^{BLANK}]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {ngram_join.SHINGLE}
+    THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(
+      range(1, len(w) - {ngram_join.SHINGLE} + 2),
+      lambda i: array_to_string(w[i:i + {ngram_join.SHINGLE} - 1], ' '))) END AS s
+  FROM worded),
+shingles AS (SELECT doc_id, unnest(s) AS s FROM sets),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+           FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id
+          WHERE 100 * n >= {ngram_join.PERCENT} * (len(x.s) + len(y.s) - n)),
+steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sets
+  UNION SELECT r.doc_id, s.b FROM reached r JOIN steps s ON r.other = s.a)
+SELECT s.doc_id, len(s.s) AS n_shingles, min(r.other) AS component_id
+FROM sets s JOIN reached r ON s.doc_id = r.doc_id GROUP BY ALL
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir),
                                   public_tokenizers.path("word_bpe_49k.json"))
@@ -132,9 +157,62 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept", "failed_on")
 
 
+def _quality_sql() -> str:
+    """The counts, the quartiles of each language and source, and the fences about them."""
+    kind = "[^{0}]"
+    count = lambda chars: f"length(regexp_replace(t, '{kind.format(chars)}', '', 'g'))"
+    share = lambda part, whole: f"CASE WHEN {whole} > 0 THEN {part} / {whole} ELSE 0.0::DOUBLE END"
+    shares = {"symbol_share": ("n_symbols", "word_chars"), "mark_share": ("n_marks", "word_chars"),
+              "upper_share": ("n_upper", "n_cased"), "dup_line_share": ("n_dup_lines", "n_lines"),
+              "echo_share": ("n_echoes", "n_words"), "word_length": ("word_chars", "n_words")}
+    quartiles, failed = [], []
+    for name, (below, above) in quality.MEASURES.items():
+        quartiles.append(f"quantile_disc({name}, 0.25) AS {name}_a, quantile_disc({name}, 0.75) AS {name}_b")
+        reach = f"({name}_b - {name}_a) * {quality.FENCE}::DOUBLE"
+        if below is not None:
+            failed.append(f"CASE WHEN {name} < {name}_a - greatest({reach}, {below}::DOUBLE) "
+                          f"THEN '{name}_low' END")
+        if above is not None:
+            failed.append(f"CASE WHEN {name} > {name}_b + greatest({reach}, {above}::DOUBLE) "
+                          f"THEN '{name}_high' END")
+    n = quality.WINDOW
+    return rf"""
+WITH texts AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^{BLANK}]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+                lambda x: regexp_matches(x, '[^{BLANK}]')) AS lines FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + {n - 1}], ' ') AS words
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - {n - 2})) AS i FROM texts)),
+twice AS (SELECT doc_id, i FROM windows
+          QUALIFY count(*) OVER (PARTITION BY doc_id, words) > 1),
+inside AS (SELECT doc_id, count(DISTINCT p) AS n FROM (
+             SELECT doc_id, unnest(range(i, i + {n})) AS p FROM twice) GROUP BY doc_id),
+counts AS (
+  SELECT x.doc_id, lang, source, len(w) AS n_words,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    {count("#*$%&|<>")} AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+    len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes,
+    {count("!?")} AS n_marks, {count("A-Z")} AS n_upper, {count("A-Za-z")} AS n_cased
+  FROM texts x LEFT JOIN inside i ON x.doc_id = i.doc_id),
+measured AS (SELECT *, n_words < {quality.LEAST_WORDS}
+    OR 100 * n_repeat_words > {quality.MOST_REPEATED_PCT} * n_words AS base_failed,
+    {", ".join(f"{share(*parts)} AS {name}" for name, parts in shares.items())} FROM counts),
+limits AS (SELECT lang, source, {", ".join(quartiles)} FROM measured GROUP BY lang, source),
+judged AS (SELECT m.*, list_filter([{", ".join(failed)}], lambda x: x IS NOT NULL) AS failed
+  FROM measured m JOIN limits l ON m.lang IS NOT DISTINCT FROM l.lang
+    AND m.source IS NOT DISTINCT FROM l.source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND len(failed) = 0 AS kept, array_to_string(failed, ',') AS failed_on FROM judged
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii, op2_html_extraction, op3_line_dedup, op4_ngram_jaccard_join,
         op5_packing, op6_document_fingerprints,
         op7_byte_bpe, op8_token_counts, op9_license_scans, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {"op3_line_dedup": OP3_SQL, "op9_license_scans": _license_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": OP3_SQL, "op4_ngram_jaccard_join": OP4_SQL,
+    "op9_license_scans": _license_sql(), "op10_quality_rules": _quality_sql()}

@@ -82,7 +82,7 @@ def test_emptied_rows_go_on_demand(spark):
     assert 2 not in left or len(left[2]) < len(text) // 2
 
 
-@pytest.mark.parametrize("name", ["op3_line_dedup", "op9_license_scans"])
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql_agrees(spark, name):
     for sf in ("sf0.001", "sf0.01"):
         sf_dir = f"/root/testdata/{sf}"
