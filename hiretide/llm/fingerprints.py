@@ -223,8 +223,8 @@ def _ordered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def edit_likeness(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited form, and how alike they are.
 
-    The row after a row is that of the next lower id (nulls last, ties by text); after the last
-    comes the first."""
+    Ids are whole numbers. The row after a row is that of the next lower id (nulls last, ties by
+    text); after the last comes the first."""
     schema = T.StructType([T.StructField(id_col, type_of(df, id_col)),
                            T.StructField("n_chars", T.LongType()),
                            *(T.StructField(c, T.StringType()) for c in (

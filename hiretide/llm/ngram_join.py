@@ -279,8 +279,11 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             f.cast("long").alias("fragment"), F.filter(
                 "tokens", lambda t: F.shiftrightunsigned(t, span) == f).alias("tokens"))
     )).alias("part")).select("name", "part.fragment", "part.tokens").filter(F.size("tokens") > 0)
-    left = pairs.join(parts.select(F.col("name").alias("a"), "fragment",
-                                   F.col("tokens").alias("of_a")), "a")
+    # The fragment is part of the key from the start: a set with very many pairs is several keys.
+    split = pairs.withColumn("fragment", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(OVERLAP_FRAGMENTS - 1).cast("long"))))
+    left = split.join(parts.select(F.col("name").alias("a"), "fragment",
+                                   F.col("tokens").alias("of_a")), ["a", "fragment"])
     both = left.join(parts.select(F.col("name").alias("b"), "fragment",
                                   F.col("tokens").alias("of_b")), ["b", "fragment"])
     return both.groupBy("a", "b").agg(
