@@ -28,16 +28,17 @@ from pyspark.sql import types as T
 
 from hiretide.llm.common import by_bytes, code_path, type_of
 from hiretide.llm.token_counts import _json_tokenizer
+from hiretide.llm.words import split_words, word_hashes
 
 SEQUENCE, END_ID = 4096, 2
 BLOCK_TOKENS, QUADRATIC = 4 << 20, 2048.0
-CACHED_WORDS, CACHED_CHARS, BATCH_BYTES = 1_000_000, 64 << 20, 4 << 20
+CACHED_WORDS, BATCH_BYTES = 1_000_000, 4 << 20
 SEPARATOR, JOINED = "0", 200
 
 
 class WordEncoder:
-    """Ids of texts whose tokens never reach over a space or line feed: each distinct word between
-    them is encoded once by the library and its ids kept."""
+    """Ids of texts whose tokens never reach over white space: each distinct word is encoded once by
+    the library. Words are known by their 64-bit hashes in sorted arrays, some 30 bytes a word."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _json_tokenizer(path)
@@ -46,53 +47,65 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.known = np.zeros(0, np.uint64)  # hashes, ascending, and the place of each in ``ends``
+        self.place = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
-        self.chars = 0
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """Words without the separator go to the library joined by it, many at a time: a digit
         between spaces is a token of its own, so its id shows where each word's ids end."""
-        apart = [w for w in words if SEPARATOR not in w]
-        if self.mark is not None and apart:
+        alone = np.array([self.mark is None or SEPARATOR in w for w in words], bool)
+        order = np.argsort(alone, kind="stable")
+        words = [words[i] for i in order.tolist()]
+        apart, rest = words[:len(words) - int(alone.sum())], words[len(words) - int(alone.sum()):]
+        if apart:
             joined = [f" {SEPARATOR} ".join([*apart[i:i + JOINED], ""])
                       for i in range(0, len(apart), JOINED)]
-            found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(
-                joined, add_special_tokens=False)]
-            ids = np.concatenate(found)
+            ids = np.concatenate([np.array(e.ids, np.uint32) for e in
+                                  self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)])
             marks = np.flatnonzero(ids == self.mark)
-            self._add(apart, np.delete(ids, marks), marks - np.arange(len(marks)))
-            words = [w for w in words if SEPARATOR in w]
-        if words:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(
-                words, add_special_tokens=False)]
-            self._add(words, np.fromiter(chain.from_iterable(found), np.uint32),
+            self._add(np.delete(ids, marks), marks - np.arange(len(marks)))
+        if rest:
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            self._add(np.fromiter(chain.from_iterable(found), np.uint32),
                       np.cumsum(list(map(len, found))))
+        known = np.concatenate([self.known, hashes[order]])
+        first = len(self.ends) - 1 - len(words)
+        place = np.concatenate([self.place, np.arange(first, first + len(words))])
+        order = np.argsort(known, kind="stable")
+        self.known, self.place = known[order], place[order]
 
-    def _add(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
+    def _add(self, ids: np.ndarray, ends: np.ndarray) -> None:
         self.ends = np.concatenate([self.ends, ends + len(self.ids)])
         self.ids = np.concatenate([self.ids, ids])
-        self.chars += sum(map(len, words))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
         """Ids of each text. New words of all texts go to the library in one call."""
-        lists = [t.replace("\n", " ").split(" ") for t in texts]
-        words = list(chain.from_iterable(lists))
-        new = set(words).difference(self.place)
-        if len(self.place) + len(new) > CACHED_WORDS or self.chars > CACHED_CHARS:
+        w = split_words(column)
+        hashes, first, which = np.unique(word_hashes(w, lower=False), return_index=True,
+                                         return_inverse=True)
+        new = np.flatnonzero(~self._has(hashes))
+        if len(self.known) + len(new) > CACHED_WORDS:
             self._clear()
-            new = set(words)
-        if new:
-            self._learn(sorted(new))
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        first = self.ends[at]
-        size = self.ends[at + 1] - first
+            new = np.arange(len(hashes))
+        if len(new):
+            starts, stops = w.start[first[new]].tolist(), w.stop[first[new]].tolist()
+            data = w.data.tobytes()
+            self._learn(hashes[new], [data[a:b].decode() for a, b in zip(starts, stops)])
+        at = self.place[np.searchsorted(self.known, hashes)][which]
+        begin = self.ends[at]
+        size = self.ends[at + 1] - begin
         stop = np.concatenate([[0], np.cumsum(size)])
-        ids = self.ids[np.arange(int(stop[-1])) + np.repeat(first - stop[:-1], size)]
-        cuts = stop[np.cumsum(list(map(len, lists)))].tolist()
-        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
+        ids = self.ids[np.arange(int(stop[-1])) + np.repeat(begin - stop[:-1], size)]
+        cuts = stop[w.first].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def _has(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.known):
+            return np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        return self.known[at] == hashes
 
 
 @lru_cache(maxsize=2)
@@ -170,7 +183,7 @@ def pack_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         for batch in batches:
             for part in by_bytes(batch, batch.schema.names[1], BATCH_BYTES):
                 ids.append(part.column(0))
-                for own in encoder.encode([t or "" for t in part.column(1).to_pylist()]):
+                for own in encoder.encode(part.column(1)):
                     tokens.append(np.append(own, np.uint32(END_ID)))
                     size += len(tokens[-1])
                 if size >= block_tokens:
