@@ -11,5 +11,6 @@ from hiretide.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(partitions=4, memory="4g")
+    session.conf.set("spark.sql.maxMetadataStringLength", "4000")  # plans are read as text
     yield session
     session.stop()
