@@ -80,8 +80,9 @@ def word_hashes(w: Words, lower: bool) -> np.ndarray:
         place = np.arange(int(size.sum())) - np.repeat(at, size)
         values = table[w.data[place + np.repeat(start, size)]]
         values *= _POWERS[place % 4096]
-        if len(place) and place.max() >= 4096:  # words beyond the table of powers
-            values = mix(values + (place // 4096).astype(np.uint64) * _STEP)
+        far = np.flatnonzero(place >= 4096)  # beyond the table of powers; no other value changes
+        if len(far):
+            values[far] = mix(values[far] + (place[far] // 4096).astype(np.uint64) * _STEP)
         out[a:a + block] = mix(np.add.reduceat(values, at)) if len(size) else 0
     return out
 

@@ -33,3 +33,15 @@ def test_long_words_differ_beyond_the_table_of_powers():
     column = pa.array(["x" * 9000, "x" * 8999 + "y", "y" + "x" * 8999, "x" * 9000])
     hashes = words.word_hashes(words.split_words(column), lower=False)
     assert hashes[0] == hashes[3] and len(set(hashes.tolist())) == 3
+
+
+def test_a_long_neighbour_changes_no_other_hash():
+    alone, beside = ([*map(int, words.word_hashes(words.split_words(pa.array([t])), lower=True))]
+                     for t in ("Alpha beta", "Alpha beta " + "x" * 5000))
+    assert beside[:2] == alone
+    copy = "one two three four five six"
+    sets, bounds = words.shingle_sets(*(lambda w: (words.word_hashes(w, True), w.first))(
+        words.split_words(pa.array([copy, "z" * 5000]))), 3)
+    plain, _ = words.shingle_sets(*(lambda w: (words.word_hashes(w, True), w.first))(
+        words.split_words(pa.array([copy]))), 3)
+    assert sets[:bounds[1]].tolist() == plain.tolist()
