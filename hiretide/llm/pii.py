@@ -40,8 +40,11 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(
     r"(?<![0-9+])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
-_SECRET = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"
-                     r"|(?<=[=:])[^\s\"'<>,;]{8,200}")
+_KEY = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])")
+_SIGN = re.compile(r"[=:]")
+# A quoted value ends at its quote; an unclosed or bare one at a blank or mark.
+_VALUE = re.compile(r">?[ \t]*+(?:\"(?P<double>(?:[^\"\\\r\n]|\\.){8,}+)\"|'(?P<single>(?:[^'\\\r\n]|\\.){8,}+)'"
+                    r"|\\?[\"'`]?(?P<bare>[^\s\"'`<>,;]{8,}+))")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -107,23 +110,68 @@ def _score(kind: str, text: str, start: int, end: int, checksum: bool) -> float:
     return round(PRIORS[kind] + CHECKSUM_GAIN * checksum + CONTEXT_GAIN * context, 2)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Proposals that pass mod 97, of each the longest: capitals behind one may look like its last groups."""
+    m = _IBAN.search(text)
+    while m:
+        start, end = m.span()
+        while end > start and not mod97(text[start:end].replace(" ", "")):
+            end = text.rfind(" ", start, end)
+            if len(text[start:max(end, start)].replace(" ", "")) < 15:
+                end = start
+        if end > start:
+            yield start, end
+        m = _IBAN.search(text, end if end > start else start + 4)
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int, float]]:
+    """Values that follow a name and a sign, then access keys by their form alone."""
+    m = _SIGN.search(text)
+    while m:
+        sign, after = m.span()
+        while sign and text[sign - 1] in " \t":
+            sign -= 1
+        named = _score("secret", text, sign, after, False)
+        value = _VALUE.match(text, after) if named >= MIN_SCORE or text.startswith(
+            ("AKIA", "ASIA"), after) else None
+        if value:
+            start, after = value.span(value.lastgroup)
+            # An access key's fixed form confirms it, as a checksum does.
+            yield start, after, round(named + CHECKSUM_GAIN * text.startswith(("AKIA", "ASIA"), start), 2)
+        m = _SIGN.search(text, after)
+    if "AKIA" in text or "ASIA" in text:
+        for m in _KEY.finditer(text):
+            yield *m.span(), _score("secret", text, *m.span(), True)
+
+
 def scored_spans(text: str, base: list[Span]) -> list[Span]:
-    """Further spans whose score suffices and that no base span overlaps, nor one found before."""
-    if not any(c in text for c in "0123456789"):
-        return []
+    """Further spans whose score suffices and that no base span overlaps, nor one found before. A
+    secret may hold such spans, so that nothing of it is left beside them."""
     found: list[Span] = []
-    for kind, pattern in (("iban", _IBAN), ("ssn", _SSN), ("local_phone", _LOCAL_PHONE),
-                          ("secret", _SECRET)):
-        for m in pattern.finditer(text):
-            # An access key's fixed form confirms it, as a checksum does.
-            checksum = mod97(m.group().replace(" ", "")) if kind == "iban" else (
-                kind == "secret" and m.group()[:4] in ("AKIA", "ASIA"))
-            if kind == "iban" and not checksum:
-                continue
-            score = _score(kind, text, m.start(), m.end(), checksum)
-            if score >= MIN_SCORE and not any(
-                    s[0] < m.end() and m.start() < s[1] for s in base + found):
-                found.append((m.start(), m.end(), kind, score))
+    taken = bytearray()  # a 1 for each character of a span
+
+    def take(start: int, end: int) -> None:
+        taken[start:end] = b"\1" * (end - start)
+
+    def add(kind: str, start: int, end: int, score: float) -> None:
+        if score < MIN_SCORE:
+            return
+        if not taken:
+            taken.extend(bytes(len(text)))
+            for s in base:
+                take(*s[:2])
+        if taken.find(0, start, end) >= 0 and (kind == "secret" or taken.find(1, start, end) < 0):
+            found.append((start, end, kind, score))
+            take(start, end)
+
+    if any(c in text for c in "0123456789"):
+        for start, end in _ibans(text):
+            add("iban", start, end, _score("iban", text, start, end, True))
+        for kind, pattern in (("ssn", _SSN), ("local_phone", _LOCAL_PHONE)):
+            for m in pattern.finditer(text):
+                add(kind, *m.span(), _score(kind, text, *m.span(), False))
+    for start, end, score in _secrets(text):
+        add("secret", start, end, score)
     return found
 
 

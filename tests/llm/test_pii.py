@@ -89,3 +89,43 @@ def test_redaction_keeps_columns(edge_docs):
     assert out.columns == edge_docs.columns
     assert any(r.text == "no id here, mail <EMAIL> or x" for r in out.collect())
     assert pii.redact_text("1.2.3.4 and 5.6.7.8") == "<IP> and <IP>"
+
+
+def test_named_secrets_are_taken_whole():
+    redact = pii.redact_text
+    for value in ("9ab4" * 10, "b7db" * 200, "correcthorse"):
+        for name in ("token", "PASSWORD", "my_secret", "'apikey'", '"password"'):
+            for sign in ("=", " = ", ": ", "\t:=  ", " => "):
+                for left, right in (("", ""), ('"', '"'), ("'", "'"), ('"', "")):
+                    text = f"and {name}{sign}{left}{value}{right} then"
+                    assert redact(text) == text.replace(value, "<SECRET>"), text
+    assert redact('password = "correct, horse; <battery>" x') == 'password = "<SECRET>" x'
+    assert redact("see: password=b7db7aa4a5fc") == "see: password=<SECRET>"
+    assert redact("token = dead4111111111111111beef x") == "token = <SECRET> x"
+    assert redact('size = "b7db7aa4a5fc"') == 'size = "b7db7aa4a5fc"'
+    assert redact("password=" + "x" * 5000 + " 7") == "password=<SECRET> 7"
+
+
+def test_all_named_secrets_of_given_documents_go(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter(
+        "text ilike '%token = \"%'").collect()
+    assert len(rows) > 100
+    for row in rows:
+        left = pii.redact_text(row.text)
+        assert not re.search(r'(?i)token = "[0-9a-f]{40}"', left)
+        assert '"<SECRET>"' in left
+
+
+def test_capitals_behind_an_iban_are_not_part_of_it():
+    iban = "DE89 3704 0044 0532 0130 00"
+    for after in (" BIC COBA", " BIC COBADEFFXXX", " GB82 WEST 1234 5698 7654 32", " X"):
+        spans = pii.all_spans(f"pay to {iban}{after}")[1]
+        assert spans[0][:3] == (7, 7 + len(iban), "iban")
+        assert [s[2] for s in spans] == ["iban"] * (2 if "WEST" in after else 1)
+    assert pii.redact_text(f"AB12 CDEF {iban}") == "AB12 CDEF <IBAN>"
+
+
+def test_secrets_are_found_in_linear_time():
+    for text in ("token=" * 50_000, "token='a " * 50_000, "=" * 300_000, "token = \"" * 50_000,
+                 "token=\"a token='b " * 30_000, "token=" + " " * 300_000, "AB12 " * 60_000):
+        pii.all_spans(text)
