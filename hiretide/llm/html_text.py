@@ -60,6 +60,8 @@ _RAW = frozenset(("script", "style", "textarea", "title", "noscript", "template"
                   "math", "object", "select", "button", "canvas", "audio", "video", "datalist"))
 _OUT_TAGS = frozenset(("nav", "footer", "aside", "form", "head", "menu", "dialog", "fieldset"))
 _MAIN_TAGS = frozenset(("article", "main"))
+_REGIONS = _MAIN_TAGS | _OUT_TAGS
+_ENDS_REGIONS = _REGIONS | {"body", "html"}
 _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
                    "source", "track", "wbr"))
 _BLOCK = frozenset((
@@ -78,8 +80,16 @@ _OUT_NAMES = frozenset((
     "newsletter", "notice", "notices", "notification", "pager", "pagination", "popup", "promo",
     "promotion", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "signup",
     "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar", "widget"))
-#: Such blocks start anew when one of the same kind opens: their end tags may be left out.
-_OPTIONAL_END = frozenset(("p", "li", "dt", "dd", "tr", "td", "th", "option"))
+#: End tags that may be left out: a start tag closes the nearest open element of those it names, with
+#: what is open inside it, unless one of the elements between them that hold their own stands there.
+_ROWS, _CELLS = frozenset(("thead", "tbody", "tfoot")), frozenset(("td", "th"))
+_CLOSES = {"li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")),
+           "td": _CELLS, "th": _CELLS, "tr": _CELLS | {"tr"}, "caption": frozenset(),
+           **dict.fromkeys(_ROWS, _ROWS | _CELLS | {"tr", "caption"})}
+_HOLDS = {"li": frozenset(("ul", "ol", "menu", "dir")), **dict.fromkeys(("dt", "dd"), frozenset(("dl",))),
+          **dict.fromkeys((*_ROWS, *_CELLS, "tr", "caption"), frozenset(("table",)))}
+#: Elements whose start leaves an open paragraph as it is.
+_IN_P = frozenset(("body", "caption", "head", "html", "legend", "tbody", "td", "tfoot", "th", "thead", "tr"))
 
 
 @dataclass
@@ -93,9 +103,10 @@ class Block:
 
 @dataclass
 class _Reader:
-    """Open elements as (tag, zone); the block being read as pieces."""
+    """Open elements as (tag, zone), and by tag their places; the block being read as pieces."""
 
     open: list[tuple[str, str]] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)
     pieces: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     links: int = 0
@@ -122,8 +133,7 @@ class _Reader:
     def start(self, tag: str, attrs: str) -> None:
         if tag in _BLOCK:
             self.end_block()
-            if tag in _OPTIONAL_END and self.open and self.open[-1][0] == tag:
-                self.open.pop()
+            self.end_omitted(tag)
         if tag in _VOID:
             if tag == "br":
                 self.text(" ")
@@ -135,24 +145,40 @@ class _Reader:
         if tag in _BLOCK or zone != self.zone:
             if zone != self.zone and tag not in _BLOCK:
                 self.end_block()
+            self.places.setdefault(tag, []).append(len(self.open))
             self.open.append((tag, zone))
 
+    def last(self, tags) -> int:
+        """The place of the innermost open element of ``tags``, or -1."""
+        return max((at[-1] for t in tags if (at := self.places.get(t))), default=-1)
+
+    def cut(self, at: int) -> None:
+        """Close the elements from ``at`` on; each is closed once, however deep the page."""
+        while len(self.open) > at:
+            self.places[self.open.pop()[0]].pop()
+
+    def end_omitted(self, tag: str) -> None:
+        """Close what the start of ``tag`` closes by the rules for omitted end tags."""
+        if tag not in _IN_P and self.open and self.open[-1][0] == "p":
+            self.cut(len(self.open) - 1)
+        if closed := _CLOSES.get(tag):
+            holder = self.last((*_HOLDS[tag], *_REGIONS))
+            if found := [at for t in closed for at in self.places.get(t, ())[-1:] if at > holder]:
+                self.cut(min(found))
+
     def close(self, tag: str) -> None:
         if tag == "a":
             self.links = max(0, self.links - 1)
             return
         if tag in _BLOCK:
             self.end_block()
-        for i in range(len(self.open) - 1, max(-1, len(self.open) - 200), -1):
-            if self.open[i][0] == tag:
-                if tag not in _BLOCK:
-                    self.end_block()
-                del self.open[i:]
-                return
-            # The end tag of a small element does not close the region around it.
-            if self.open[i][0] in _MAIN_TAGS | _OUT_TAGS and tag not in (
-                    *_MAIN_TAGS, *_OUT_TAGS, "body", "html"):
-                return
+        at = self.last((tag,))
+        # The end tag of a small element does not close the region around it.
+        if at < 0 or (tag not in _ENDS_REGIONS and at < self.last(_REGIONS)):
+            return
+        if tag not in _BLOCK:
+            self.end_block()
+        self.cut(at)
 
 
 def _zone(tag: str, attrs: str, around: str) -> str:

@@ -64,3 +64,35 @@ def test_edges(spark):
     assert sorted((str(r.page_id), r.text) for r in extract_text(pages).collect()) == [
         ("1", "x"), ("1", "x"), ("2", ""), ("None", "")]
     assert extract_text(pages.filter("1 = 0")).collect() == []
+
+
+@pytest.mark.parametrize("entry, around", [
+    ("<li><p>item {}", "ul"), ("<li><div><p>item {}</div>", "ul"), ("<tr><td>item {}<td>x", "table"),
+    ("<tbody><tr><th>item {}<td><p>x", "table"), ("<dt>item {}<dd><p>x", "dl"),
+    ("<li><span class=nav><p>item {}", "ol"), ("<li><div>item {}", "ul")])
+def test_deep_menus_and_lists_end(entry, around):
+    entries = "".join(entry.format(i) for i in range(300))
+    good = "This is the text of the page and it has many of the words that are in a text. " * 2
+    menu = f"<nav><{around}>{entries}</{around}></nav><article><p>{good}</article><p>{good}behind"
+    assert main_text(menu) == good.strip()
+    inside = f"<article><p>{good}<{around}>{entries}</{around}></article><p>{good}behind"
+    assert main_text(inside).startswith(good.strip()) and "behind" not in main_text(inside)
+
+
+def test_omitted_end_tags_close_their_own_list_alone():
+    from hiretide.llm.html_text import _Reader
+
+    def opened(page):
+        reader = _Reader()
+        for tag in page.split():
+            reader.close(tag[1:]) if tag[0] == "/" else reader.start(tag, "")
+        return [t for t, _ in reader.open]
+
+    assert opened("ul li p li p li") == ["ul", "li"]
+    assert opened("ul li ul li p li") == ["ul", "li", "ul", "li"]
+    assert opened("ul li ul li p /ul li") == ["ul", "li"]
+    assert opened("table tr td p tr td td") == ["table", "tr", "td"]
+    assert opened("table tr td table tr td tr") == ["table", "tr", "td", "table", "tr"]
+    assert opened("table thead tr th tbody tr td") == ["table", "tbody", "tr", "td"]
+    assert opened("p p div") == ["div"] and opened("dl dt dd p dt") == ["dl", "dt"]
+    assert opened("div " * 500 + "p /div /div") == ["div"] * 498
