@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -157,23 +157,60 @@ def likeness(a, b):
 
 def candidate_links(prints: DataFrame, id_col: str = "doc_id",
                     least: float = SIMILAR) -> DataFrame:
-    """Verified links (``a``, ``b``, ``near``) of rows to the least id that shares a run of bands:
-    at most one candidate for each row and run, so a large group does not become all its pairs.
+    """Verified links (``a``, ``b``, ``near``) of rows that share a run of bands. Of those of a run and
+    key the least id is a hub and meets all others; of the rows without a link to a hub the least is the
+    next hub, until none is left. So a row like another of its key has a link, yet a large group of near
+    copies does not become all its pairs: two rows that both have a hub are not compared.
     Rows of equal fingerprint stand together as their least id."""
-    one = prints.groupBy("fingerprint").agg(F.min(id_col).alias("a"))
+    one = prints.filter(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(
+        F.min(id_col).alias("a")).withColumn("row", F.xxhash64("fingerprint"))
     width = BANDS_PER_KEY * SLOT_CHARS
-    keys = one.select("a", "fingerprint", F.explode(F.transform(
+    # Keys travel without the fingerprints; these join the rows whose key another row has.
+    keys = one.select("row", F.explode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS // BANDS_PER_KEY - 1)),
-        lambda i: F.struct(i.alias("run"), F.substring(
-            F.col("fingerprint"), i * width + 1, F.lit(width)).alias("key")))).alias("k")).select(
-        "a", "fingerprint", "k.run", "k.key")
-    hubs = keys.groupBy("run", "key").agg(
-        F.min(F.struct("a", "fingerprint")).alias("hub"), F.count("*").alias("n")).filter("n > 1")
-    pairs = keys.join(hubs, ["run", "key"]).filter(F.col("hub.a") < F.col("a")).select(
-        F.col("hub.a").alias("a"), F.col("a").alias("b"),
-        F.col("hub.fingerprint").alias("fa"), F.col("fingerprint").alias("fb")).distinct()
-    return pairs.withColumn("near", likeness(F.col("fa"), F.col("fb"))).filter(
-        F.col("near") >= least).select("a", "b", "near")
+        lambda i: F.conv(F.substring(F.col("fingerprint"), i * width + 1, F.lit(width)), 16, 10).cast(
+            "long") + i.cast("long") * (1 << 32))).alias("key"))
+    shared = keys.withColumn("n", F.count("*").over(Window.partitionBy("key"))).filter("n > 1")
+    shared = shared.drop("n").join(one.select("row", "a", F.unhex("fingerprint").alias("bands")), "row")
+    kind = one.schema["a"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind),
+                           T.StructField("near", T.DoubleType())])
+
+    def link(group: pa.Table) -> pa.Table:
+        group = group.sort_by("a")
+        ids = group.column("a").combine_chunks()
+        bands = np.frombuffer(b"".join(group.column("bands").to_pylist()), ">u2").reshape(len(ids), BANDS)
+        linked = np.zeros(len(ids), bool)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for hub in range(len(ids)):
+            if not linked[hub]:
+                near = (bands == bands[hub]).mean(axis=1)
+                near[hub] = -1.0
+                like = np.flatnonzero(near >= least)
+                linked[like] = True
+                found.append((np.minimum(hub, like), np.maximum(hub, like), near[like]))
+        low, high, near = (np.concatenate(x) for x in zip(*found))
+        return pa.table([ids.take(pa.array(low)), ids.take(pa.array(high)), pa.array(near)],
+                        names=schema.names)
+
+    code_path(prints.sparkSession)
+    return shared.select("key", "a", "bands").groupBy("key").applyInArrow(link, schema).distinct()
+
+
+def with_neighbours(prints: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``prints``, their ``fingerprint`` as bytes, with ``same_id``, the least id of the equal fingerprints, and the verified links of
+    these: ``n_links``, and the other end (ties: the least id) and likeness of the nearest,
+    ``link_id`` and ``link_near``, null without links."""
+    links = candidate_links(prints.select(
+        id_col, F.hex("fingerprint").alias("fingerprint")), id_col)
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "near"))
+    ends = ends.groupBy(F.col("a").alias("__end")).agg(
+        F.count("*").alias("n_links"), F.min(F.struct((-F.col("near")).alias("far"), "b")).alias("__link"))
+    same = prints.groupBy(F.col("fingerprint").alias("__print")).agg(F.min(id_col).alias("same_id"))
+    same = same.join(ends, F.col("same_id").eqNullSafe(F.col("__end")), "left")
+    return prints.join(same, F.col("fingerprint") == F.col("__print")).select(
+        *prints.columns, "same_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.col("__link.b").alias("link_id"), (-F.col("__link.far")).alias("link_near"))
 
 
 def edited(text: str, following: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hiretide.llm import (byte_bpe, fingerprints, html_text, licenses, line_dedup, ngram_join,
                           packing, pii, quality, token_counts)
-from hiretide.llm.common import documents
+from hiretide.llm.common import documents, stored
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +87,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edit_likeness(documents(spark, sf_dir))
+    prints = fingerprints.edit_likeness(documents(spark, sf_dir))
+    digits = ("edited_sha256", "fingerprint", "edited_fingerprint")  # stored and joined as bytes
+    prints = stored(prints.withColumns({c: F.unhex(c) for c in digits}), "prints")
+    return fingerprints.with_neighbours(prints).withColumns({c: F.lower(F.hex(c)) for c in digits})
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,37 @@ def test_candidates_are_verified(spark):
     links = {(r.a, r.b): r.near for r in fp.candidate_links(prints).collect()}
     assert all((i, 100 + i) in links for i in range(20))
     assert all(a % 100 == b % 100 and near >= fp.SIMILAR for (a, b), near in links.items())
+
+
+def test_rows_unlike_the_hub_of_their_key_meet_each_other(spark):
+    chosen = random.Random(4)
+    draw = lambda n: [chosen.randrange(1, 1 << 16) for _ in range(n)]
+    shared, rows = draw(fp.BANDS_PER_KEY), []  # one hot key: all rows agree in the first run
+    for family in range(40):
+        own = draw(fp.BANDS - fp.BANDS_PER_KEY)
+        for copy in range(3):
+            # Copies differ in a place of each other run, so that no other key brings them together.
+            new = [chosen.randrange(1, 1 << 16) if i % 2 == copy % 2 and i % 4 < 2 or i % 4 == 2 + copy % 2
+                   else x for i, x in enumerate(own)] if copy else own
+            rows.append((3 * family + copy, np.array([*shared, *new], ">u2").tobytes().hex()))
+    links = {(r.a, r.b): r.near for r in fp.candidate_links(spark.createDataFrame(
+        rows, "doc_id long, fingerprint string")).collect()}
+    assert {(3 * f, 3 * f + c) for f in range(40) for c in (1, 2)} <= set(links)
+    assert all(a // 3 == b // 3 and a < b and near >= fp.SIMILAR for (a, b), near in links.items())
+
+
+def test_the_query_gives_verified_neighbours(spark):
+    from hiretide.llm import queries
+
+    rows = queries.op6_document_fingerprints(spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 200
+    prints = {r.doc_id: np.frombuffer(bytes.fromhex(r.fingerprint), ">u2") for r in rows}
+    for r in rows:
+        assert r.same_id == min(i for i, p in prints.items() if np.array_equal(p, prints[r.doc_id]))
+        keys = prints[r.doc_id].reshape(-1, fp.BANDS_PER_KEY)
+        near = [(prints[r.doc_id] == p).mean() for p in prints.values()
+                if not np.array_equal(p, prints[r.doc_id])
+                and (keys == p.reshape(keys.shape)).all(axis=1).any()]
+        assert (r.n_links > 0) == (max(near) >= fp.SIMILAR if near else False)
+        assert (r.link_id is not None) == (r.n_links > 0)
+        assert r.link_id is None or r.link_near == (prints[r.doc_id] == prints[r.link_id]).mean()
