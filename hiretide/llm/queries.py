@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiretide.llm import (byte_bpe, fingerprints, html_text, licenses, line_dedup, ngram_join,
-                          packing, pii, quality, token_counts)
+from hiretide.llm import (byte_bpe, fingerprints, html_text, licenses, line_dedup, merkle, ngram_join,
+                          packing, pii, quality, resampling, token_counts, url_filter)
 from hiretide.llm.common import documents, stored
 
 
@@ -211,11 +211,167 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+#: CRC-32 of a text, byte by byte, by a table that is made by its rule: ``crc.t``.
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda x: list_reduce(
+    list_prepend(x, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc_sql(text: str) -> str:
+    """The CRC-32 of ``text``, where ``crc`` is joined."""
+    octets = (f"list_transform(range(strlen({text})), "
+              f"lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)")
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), "
+            "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents resampled towards the texts of ``benchmark``."""
+    return resampling.resample(documents(spark, sf_dir),
+                               spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def _resampling_sql() -> str:
+    r = resampling
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    return rf"""
+WITH {CRC_TABLE},
+texts AS (SELECT 'd' AS kind, doc_id, text FROM documents
+          UNION ALL SELECT 'b', item_id, text FROM benchmark),
+worded AS (SELECT kind, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{word}') AS w FROM texts),
+features AS (SELECT kind, doc_id, unnest(w) AS f FROM worded
+  UNION ALL SELECT kind, doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+  FROM worded),
+counted AS (SELECT kind, doc_id, f, count(*) AS n FROM features GROUP BY ALL),
+buckets AS (SELECT f, {_crc_sql('f')} % {r.BUCKETS} AS bucket
+            FROM (SELECT DISTINCT f FROM counted), crc),
+placed AS (SELECT kind, doc_id, bucket, n FROM counted JOIN buckets USING (f)),
+totals AS (SELECT coalesce(sum(n) FILTER (kind = 'd'), 0) + {r.BUCKETS} AS s_all,
+                  coalesce(sum(n) FILTER (kind = 'b'), 0) + {r.BUCKETS} AS t_all FROM placed),
+gains AS (SELECT bucket, floor(1000 * ln(((t + 1) * s_all)::DOUBLE / ((s + 1) * t_all)::DOUBLE))::BIGINT AS gain
+  FROM (SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0) AS s,
+               coalesce(sum(n) FILTER (kind = 'b'), 0) AS t FROM placed GROUP BY bucket), totals),
+weighed AS (SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain) AS total
+            FROM placed JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY doc_id),
+scored AS (SELECT x.doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(
+    (total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('{r.SEED}:' || x.doc_id), 1, 8))::BIGINT AS h
+  FROM worded x LEFT JOIN weighed y ON x.doc_id = y.doc_id WHERE kind = 'd'),
+summed AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM scored),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM summed
+           WHERE n_words >= {r.LEAST_WORDS})
+SELECT s.doc_id, n_features, weight, score, CASE WHEN rank <= {r.DRAWN_PCT} * (
+  SELECT count(*) FROM ranked) // 100 THEN rank END AS rank
+FROM summed s LEFT JOIN ranked r ON s.doc_id = r.doc_id
+"""
+
+
+LEAF_COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's proof, checked against rows of which half have lost their line ends."""
+    docs = documents(spark, sf_dir)
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    text = F.replace(F.col("text"), F.lit("\n"), F.lit(""))
+    claimed = F.when(changed, merkle.leaf_hash([text if c == "text" else F.col(c) for c in LEAF_COLUMNS]))
+    return merkle.manifest(docs, LEAF_COLUMNS, claimed=claimed).verified().withColumnRenamed("id", "doc_id")
+
+
+def _merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(
+            f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')"
+            for c in (text if c == "text" else c for c in LEAF_COLUMNS)) + ")"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"""{name} AS (
+  SELECT tree, 0 AS level, i, n, d FROM {leaves}
+  UNION ALL SELECT tree, level + 1, i // 3, any_value((n + 2) // 3), sha256(string_agg(d, '' ORDER BY i))
+  FROM {name} WHERE n > 1 GROUP BY tree, level, i // 3)"""
+
+    def steps(own: str, name: str, level: str) -> str:
+        return f"""SELECT x.doc_id, {level} AS step,
+    coalesce(string_agg(u.d, '' ORDER BY u.i) FILTER (u.i < x.{own} // (3 ** u.level)::BIGINT), '') AS l,
+    coalesce(string_agg(u.d, '' ORDER BY u.i) FILTER (u.i > x.{own} // (3 ** u.level)::BIGINT), '') AS r
+  FROM placed x JOIN {name} u ON x.{name}_tree = u.tree AND u.n > 1
+    AND u.i // 3 = x.{own} // (3 ** u.level)::BIGINT // 3 GROUP BY x.doc_id, {level}"""
+
+    return rf"""
+WITH RECURSIVE {CRC_TABLE},
+rows AS (SELECT doc_id, coalesce('1' || source, '0') AS tree, {leaf('text')} AS d,
+    CASE WHEN {_crc_sql('doc_id::VARCHAR')} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} END AS changed
+  FROM documents, crc),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS i,
+                  count(*) OVER (PARTITION BY tree) AS n FROM rows),
+{tree('low', 'leaves')},
+subroots AS (SELECT tree AS source, d, '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS i,
+                    count(*) OVER () AS n FROM low WHERE n = 1),
+{tree('high', 'subroots')},
+placed AS (SELECT l.*, l.tree AS low_tree, s.tree AS high_tree, s.i AS j, s.d AS subroot
+           FROM leaves l JOIN subroots s ON l.tree = s.source),
+steps AS ({steps('i', 'low', 'u.level')} UNION ALL {steps('j', 'high', '100 + u.level')}),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY step) - 1 AS k FROM steps),
+folds AS (SELECT doc_id, 0 AS k, coalesce(changed, d) AS d FROM placed
+  UNION ALL SELECT f.doc_id, f.k + 1, sha256(l || d || r) FROM folds f JOIN numbered s
+  ON f.doc_id = s.doc_id AND f.k = s.k)
+SELECT p.doc_id, p.d AS leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM placed p LEFT JOIN (SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof_sha256
+                         FROM steps GROUP BY doc_id) q ON p.doc_id = q.doc_id
+JOIN (SELECT doc_id, arg_max(d, k) AS folded_root FROM folds GROUP BY doc_id) f ON p.doc_id = f.doc_id,
+(SELECT d AS root FROM high WHERE n = 1)
+"""
+
+
+#: Names of hosts whose URLs op13 lists.
+LISTED_NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL under the rules and a list of the URLs on hosts of a listed name."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    names = F.split(url_filter.host_of(F.col("url")), r"\.", -1)
+    listed = pages.filter(F.arrays_overlap(names, F.array(*map(F.lit, LISTED_NAMES)))).select("url")
+    return url_filter.judge_urls(pages, listed)
+
+
+def _url_sql() -> str:
+    u = url_filter
+    names = ", ".join(f"'{n}'" for n in LISTED_NAMES)
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in u.RULES)
+    tracking = f"^({'|'.join(u.TRACKING)})(=|$)"
+    return rf"""
+WITH parts AS (SELECT page_id, url, contains(coalesce(url, ''), '://') AS whole,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    array_to_string(list_sort(list_filter(string_split(
+      regexp_extract(coalesce(url, ''), '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+      lambda p: p <> '' AND NOT regexp_matches(p, '{tracking}'))), '&') AS query FROM pages),
+plain AS (SELECT *, CASE WHEN whole THEN
+    regexp_replace(regexp_replace(host, '\.?(:80|:443)?$', ''), '^www\.', '')
+    || regexp_replace(regexp_replace(path, '(index)?\.html?$', ''), '/+$', '')
+    || CASE WHEN query <> '' THEN '?' || query ELSE '' END ELSE '' END AS canonical FROM parts),
+listed AS (SELECT DISTINCT canonical FROM plain
+           WHERE canonical <> '' AND list_has_any(string_split(host, '.'), [{names}])),
+rules AS (SELECT * FROM (VALUES {rules}) AS r(h, p, v)),
+fits AS (SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict
+  FROM plain JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
+SELECT a.page_id, host, path, rule, coalesce(verdict, CASE WHEN l.canonical IS NOT NULL THEN 'block'
+       ELSE 'allow' END) AS verdict, l.canonical IS NOT NULL AS listed
+FROM plain a LEFT JOIN fits f ON a.page_id = f.page_id LEFT JOIN listed l ON a.canonical = l.canonical
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_pii, op2_html_extraction, op3_line_dedup, op4_ngram_jaccard_join,
         op5_packing, op6_document_fingerprints,
-        op7_byte_bpe, op8_token_counts, op9_license_scans, op10_quality_rules)}
+        op7_byte_bpe, op8_token_counts, op9_license_scans, op10_quality_rules,
+        op11_importance_resampling, op12_merkle_manifest, op13_url_filter)}
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": OP3_SQL, "op4_ngram_jaccard_join": OP4_SQL,
-    "op9_license_scans": _license_sql(), "op10_quality_rules": _quality_sql()}
+    "op9_license_scans": _license_sql(), "op10_quality_rules": _quality_sql(),
+    "op11_importance_resampling": _resampling_sql(), "op12_merkle_manifest": _merkle_sql(),
+    "op13_url_filter": _url_sql()}

@@ -1,0 +1,120 @@
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from oracle import connect, difference
+from pyspark.sql import functions as F
+from tokenizers import Regex, pre_tokenizers
+
+from hiretide.llm import queries, resampling
+
+SPLIT = pre_tokenizers.Split(Regex(resampling.SEPARATOR + "+"), "removed")
+
+
+def brute_features(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    return words, words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+
+
+def brute(rows, target):
+    """(id, n_features, weight, score, rank) of (id, text) rows."""
+    def held(texts):
+        return Counter(zlib.crc32(f.encode()) % 10000 for t in texts for f in brute_features(t)[1])
+
+    s, t = held(x for _, x in rows), held(target)
+    s_all, t_all = sum(s.values()) + 10000, sum(t.values()) + 10000
+    gain = [math.floor(1000 * math.log((t[b] + 1) * s_all / ((s[b] + 1) * t_all))) for b in range(10000)]
+    out = []
+    for ident, text in rows:
+        words, feats = brute_features(text)
+        total = sum(gain[zlib.crc32(f.encode()) % 10000] for f in feats)
+        weight = total // len(feats) if feats else 0
+        h = int(hashlib.sha256(f"7:{'' if ident is None else ident}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([ident, len(feats), weight, score, None, len(words) >= 20])
+    enough = sorted((r for r in out if r[5]), key=lambda r: (-r[3], r[0] is not None, r[0] or 0))
+    for i, r in enumerate(enough[:25 * len(enough) // 100]):
+        r[4] = i + 1
+    return sorted((tuple(r[:5]) for r in out), key=str)
+
+
+def found(df, target):
+    return sorted(map(tuple, resampling.resample(df, target).collect()), key=str)
+
+
+def test_equals_sql(spark):
+    sf = "/root/testdata/sf0.001"
+    assert difference(queries.op11_importance_resampling(spark, sf), connect(sf),
+                      queries.ORACLE_SQL["op11_importance_resampling"]) is None
+
+
+def test_draw_equals_brute_force(spark, docs):
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    target = spark.createDataFrame([("The quick brown fox",), (None,), ("",)], "text string")
+    got = found(docs, target)
+    assert got == brute(rows, ["The quick brown fox", None, ""])
+    assert sorted(r[4] for r in got if r[4]) == list(range(1, sum(r[4] is not None for r in got) + 1))
+
+
+def test_edge_rows(spark, edge_docs):
+    target = edge_docs.select("text")
+    rows = [tuple(r) for r in edge_docs.select("doc_id", "text").collect()]
+    assert found(edge_docs, target) == brute(rows, [t for _, t in rows])
+
+
+def test_ties_and_repeats_are_all_ranked(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(i // 2, text) for i in range(40)], "doc_id long, text string")
+    got = resampling.resample(df, df.limit(0)).collect()
+    assert sorted(r["rank"] for r in got if r["rank"]) == list(range(1, 11))
+    drawn = sorted((r for r in got if r["rank"]), key=lambda r: r["rank"])
+    assert [(-r["score"], r["doc_id"]) for r in drawn] == sorted((-r["score"], r["doc_id"]) for r in drawn)
+
+
+def test_empty_tables(spark, no_docs, docs):
+    assert resampling.resample(no_docs, docs).collect() == []
+    assert resampling.resample(docs, no_docs).count() == docs.count()
+    assert [f.name for f in resampling.resample(no_docs, no_docs).schema] == [
+        "doc_id", "n_features", "weight", "score", "rank"]
+
+
+def test_long_texts_are_split_at_separators_only():
+    text = ("x" * 40_000 + " " + "añb, " * 9000 + "漢字🙂" * 7000 + "\n" + "Q" * 20_000).lower()
+    offsets = resampling.word_offsets(text, SPLIT).reshape(-1, 2).tolist()
+    assert [text[a:b] for a, b in offsets] == brute_features(text)[0]
+
+
+def test_crc_of_words_and_pairs():
+    texts = ["abc DEF ghi", "", None, "x" * 300 + " y ünï 漢", "a-b-c", "..."]
+    bucket, bounds, words = resampling.feature_buckets(pa.array(texts), SPLIT)
+    for i, text in enumerate(texts):
+        wanted, feats = brute_features(text)
+        assert words[i] == len(wanted)
+        assert bucket[bounds[i]:bounds[i + 1]].tolist() == [zlib.crc32(f.encode()) % 10000 for f in feats]
+
+
+def test_gain_follows_the_target(spark):
+    df = spark.createDataFrame([(i, ("apple pie " if i % 2 else "stone wall ") * 15) for i in range(40)],
+                               "doc_id long, text string")
+    target = spark.createDataFrame([("apple pie apple pie",)], "text string")
+    weight = {r.doc_id % 2: r.weight for r in resampling.resample(df, target).collect()}
+    assert weight[1] > weight[0]
+
+
+def test_histogram_rows_do_not_grow_with_features(spark, docs):
+    found_ = resampling.features(docs, "doc_id", "text")
+    assert resampling.histogram(found_).sum() == found_.agg(
+        F.sum(F.octet_length("buckets") / 2)).first()[0]
+    assert resampling.gains(np.zeros(10000, np.int64), np.zeros(10000, np.int64)).tolist() == [0] * 10000
+
+
+@pytest.mark.parametrize("pct,n", [(0, 0), (100, 40)])
+def test_share_of_the_draw(spark, pct, n):
+    df = spark.range(40).selectExpr("id AS doc_id", "repeat('a b ', 20) AS text")
+    assert resampling.resample(df, df, pct=pct).filter("rank IS NOT NULL").count() == n
