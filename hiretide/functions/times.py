@@ -22,6 +22,11 @@ def utc_day(ts: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
 
 
+def utc_hour(ts: Column) -> Column:
+    """The hour of the UTC day of an instant."""
+    return F.floor(F.pmod(F.unix_seconds(ts), F.lit(86400)) / 3600).cast("int")
+
+
 def utc_clock(ts: Column) -> Column:
     """UTC wall-clock time of an instant, without a time zone."""
     seconds = F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -38,28 +40,28 @@ def to_events(postings: DataFrame, source: str = "jsonl", id_col: str | None = N
     return event.select(F.col("event_id").alias("key"), value.alias("value"))
 
 
-def parse_events(raw: DataFrame) -> DataFrame:
-    """Typed, flat rows of raw events (a ``value`` column of text or bytes).
+def parse_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Typed, flat rows of raw events (a ``value`` column of text or bytes); columns to ``keep`` ride along.
 
     Never fails on bad input: what cannot be read is NULL, and ``raw`` keeps the
     text of a row without id or time. ``title_l`` and ``desc_l`` are the
     lower-cased texts the tags are searched in.
     """
-    text = raw.select(F.col("value").cast("string").alias("value"))
+    text = raw.select(F.col("value").cast("string").alias("value"), *keep)
     # Exploding a list of one keeps later filters (no time, no id) above the JSON
     # reader; pushed below it they would read every event a second time.
-    read = text.select("value", F.explode(F.array(F.from_json("value", EVENT))).alias("e"))
+    read = text.select("value", *keep, F.explode(F.array(F.from_json("value", EVENT))).alias("e"))
     flat = read.select(
         "e.event_id",
         F.try_to_timestamp(F.col("e.ingested_at")).alias("ingested_at"),
         "e.posting.*",
-        "value")
+        "value", *keep)
     bad = F.col("event_id").isNull() | F.col("ingested_at").isNull()
     return flat.select(
         "event_id", "ingested_at", *POSTING.fieldNames(),
         lowered(F.col("title")).alias("title_l"),
         lowered(F.col("description")).alias("desc_l"),
-        F.when(bad, F.coalesce("value", F.lit(""))).alias("raw"))
+        F.when(bad, F.coalesce("value", F.lit(""))).alias("raw"), *keep)
 
 
 def split_rejects(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hiretide.functions.text import icontains
-from hiretide.functions.times import utc_day
+from hiretide.functions.times import utc_day, utc_hour
 from hiretide.schemas import JOBS
 
 
@@ -98,37 +98,84 @@ def _row_at(keys: DataFrame, offset: int) -> tuple[int, str]:
         placed.unpersist()
 
 
+#: Rows up to which a page is taken out of the top rows of all tasks. Behind more of them the rows before it
+#: are skipped by counts; the results are the same.
+TOP_ROWS = 10_000
+#: Rows among which the first step of a search looks for matches; each further step looks among twice as many.
+WALK_ROWS = 1 << 20
+
+
+def _by_counts(rows: DataFrame, first: DataFrame, offset: int) -> DataFrame | None:
+    """``rows`` from the one at an offset on, which is in ``first``, the newest of them: found by the counts
+    of seconds and then of the places in one second."""
+    second, rest = _locate(_counted(first, F.unix_seconds(F.col("ingested_at").cast("timestamp"))), offset)
+    if second is None:
+        return None
+    micros, event_id = _row_at(first.where(
+        F.unix_seconds(F.col("ingested_at").cast("timestamp")) == second), rest)
+    at = _at(rows, micros)
+    return rows.where((F.col("ingested_at") < at)
+                      | ((F.col("ingested_at") == at) & (F.col("event_id") >= event_id)))
+
+
+def _walked(rows: DataFrame, day: str, held: list, need: int) -> list:
+    """(day, matching rows) of the newest days, until these have ``need`` rows or no day is left. ``held``:
+    (day, all rows), newest first. Each day is counted once; few steps take in many days."""
+    found, at, look = [], 0, WALK_ROWS
+    while at < len(held) and sum(n for _, n in found) < need:
+        end, seen = at, 0
+        while end < len(held) and (end == at or seen + held[end][1] <= look):
+            seen += held[end][1]
+            end += 1
+        inside = F.col(day).between(F.lit(held[end - 1][0]), F.lit(held[at][0]))
+        found += _counted(rows.where(inside), F.col(day))
+        at, look = end, 2 * look
+    return found
+
+
 def find_page(jobs: DataFrame, filters: list[Column], limit: int, offset: int = 0,
-              after: tuple | None = None, day: str | None = None) -> DataFrame:
+              after: tuple | None = None, day: str | None = None,
+              summary: DataFrame | None = None) -> DataFrame:
     """One page of matching rows, newest first, all of them behind ``after`` if that is given.
 
-    Rows before an offset are skipped by counts: of days, then of the seconds of one day, then of the
+    A page among the first ``TOP_ROWS`` is a top-k: no task gets more rows from another than these.
+    Rows before a later page are skipped by counts: of days, then of the seconds of one day, then of the
     places in one second. The driver gets a row per day, per second of a day and per task.
-    The page itself is a top-k: no task gets more rows than ``limit`` from another. With the
-    partition column ``day`` only the days of the page are read whole. A cursor needs no counts of
-    what lies before it.
+
+    Of rows stored by ``day``, ``summary`` (that column, ``hour``, ``n``) says how many there are. Then no
+    day is read that the page does not need: without filter the summary tells which these are, with one
+    matches are counted from the newest day on until there are enough.
     """
     check_page(limit, offset)
     rows = matching_jobs(jobs if after is None else _behind(jobs, after), filters)
-    days = F.col(day) if day else utc_day(F.col("ingested_at").cast("timestamp"))
-    if offset or day:
-        counts = _counted(rows, days)
-        start, rest = _locate(counts, offset)
-        if start is None:
-            return newest_first(jobs.limit(0))
-        if day:
-            end, _ = _locate(counts, offset + limit - 1)
-            rows = rows.where(days <= F.lit(start))
-            rows = rows if end is None else rows.where(days >= F.lit(end))
-        if offset:
-            seconds = F.unix_seconds(F.col("ingested_at").cast("timestamp"))
-            first = rows.where(days == F.lit(start))
-            second, rest = _locate(_counted(first, seconds), rest)
-            micros, event_id = _row_at(first.where(seconds == second), rest)
-            at = _at(jobs, micros)
-            rows = rows.where((F.col("ingested_at") < at)
-                              | ((F.col("ingested_at") == at) & (F.col("event_id") >= event_id)))
-    return newest_first(rows).limit(limit)
+    if day is None:
+        if offset + limit <= TOP_ROWS:
+            return newest_first(rows).offset(offset).limit(limit)
+        days = utc_day(F.col("ingested_at").cast("timestamp"))
+        start, rest = _locate(_counted(rows, days), offset)
+        behind = None if start is None else _by_counts(rows.where(days <= F.lit(start)),
+                                                       rows.where(days == F.lit(start)), rest)
+        return newest_first(jobs.limit(0) if behind is None else behind).limit(limit)
+    held = [tuple(r) for r in summary.groupBy(day).agg(F.sum("n")).orderBy(F.desc(day)).collect()]
+    if after is not None:
+        newest = after[0].astimezone(timezone.utc).date()
+        held = [(d, n) for d, n in held if d <= newest]
+    plain = not filters and after is None
+    counts = held if plain else _walked(rows, day, held, offset + limit)
+    start, rest = _locate(counts, offset)
+    if start is None:
+        return newest_first(jobs.limit(0))
+    end, _ = _locate(counts, offset + limit - 1)
+    rows = rows.where(F.col(day) <= F.lit(start))
+    rows = rows if end is None else rows.where(F.col(day) >= F.lit(end))
+    if rest + limit <= TOP_ROWS:
+        return newest_first(rows).offset(rest).limit(limit)
+    first = rows.where(F.col(day) == F.lit(start))
+    if plain:  # the summary knows the hour, too
+        hours = summary.where(F.col(day) == F.lit(start)).groupBy("hour").agg(F.sum("n"))
+        hour, rest = _locate([tuple(r) for r in hours.orderBy(F.desc("hour")).collect()], rest)
+        first = first.where(utc_hour(F.col("ingested_at")) == F.lit(hour))
+    return newest_first(_by_counts(rows, first, rest)).limit(limit)
 
 
 def search_jobs(jobs: DataFrame, company: str | None = None, location: str | None = None,
@@ -136,7 +183,7 @@ def search_jobs(jobs: DataFrame, company: str | None = None, location: str | Non
                 limit: int = 20, offset: int = 0, after: tuple | None = None) -> DataFrame:
     """One page of matching jobs, newest first.
 
-    A top-k per task, then of the tasks: no full sort, no full shuffle. An ``offset`` costs
+    A top-k per task, then of the tasks: no full sort, no full shuffle. A far ``offset`` costs
     counts of what lies before it (see ``find_page``); ``after``, a (time, id) pair as ``cursor_of`` gives
     it, goes on behind a row without them.
     """

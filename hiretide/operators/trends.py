@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +39,17 @@ def _count(windowed: DataFrame, key: str, window_sec: int) -> DataFrame:
     return windowed.groupBy("window", key).count().select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
         F.lit(window_sec).cast("int").alias("window_size_sec"), key, "count")
+
+
+def roll_up(trend: DataFrame, key: str, sizes: Sequence[int]) -> DataFrame:
+    """Counts of wider windows out of stored counts, without the events: for each of ``sizes`` (seconds) that
+    the windows of ``trend`` divide, one row per wider window and key, in the columns of a trend, with
+    ``of_size_sec``, the size it was made of."""
+    wide = trend.where("count <> 0").withColumn("size", F.explode(F.array(*(F.lit(s) for s in sizes)))) \
+        .where((F.col("size") > F.col("window_size_sec")) & (F.col("size") % F.col("window_size_sec") == 0))
+    start = F.unix_seconds("window_start") - F.pmod(F.unix_seconds("window_start"), F.col("size"))
+    summed = wide.groupBy(start.alias("start"), F.col("size").cast("int").alias("window_size_sec"), key,
+                          F.col("window_size_sec").alias("of_size_sec")).agg(F.sum("count").alias("count"))
+    return summed.select(F.timestamp_seconds("start").alias("window_start"),
+                         F.timestamp_seconds(F.col("start") + F.col("window_size_sec")).alias("window_end"),
+                         "window_size_sec", key, "count", "of_size_sec")

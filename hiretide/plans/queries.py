@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiretide import vocab
+from hiretide.functions.ids import POSTINGS
 from hiretide.functions.text import lowered
 from hiretide.functions.times import utc_clock
 from hiretide.operators import dashboard
@@ -16,12 +17,14 @@ from hiretide.operators.events import parse_events, to_events
 from hiretide.operators.reads import (cursor_of, role_timeseries, search_jobs, tech_timeseries, top_roles,
                                       top_techs)
 from hiretide.operators.replace import replace_range
+from hiretide.operators.rules import find_patterns, first_of, tags_of
 from hiretide.operators.tagging import add_role_category, add_techs, enrich
 from hiretide.operators.trends import role_trend, tech_trend
 from hiretide.plans import fixture as fx
+from hiretide.schemas import JOBS
 from hiretide.sources.event_stream import EventFiles
 from hiretide.sources.generate import PRIME, SPREAD, STEP, generate_postings
-from hiretide.sources.postings import read_postings
+from hiretide.sources.postings import named_postings, parse_postings, read_postings
 from hiretide.streaming.publish import publish
 from hiretide.streaming.tables import init_tables, reset
 
@@ -104,6 +107,56 @@ def tag_techs_documents(spark, sf):
         .where("tech IS NOT NULL").groupBy("lang", "tech").count()
 
 
+@query(f"{TAGGED} SELECT event_id, array_to_string(techs, ',') AS techs FROM tagged WHERE len(techs) > 0")
+def tag_techs_by_rules(spark, sf):
+    """The keywords as a table of patterns; postings without any have no row."""
+    rows = fx.with_texts(fx.postings(spark, sf))
+    texts = rows.select("event_id", F.concat_ws("\n", "title_l", "desc_l").alias("text"))
+    keywords = spark.createDataFrame(list(enumerate(fx.KEYWORDS)), "place int, pattern string")
+    tags = tags_of(find_patterns(texts, keywords, "text"), ["event_id"], "pattern", "place")
+    return tags.select("event_id", F.array_join("tags", ",").alias("techs"))
+
+
+@query(f"""{TAGGED}
+SELECT event_id, role_category FROM tagged WHERE role_category <> {fx.text(vocab.OTHER_ROLE)}""")
+def tag_roles_by_rules(spark, sf):
+    """The role rules as a table: the first that stands in the title."""
+    rows = fx.with_texts(fx.postings(spark, sf)).select("event_id", "title_l")
+    rules = spark.createDataFrame([(i, p, label) for i, (p, label) in enumerate(vocab.ROLE_RULES)],
+                                  "place int, pattern string, role_category string")
+    return first_of(find_patterns(rows, rules, "title_l"), ["event_id"], "role_category", "place")
+
+
+BENCHMARK_WORDS = """words AS (SELECT DISTINCT pattern FROM (
+  SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS pattern FROM benchmark) WHERE length(pattern) > 3)"""
+
+
+def benchmark_words(spark, sf):
+    words = fx.table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all(
+        F.lower("text"), F.lit("([a-z]+)"), F.lit(1))).alias("pattern"))
+    return words.where("length(pattern) > 3").distinct()
+
+
+@query(f"""WITH {BENCHMARK_WORDS} SELECT pattern, lang, count(*) AS documents
+FROM documents JOIN words ON contains(lower(text), pattern) GROUP BY pattern, lang""")
+def find_benchmark_words(spark, sf):
+    """Patterns out of one table, each word of the benchmark texts, in the long texts of another."""
+    docs = fx.table(spark, sf, "documents").select("lang", F.lower("text").alias("text_l"))
+    found = find_patterns(docs, benchmark_words(spark, sf), "text_l")
+    return found.groupBy("pattern", "lang").agg(F.count("*").alias("documents"))
+
+
+@query(f"""WITH {BENCHMARK_WORDS}, found AS (SELECT lang, list_distinct(regexp_extract_all(
+    lower(text), '[\\p{{L}}\\p{{N}}_]+')) AS own FROM documents)
+SELECT pattern, lang, count(*) AS documents FROM (SELECT lang, unnest(own) AS pattern FROM found)
+JOIN words USING (pattern) GROUP BY pattern, lang""")
+def find_benchmark_whole_words(spark, sf):
+    """The same as whole words, with patterns too many to be sent to every task: joined by key."""
+    docs = fx.table(spark, sf, "documents").select("lang", F.lower("text").alias("text_l"))
+    found = find_patterns(docs, benchmark_words(spark, sf), "text_l", match="word", most_broadcast=0)
+    return found.groupBy("pattern", "lang").agg(F.count("*").alias("documents"))
+
+
 # --- trends ----------------------------------------------------------------------------------
 
 @query(trend("tech", 300))
@@ -207,15 +260,41 @@ def search_jobs_seniority(spark, sf):
     return flat(search_jobs(jobs, seniority="senior"))
 
 
+@query(f"""{TAGGED}, {fx.trend_sql("tech", 300)}, wide AS (
+  SELECT time_bucket(INTERVAL '1 day', window_start) AS window_start, tech, sum(count)::BIGINT AS count
+  FROM trend GROUP BY ALL)
+SELECT window_start, window_start + INTERVAL '1 day' AS window_end, 86400 AS window_size_sec, tech, count FROM wide""")
+def stream_rolled_days(spark, sf):
+    """Day counts that merges have rolled up, with those of the batches that no merge has taken yet."""
+    tables = fx.streamed(spark, sf, "stream_rolled_days", "single_pass", redelivered=True)
+    return clocked(tables.trend_tech.rolled(DAY).drop("window_date"))
+
+
+@query(f"{TAGGED}, {fx.trend_sql('tech', 3600)} {TREND.format(key='tech')}")
+def stream_rolled_hours_recounted(spark, sf):
+    """Hour counts of a stream that saw wrong tags for ten days, after a recount of these."""
+    return clocked(recounted(spark, sf, "stream_rolled_hours_recounted").trend_tech.rolled(3600).drop(
+        "window_date"))
+
+
 DEEP = 900
 
 
 @query(f"{TAGGED} {FLAT} ORDER BY ingested_at DESC, event_id LIMIT 50 OFFSET {DEEP}")
 def search_jobs_deep_page(spark, sf):
-    """A page behind many others, found by counts."""
+    """A page behind many others, among the top rows of the tasks."""
     return flat(search_jobs(fx.jobs(spark, sf), limit=50, offset=DEEP))
 
 
+VERY_DEEP = 9_970
+
+
+@query(f"{TAGGED} {FLAT} ORDER BY ingested_at DESC, event_id LIMIT 50 OFFSET {VERY_DEEP}")
+def search_jobs_counted_page(spark, sf):
+    """A page behind so many others that it is found by counts."""
+    return flat(search_jobs(fx.jobs(spark, sf), limit=50, offset=VERY_DEEP))
+
+
 @query(f"""{TAGGED} {FLAT} WHERE location ILIKE '%remote%'
 ORDER BY ingested_at DESC, event_id LIMIT 30 OFFSET 15""")
 def search_jobs_next_page(spark, sf):
@@ -406,6 +485,19 @@ def stream_single_pass_tech_trend(spark, sf):
                                  redelivered=True))
 
 
+@query(f"""{TAGGED}, {fx.trend_sql("tech", 300, name="by_tech")},
+{fx.trend_sql("role_category", 300, name="by_role")}
+SELECT 'tech' AS what, window_start, tech AS key, count FROM by_tech
+UNION ALL SELECT 'role', window_start, role_category, count FROM by_role""")
+def stream_feed_trends(spark, sf):
+    """Both trends as followers of the jobs table leave them: events that come again count once."""
+    tables = fx.streamed(spark, sf, "stream_feed_trends", "feed", redelivered=True)
+    return clocked(tables.trend_tech.read().select(
+        F.lit("tech").alias("what"), "window_start", F.col("tech").alias("key"), "count").unionByName(
+        tables.trend_role.read().select(F.lit("role").alias("what"), "window_start",
+                                        F.col("role_category").alias("key"), "count")), "window_start")
+
+
 @query(f"""{TAGGED} {FLAT} WHERE location ILIKE '%austin%'
 ORDER BY ingested_at DESC, event_id LIMIT 50 OFFSET 10""")
 def stream_single_pass_search(spark, sf):
@@ -467,6 +559,37 @@ def drawn_event_ids(spark, sf):
                     F.count_if(age.between(-60, 3600)).alias("timed"))
 
 
+NAMED = """lines AS (SELECT 'part-' || event_id % 5 AS file, (event_id % 3)::VARCHAR AS line FROM events),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY file, line) AS again FROM lines),
+digests AS (SELECT file, line, again, sha1(unhex('{ns}') || encode(
+  'jsonl' || chr(10) || file || chr(10) || again || chr(10) || line)) AS d FROM numbered)"""
+
+
+@query(f"""WITH {NAMED.format(ns=POSTINGS.hex)} SELECT file, line, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5'
+  || substr(d, 14, 3) || '-' || substr('89ab', (('0x' || substr(d, 17, 1))::INT & 3) + 1, 1) || substr(d, 18, 3)
+  || '-' || substr(d, 21, 12) AS event_id FROM digests""")
+def named_event_ids(spark, sf):
+    """Ids that follow from file, line and number of the copy, over files of very many equal lines."""
+    n = F.col("event_id")
+    lines = fx.table(spark, sf, "events").select(
+        F.concat(F.lit("part-"), n % 5).alias("file"), (n % 3).cast("string").alias("value"))
+    good, _ = parse_postings(lines)
+    return named_postings(good).select("file", "line", "event_id")
+
+
+@query(f"{TAGGED} {FLAT} WHERE location ILIKE '%boston%' ORDER BY ingested_at DESC, event_id LIMIT 20")
+def stream_live_jobs(spark, sf):
+    """A jobs page that is refreshed after each batch out of what the batch brought."""
+    jobs = fx.streamed(spark, sf, "stream_live_jobs", "queries", ["jobs"], redelivered=True).jobs
+    shown = None
+    for n in range(jobs.last_batch() + 1):
+        new = jobs.brought(n)
+        page = search_jobs(new, location="boston") if shown is None else dashboard.refreshed_jobs(
+            shown, new, location="boston")
+        shown = spark.createDataFrame(page.collect(), JOBS)
+    return clocked(flat(shown), "ingested_at")
+
+
 @query(trend("tech", 300))
 def replace_range_backfill(spark, sf):
     """A trend put right by a recount of ten days: it lacks postings of these days, and has groups
@@ -483,16 +606,18 @@ def replace_range_backfill(spark, sf):
 @query(trend("tech", 300))
 def stream_replace_range(spark, sf):
     """The stored form: a stream that saw wrong tags for ten days, then a recount of these."""
-    name = "stream_replace_range"
+    return tech_rows(recounted(spark, sf, "stream_replace_range"))
+
+
+def recounted(spark, sf, name):
     tables = init_tables(spark, fx.shared_folder(spark, name), "single_pass")
     jobs = fx.jobs(spark, sf).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
     day = F.to_date("ingested_at")
     lost = (day >= F.lit("2024-01-10").cast("date")) & (day < F.lit("2024-01-20").cast("date"))
-    counted = tech_trend(jobs)
-    tables.trend_tech.append_batch(counted.withColumn("tech", F.when(
+    tables.trend_tech.append_batch(tech_trend(jobs).withColumn("tech", F.when(
         lost_window(), F.concat(F.lit("stale "), "tech")).otherwise(F.col("tech"))), 0)
     tables.trend_tech.replace_range(tech_trend(jobs.where(lost)), 300)
-    return tech_rows(tables)
+    return tables
 
 
 def lost_window():

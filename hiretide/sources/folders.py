@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import shutil
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,28 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, complete when it is there: written beside its place and renamed into it. Writing over
+    an existing one is an error, so of two writers one fails."""
+    fs, p = _hadoop(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+    out = fs.create(beside)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(p) or not fs.rename(beside, p):
+        fs.delete(beside, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _hadoop(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def scratch(spark: SparkSession) -> str:
     """The application's own folder for intermediate tables, which every executor sees: inside the
     folder that ``spark.checkpoint.dir`` names. Unset, a local session takes its warehouse, and leaves

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from hiretide.functions.ids import POSTINGS, name_uuid
 from hiretide.schemas import POSTING
 
 # Characters taken off both ends of a line.
@@ -34,24 +35,48 @@ def parse_postings(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split text lines (``value``) into postings and lines that are not JSON.
 
     Blank lines are dropped. A line of JSON that is no object is a posting
-    without fields. ``line`` is the trimmed text.
+    without fields. ``line`` is the trimmed text; other columns, as ``file``, stay.
     """
-    trimmed = lines.select(F.trim("value", F.lit(BLANKS)).alias("line")).where("line <> ''")
+    more = [c for c in lines.columns if c != "value"]
+    trimmed = lines.select(*more, F.trim("value", F.lit(BLANKS)).alias("line")).where("line <> ''")
     # A list of one exploded: the filters below do not read the JSON again.
-    read = trimmed.select("line", F.explode(F.array(F.struct(
+    read = trimmed.select(*more, "line", F.explode(F.array(F.struct(
         _ends_well(F.col("line")).alias("whole"),
         F.from_json("line", POSTING, STRICT).alias("posting")))).alias("_read"))
-    good = read.where("_read.whole").select("line", "_read.posting.*")
-    return good, read.where("NOT _read.whole").select("line")
+    good = read.where("_read.whole").select(*more, "line", "_read.posting.*")
+    return good, read.where("NOT _read.whole").select(*more, "line")
 
 
 def read_postings(spark: SparkSession, path: str,
-                  streaming: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Postings and unreadable lines of JSON-lines files."""
-    reader = spark.readStream if streaming else spark.read
-    return parse_postings(reader.text(path))
+                  streaming: bool = False, files: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Postings and unreadable lines of JSON-lines files; with ``files``, the ``file`` of each."""
+    lines = (spark.readStream if streaming else spark.read).text(path)
+    return parse_postings(lines.select("value", F.col("_metadata.file_path").alias("file")) if files else lines)
 
 
 def write_postings(postings: DataFrame, path: str) -> None:
     """Append postings to a folder as JSON-lines files."""
     postings.select(*POSTING.fieldNames()).write.mode("append").json(path)
+
+
+#: Into so many parts the copies of a line are dealt before they are numbered.
+DEALT = 64
+
+
+def named_postings(postings: DataFrame, source: str = "jsonl") -> DataFrame:
+    """``postings`` read from files (``line``, ``file``) with ``event_id``, an id that follows from source, file, line
+    and the how-manieth equal line of the file it is: the same whenever and however often the file is read,
+    so that an event published again is the same event. Batch only.
+
+    Equal lines are counted, inside the tasks first, and numbered from their counts: a line that a file
+    repeats without end is spread over ``DEALT`` parts.
+    """
+    columns = postings.columns
+    dealt = postings.withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.lit(DEALT)))
+    counts = dealt.groupBy(*columns, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*columns).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    spread = placed.repartition(*columns, "_part").select(*columns, F.explode(
+        F.sequence(F.col("_before") + 1, F.col("_before") + F.col("_n"))).alias("_again"))
+    name = F.concat_ws("\n", F.lit(source), F.col("file"), F.col("_again").cast("string"), F.col("line"))
+    return spread.withColumn("event_id", name_uuid(POSTINGS, name)).drop("_again")

@@ -15,6 +15,8 @@ from hiretide.operators.trends import role_trend, tech_trend
 from hiretide.sources import folders
 from hiretide.sources.event_stream import EventFiles, KafkaTopic, read_event_stream
 from hiretide.sources.jdbc import JdbcSink
+from hiretide.sources.offsets import PLACE, offset_ranges
+from hiretide.streaming.follow import Follower, catch_up
 from hiretide.streaming.tables import Tables, init_tables
 
 QUERIES = ("jobs", "trend_tech", "trend_role")
@@ -27,7 +29,7 @@ def run_pipeline(spark: SparkSession, source: KafkaTopic | EventFiles, root: str
                  mode: str = "queries", trigger: dict | None = None, window_sec: int = 300,
                  watermark: str | None = None, only: Iterable[str] = QUERIES,
                  any_day: bool = False, count: str | None = None, merge_every: int = 100,
-                 database: JdbcSink | None = None) -> list[StreamingQuery]:
+                 database: JdbcSink | None = None) -> list[StreamingQuery | Follower]:
     """Start the queries that fill the tables under ``root``.
 
     ``mode="queries"``: one query per table. Trends are stateful counts in update mode;
@@ -37,6 +39,10 @@ def run_pipeline(spark: SparkSession, source: KafkaTopic | EventFiles, root: str
     ``mode="single_pass"``: one stateless query reads, parses and tags each event once
     and stores its batch's own counts, which reads add up. No state, no lost late events.
 
+    ``mode="feed"``: one query fills the jobs table; trends follow that table, each in a thread of its own
+    (``Follower``), and count what it took. Exact as a single pass is, and a trend that is
+    slow, or fails, holds up neither the jobs nor the other one.
+
     ``count``: what trends count. ``"events"``: an event that is delivered again counts once; a single
     pass counts the rows new to the jobs table, queries drop copies within the watermark, which
     they need for it. ``"deliveries"``: every copy counts. Unset: events, where that can be had.
@@ -46,7 +52,7 @@ def run_pipeline(spark: SparkSession, source: KafkaTopic | EventFiles, root: str
     follows the last.
     """
     if count is None:
-        count = "events" if mode == "single_pass" or watermark else "deliveries"
+        count = "events" if mode != "queries" or watermark else "deliveries"
     if count not in COUNTS:
         raise ValueError(f"count must be one of {COUNTS}, not {count!r}")
     if merge_every < 1:
@@ -55,16 +61,21 @@ def run_pipeline(spark: SparkSession, source: KafkaTopic | EventFiles, root: str
     if mode == "single_pass":
         if watermark:
             raise ValueError("single_pass keeps no state, so it takes no watermark")
-        events = enrich(parse_events(read_event_stream(spark, source)))
+        raw = read_event_stream(spark, source)
+        events = enrich(parse_events(raw, [c for c in PLACE if c in raw.columns]))
         store = _kept_small(tables, list(tables.all()), merge_every, _copied(
             tables, ("jobs", "trend_tech", "trend_role"), database,
             _store_all(tables, window_sec, count)))
         return [_start(tables, "single_pass", list(tables.all()), events, store, "append", trigger)]
+    if mode == "feed":
+        if watermark or count != "events":
+            raise ValueError("feed counts each event of the jobs table once: it takes no watermark and no copies")
+        return _feed(tables, source, trigger, window_sec, merge_every, database)
     unknown = set(only) - set(QUERIES)
     if unknown:
         raise ValueError(f"no such query: {sorted(unknown)}")
     if count == "events" and not watermark:
-        raise ValueError("stateful queries need a watermark to count each event once")
+        raise ValueError("stateful queries need a watermark to count each event once; mode=\"feed\" does not")
     started = []
     for name in QUERIES:
         if name not in only:
@@ -90,7 +101,23 @@ def run_pipeline(spark: SparkSession, source: KafkaTopic | EventFiles, root: str
     return started
 
 
-def await_all(queries: Iterable[StreamingQuery], every: float = 1) -> None:
+def _feed(tables: Tables, source: KafkaTopic | EventFiles, trigger: dict | None, window_sec: int,
+          merge_every: int, database: JdbcSink | None) -> list[StreamingQuery | Follower]:
+    events = enrich(parse_events(read_event_stream(tables.spark, source)))
+    store = _kept_small(tables, ["jobs", "rejects"], merge_every,
+                        _copied(tables, ["jobs"], database, _store_jobs(tables)))
+    leader = _start(tables, "jobs", ["jobs", "rejects"], events, store, "append", trigger)
+
+    def follower(name: str, count: Callable[[DataFrame, int], DataFrame]) -> Follower:
+        # Tables of its own: nothing is shared between threads but the session.
+        own = Tables(tables.spark, tables.root, "feed", tables.jobs.any_day)
+        return Follower(tables.spark, leader, name, lambda: catch_up(
+            own.jobs, own.all()[name], lambda rows: count(rows, window_sec), merge_every))
+
+    return [leader, follower("trend_tech", tech_trend), follower("trend_role", role_trend)]
+
+
+def await_all(queries: Iterable[StreamingQuery | Follower], every: float = 1) -> None:
     """Wait until all have ended. The first that fails stops the others and is raised."""
     running = list(queries)
     try:
@@ -142,6 +169,8 @@ def _store_all(tables: Tables, window_sec: int, count: str):
             tables.jobs.append_batch(good, batch_id)
             # What the jobs table took of this batch is in its folder, also when this is a replay.
             counted = tables.jobs.batch_rows(batch_id) if count == "events" else batch
+            if set(PLACE) <= set(batch.columns):
+                tables.offsets.append_batch(offset_ranges(batch), batch_id)
             _at_once(tables.spark, [
                 lambda: tables.rejects.append_batch(rejects, batch_id),
                 lambda: tables.trend_tech.append_batch(tech_trend(counted, window_sec), batch_id),

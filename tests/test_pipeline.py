@@ -138,7 +138,7 @@ REDELIVERED = [[event("1", 60, "python"), event("1", 60, "python"), event("2", 7
 
 
 @pytest.mark.parametrize("mode, options, wanted", [
-    ("single_pass", {}, (1, 2)), ("single_pass", {"count": "deliveries"}, (3, 3)),
+    ("single_pass", {}, (1, 2)), ("single_pass", {"count": "deliveries"}, (3, 3)), ("feed", {}, (1, 2)),
     ("queries", {}, (3, 3)), ("queries", {"watermark": "1 hour"}, (1, 2)),
     ("queries", {"watermark": "1 hour", "count": "deliveries"}, (3, 3))])
 def test_events_that_come_again(spark, place, mode, options, wanted):
@@ -177,6 +177,88 @@ def test_batches_go_to_the_database_once(spark, place, monkeypatch):
                             ("trend_tech", 1, 1, False)]
 
 
+def test_followers_count_what_the_jobs_table_took(spark, place):
+    """Events that come again, and late ones, as in a single pass; a second run goes on behind the first."""
+    for lines in REDELIVERED + LATE:
+        place.add(*lines)
+    fed, passed = (run(spark, place, mode, merge_every=2) for mode in ("feed", "single_pass"))
+    for name in ("trend_tech", "trend_role", "jobs", "rejects"):
+        assert rows(fed.all()[name].read()) == rows(passed.all()[name].read())
+    place.add(event("2", 70, "go"), event("9", 10, "spark"))
+    fed, passed = (run(spark, place, mode, merge_every=2) for mode in ("feed", "single_pass"))
+    assert rows(fed.trend_tech.read()) == rows(passed.trend_tech.read())
+    assert fed.trend_tech.last_batch() == fed.jobs.last_batch()
+
+
+def test_a_follower_that_broke_off_is_started_again(spark, place, monkeypatch):
+    for lines in UNTOUCHED:
+        place.add(*lines)
+    write = TrendTable.append_batch
+
+    def write_and_fail(self, df, batch_id):
+        write(self, df, batch_id)
+        if batch_id == 1:
+            raise OSError("lost")
+
+    monkeypatch.setattr(TrendTable, "append_batch", write_and_fail)
+    tables = run(spark, place, "feed")  # the batch was stored: the next step finds it there
+    assert tech(tables) == {("12:00", "python"): 2, ("12:00", "airflow"): 1}
+
+    def fail(self, df, batch_id):
+        raise OSError("lost")
+
+    place.add(event("7", 60, "go"))
+    monkeypatch.setattr(TrendTable, "append_batch", fail)
+    with pytest.raises(OSError, match="lost"):
+        run(spark, place, "feed")
+    monkeypatch.setattr(TrendTable, "append_batch", write)
+    assert tech(run(spark, place, "feed"))["12:00", "go"] == 1
+
+
+def test_feed_takes_neither_watermark_nor_copies(spark, place):
+    for wrong in ({"watermark": "1 hour"}, {"count": "deliveries"}):
+        with pytest.raises(ValueError):
+            run_pipeline(spark, place.source, place.root, "feed", NOW, **wrong)
+
+
+def test_a_live_page_reads_new_batches_only(spark, place):
+    from hiretide.operators.dashboard import LiveJobs, refreshed_jobs
+    from hiretide.operators.reads import search_jobs
+    for n in range(3):
+        place.add(*(event(f"{n}-{i}", (i * 7 + n) % 50, "python") for i in range(15)))
+    tables = run(spark, place, "single_pass", merge_every=2)
+    page = LiveJobs(tables.jobs)
+    for n in range(3, 7):
+        place.add(*(event(f"{n}-{i}", (i * 11 + n) % 70, "go") for i in range(9)))
+        run(spark, place, "single_pass", merge_every=2)
+        assert rows(page.refresh()) == rows(search_jobs(tables.jobs.read()))
+        assert page.batch == n
+    late = refreshed_jobs(spark.createDataFrame(page.rows, tables.jobs.read().schema), tables.jobs.changes(6))
+    assert not any("run=" in f or "batch=00000000000" in f and "batch=000000000007" not in f
+                   for f in late.inputFiles())
+
+
+def test_offsets_of_batches_are_stored_and_audited(spark, place):
+    """A folder stands for a topic: rows with the connector's columns. No broker was run."""
+    from pyspark.sql import functions as F
+
+    from hiretide.sources.offsets import offset_audit
+    from hiretide.streaming.pipeline import _store_all
+    tables = Tables(spark, place.root, "single_pass")
+    store = _store_all(tables, 300, "events")
+    for n, (first, last) in enumerate([(0, 9), (10, 14), (20, 29), (28, 31)]):
+        raw = spark.range(first, last + 1).select(
+            F.lit("t").alias("topic"), F.lit(3).alias("partition"), F.col("id").alias("offset"),
+            F.format_string('{"event_id": "%d", "ingested_at": "2024-01-01T12:00:00Z"}', "id").alias("value"))
+        batch = enrich(parse_events(raw, ["topic", "partition", "offset"]))
+        store(batch, n)
+        store(batch, n)
+    assert rows(tables.offsets.read()) == [("t", 3, 0, 9, 10), ("t", 3, 10, 14, 5), ("t", 3, 20, 29, 10),
+                                           ("t", 3, 28, 31, 4)]
+    assert rows(offset_audit(tables.offsets.read())) == [("gap", "t", 3, 15, 19, 5), ("overlap", "t", 3, 28, 29, 2)]
+    assert tables.jobs.read().count() == 27
+
+
 LATE = [[event("1", 130, "python")], [event("2", 3660, "go")], [event("3", 4000, "go")],
         [event("4", 125, "python")]]
 
@@ -248,7 +330,7 @@ def test_from_posting_files_to_tables(spark, tmp_path):
     write_postings(generate_n_postings(spark, 300), lines)
     good, _ = read_postings(spark, lines, streaming=True)
     publish(to_events(good), EventFiles(events), str(tmp_path / "check"), NOW).awaitTermination()
-    for arguments in (["--mode", "single_pass"], ["--window", "86400"]):
+    for arguments in (["--mode", "single_pass"], ["--mode", "feed"], ["--window", "86400"]):
         main(["--root", root, "--files", events, "--once", *arguments])
     for mode in MODES:
         tables = Tables(spark, root, mode)

@@ -1,0 +1,95 @@
+import random
+import string
+
+import duckdb
+import pytest
+
+from hiretide.operators.rules import filed, find_patterns, first_of, tags_of
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def brute(texts, patterns):
+    return sorted((i, p) for i, t in texts for p in patterns if t is not None and p and p in t)
+
+
+def frames(spark, texts, patterns):
+    return (spark.createDataFrame(texts, "id long, text string"),
+            spark.createDataFrame([(p,) for p in patterns], "pattern string"))
+
+
+TEXTS = [(1, "javascript and scala, c++ (go)"), (2, ""), (3, None), (4, "a"), (5, "ab"), (6, "漢字 spark\nsql x.y"),
+         (7, "go go go"), (7, "going"), (8, "naïve Ångström über"), (9, "x" * 50_000 + "needle")]
+PATTERNS = ["go", "java", "javascript", "c++", "a", "", None, "sql x", "漢字", "字 s", "x.y", "needle", "nope",
+            "über", "$", "script and scala, c++ (go)", "go"]
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_substrings(spark, most):
+    df, patterns = frames(spark, TEXTS, PATTERNS)
+    got = found(find_patterns(df, patterns, "text", most_broadcast=most))
+    assert got == brute(TEXTS, [p for p in PATTERNS if p])
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_whole_words(spark, most):
+    df, patterns = frames(spark, TEXTS, PATTERNS)
+    got = found(find_patterns(df, patterns, "text", match="word", most_broadcast=most))
+    assert got == sorted([(1, "javascript"), (1, "c++"), (1, "go"), (1, "go"), (1, "script and scala, c++ (go)")][:4]
+                         + [(4, "a"), (6, "漢字"), (6, "sql x"), (6, "x.y"), (7, "go"), (7, "go"), (8, "über")])
+
+
+def test_a_hundred_thousand_patterns(spark):
+    """Against the same search in SQL over all pairs."""
+    chosen = random.Random(5)
+    patterns = ["".join(chosen.choice("abcdefgh ") for _ in range(chosen.randint(4, 9))) for _ in range(100_000)]
+    texts = [(i, "".join(chosen.choice("abcdefgh ") for _ in range(chosen.randint(0, 400)))) for i in range(60)]
+    df, table = frames(spark, texts, patterns)
+    con = duckdb.connect()
+    con.register("texts", __import__("pandas").DataFrame(texts, columns=["id", "text"]))
+    con.register("patterns", __import__("pandas").DataFrame({"pattern": patterns}))
+    wanted = sorted(con.execute("SELECT id, pattern FROM texts, patterns WHERE contains(text, pattern)").fetchall())
+    assert len(wanted) > 1000
+    assert found(find_patterns(df, table, "text")) == wanted
+    assert found(find_patterns(df, table, "text", most_broadcast=0)) == wanted
+
+
+def test_patterns_are_filed_under_rare_pieces(spark):
+    common = ["the " + "".join(x) for x in zip(string.ascii_lowercase, string.ascii_lowercase[1:] + "a")]
+    _, patterns = frames(spark, [], common)
+    keys = [r["__key"] for r in filed(patterns).collect()]
+    assert len(keys) == 26 and len(set(keys)) == 26 and "the" not in keys
+
+
+def test_plans(spark):
+    df, patterns = frames(spark, TEXTS, PATTERNS)
+    small = find_patterns(df, patterns, "text")._jdf.queryExecution().executedPlan().toString()
+    large = find_patterns(df, patterns, "text", most_broadcast=0)._jdf.queryExecution().executedPlan().toString()
+    for plan in (small, large):
+        assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "BroadcastHashJoin" in small
+
+
+def test_tags_and_first_rules(spark):
+    texts = spark.createDataFrame([(1, "sql python sql"), (2, "go"), (3, "none")], "id long, text string")
+    rules = spark.createDataFrame([(0, "python", "P"), (1, "sql", "S"), (2, "go", "G"), (3, "sql", "S"), (1, "go", "F")],
+                                  "place int, pattern string, label string")
+    met = find_patterns(texts, rules, "text")
+    assert found(tags_of(met, ["id"], "label", "place")) == [(1, ["P", "S"]), (2, ["F", "G"])]
+    assert found(first_of(met, ["id"], "label", "place")) == [(1, "P"), (2, "F")]
+
+
+def test_wrong_calls(spark):
+    df, patterns = frames(spark, TEXTS, PATTERNS)
+    with pytest.raises(ValueError):
+        find_patterns(df, patterns, "text", match="prefix")
+    with pytest.raises(ValueError):
+        find_patterns(df.withColumnRenamed("id", "Pattern"), patterns, "text")
+
+
+def test_empty_tables(spark):
+    df, patterns = frames(spark, TEXTS, PATTERNS)
+    assert find_patterns(df.limit(0), patterns, "text").collect() == []
+    assert find_patterns(df, patterns.limit(0), "text").collect() == []

@@ -97,27 +97,24 @@ def test_many_days_are_stored_whole(spark, root):
     table.append_batch(jobs(spark, *rows), 1)
     assert stored(table) == sorted((i, t) for i, _, t in rows)
     table.merge()
-    days = {n.split("/")[2] for n in files(f"{table.path}/base")} | {
-        n.split("/")[1] for n in files(f"{table.path}/base")}
-    assert sum(d.startswith("ingest_date=") for d in days) == 20
+    names = files(f"{table.path}/base")
+    assert len({n.split("/")[1] for n in names}) == 20 and len(names) == 15 + 5  # a file a day and run
 
 
-def test_a_batch_is_compared_with_its_own_days_and_buckets(spark, root):
+def test_a_batch_is_compared_with_its_own_days(spark, root):
     table = T.init_tables(spark, root).jobs
     table.append_batch(jobs(spark, *[(f"e{i}", i % 9 * 1440, "x") for i in range(200)]), 0)
     table.merge()
     new = jobs(spark, ("e0", 0, "y"), ("n1", 0, "y"))
-    keyed = new.withColumns({
-        "ingest_date": utc_day(F.col("ingested_at")),
-        "bucket": F.pmod(F.xxhash64("event_id"), F.lit(T.BUCKETS)).cast("int"),
-        "row": F.monotonically_increasing_id()})
+    keyed = new.withColumns({"ingest_date": utc_day(F.col("ingested_at")),
+                             "row": F.monotonically_increasing_id()})
     unseen = table._unseen(table._one_per_event(keyed), keyed)
     assert [r["event_id"] for r in unseen.collect()] == ["n1"]
     scan = [x for x in unseen._jdf.queryExecution().executedPlan().toString().splitlines()
             if "FileScan parquet" in x and "event_id" in x]
     assert scan and all("array_contains" in x.split("PartitionFilters")[1] for x in scan)
     partitions = _metric(unseen._jdf.queryExecution().executedPlan(), "numPartitions")
-    assert partitions and max(partitions) <= 2  # of 9 days times 16 buckets
+    assert partitions and max(partitions) == 1  # of 9 days
 
 
 def _metric(plan, name):
@@ -143,7 +140,7 @@ def test_wide_rows_move_once(spark, root):
     table = T.init_tables(spark, root).jobs
     jobs(spark, ("a", 0, "x"), ("b", 0, "x")).repartition(2).write.parquet(f"{root}/in")
     rows = spark.read.schema(JOBS).parquet(f"{root}/in").withColumns({
-        "ingest_date": utc_day(F.col("ingested_at")), "bucket": F.lit(0),
+        "ingest_date": utc_day(F.col("ingested_at")),
         "row": F.monotonically_increasing_id()})
     kept = table._unseen(table._one_per_event(rows), rows).select("row")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -218,6 +215,52 @@ def test_deep_pages_of_one_instant(spark, root):
             assert "SinglePartition" not in plan and "GlobalLimit" not in plan
 
 
+@pytest.fixture
+def read_rows(spark, monkeypatch):
+    """The numbers of rows that were looked at to find a page, call by call of the tables' rows."""
+    from hiretide.operators import reads
+    asked = []
+    real = reads._counted
+
+    def counted(rows, by):
+        asked.append(rows.count())
+        return real(rows, by)
+
+    monkeypatch.setattr(reads, "_counted", counted)
+    return asked
+
+
+def test_pages_without_filter_count_no_history(spark, root, read_rows, monkeypatch):
+    table = T.init_tables(spark, root).jobs
+    rows = [(f"e{i:03d}", i * 60, "x") for i in range(24 * 9)]
+    table.append_batch(jobs(spark, *rows[:200]), 0)
+    table.merge()
+    table.append_batch(jobs(spark, *rows[200:]), 1)
+    newest = [r[0] for r in rows[::-1]]
+    for top_rows in (10_000, 8):  # on both sides of the bound the page is the same
+        monkeypatch.setattr("hiretide.operators.reads.TOP_ROWS", top_rows)
+        for offset in (0, 5, 30, 100, 215, 216):
+            page = table.search(offset=offset, limit=5)
+            assert [r["event_id"] for r in page.collect()] == newest[offset:offset + 5]
+            assert len(read_rows) <= (top_rows < 10) and sum(read_rows) <= 1  # the seconds of one hour
+            read_rows.clear()
+
+
+def test_a_search_looks_at_the_newest_days_until_it_has_enough(spark, root, read_rows, monkeypatch):
+    monkeypatch.setattr("hiretide.operators.reads.WALK_ROWS", 24)
+    table = T.init_tables(spark, root).jobs
+    table.append_batch(jobs(spark, *[(f"e{i:03d}", i * 60, "x") for i in range(24 * 9)]), 0)
+    table.merge()
+    assert table.search(company="c", limit=5).count() == 5
+    assert read_rows == [24]  # one day
+    read_rows.clear()
+    assert table.search(company="c", limit=20, offset=30).count() == 20
+    assert read_rows == [24, 48]
+    read_rows.clear()
+    assert table.search(company="none").count() == 0
+    assert len(read_rows) <= 4  # 1, 2, 4 and the last days
+
+
 def test_default_page_reads_the_newest_day_only(spark, root):
     table = T.init_tables(spark, root).jobs
     table.append_batch(jobs(spark, *[(f"e{i:03d}", i * 60, "x") for i in range(24 * 9)]), 0)
@@ -226,6 +269,7 @@ def test_default_page_reads_the_newest_day_only(spark, root):
     assert [r["event_id"] for r in page.collect()] == [f"e{i}" for i in (215, 214, 213, 212, 211)]
     plan = page._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingest_date" in plan and ">= 2024-01-09" in plan
+    assert _metric(page._jdf.queryExecution().executedPlan(), "numPartitions") == [1]
 
 
 def test_totals_keep_untouched_groups(spark, root):
@@ -255,13 +299,14 @@ def test_merges_change_no_row(spark, root, mode):
                 table.merge()
                 assert table.tail() == [] and rows(table) == before
                 assert table.holds(n) and table.holds(0) and not table.holds(n + 1)
-    assert len(tables.jobs.bases()) == 2 and tables.trend_tech.bases() == [5]
+    assert [r.level for r in tables.jobs.manifest().runs] == [0, 0]
+    assert [(r.first, r.last) for r in tables.trend_tech.manifest().runs] == [(0, 5)]
     tables.rejects.merge()
     assert sorted(r[0] for r in tables.rejects.read().collect()) == [f"r{n}" for n in range(7)]
     for table in (tables.trend_tech, tables.jobs):
         table.merge()
         table.merge()
-        # Batches of the base before are gone, those of the last one stay for readers.
+        # Batches of the merge before are gone, those of the last one stay for readers.
         assert table._numbers("batches/batch") == [6]
 
 
@@ -290,15 +335,105 @@ def test_replay_of_a_merged_batch(spark, root, mode):
     assert trend(table) == before
 
 
-def test_half_written_base_is_ignored(spark, root):
-    table = T.init_tables(spark, root).trend_tech
-    for n in range(2):
-        table.append_batch(counts(spark, (n, "go", 1)), n)
+def test_a_merge_that_breaks_off_changes_nothing(spark, root, monkeypatch):
+    tables = T.init_tables(spark, root)
+    for table, rows, read in ((tables.trend_tech, lambda n: counts(spark, (n, "go", 1)), trend),
+                              (tables.jobs, lambda n: jobs(spark, (f"e{n}", n, "x")), stored)):
+        for n in range(2):
+            table.append_batch(rows(n), n)
+        before = read(table)
+        for step in ("_write", "_switch", "write_text"):
+            broken = _broken_at(monkeypatch, step)
+            with pytest.raises(OSError):
+                table.merge()
+            broken.undo()
+            assert table.tail() == [0, 1] and read(table) == before
+        table.merge()
+        assert table.tail() == [] and read(table) == before
+        table.append_batch(rows(1), 1)
+        assert read(table) == before
+
+
+def _broken_at(monkeypatch, step):
+    """The step that fails from now on, when it is half done."""
+    patch = pytest.MonkeyPatch()
+
+    def broken(*args, **more):
+        raise OSError("lost")
+
+    if step == "write_text":
+        patch.setattr(folders, step, broken)
+    else:
+        patch.setattr(T.BatchTable, step, broken)
+    return patch
+
+
+def test_runs_are_few_after_a_thousand_merges():
+    runs, moved = [], 0
+    for n in range(1000):
+        taken, level = T.absorbed(runs)
+        moved += sum(r.last - r.first + 1 for r in taken)
+        gone = {r.run for r in taken}
+        first = min([n, *(r.first for r in taken)])
+        runs = [r for r in runs if r.run not in gone] + [T.Run(n, level, first, n)]
+        assert len(runs) <= 15 and max(r.level for r in runs) <= 4
+        assert sorted(b for r in runs for b in range(r.first, r.last + 1)) == list(range(n + 1))
+    assert moved <= 5 * 1000  # a batch is rewritten once a level
+
+
+def test_levelled_runs_hold_every_row_in_one_scan(spark, root):
+    table = T.init_tables(spark, root).jobs
+    for n in range(21):
+        table.append_batch(jobs(spark, (f"e{n:02d}", n, "x"), ("same", 0, "x")), n)
+        table.merge()
+    held = table.manifest()
+    assert [r.level for r in held.runs] == [2, 1, 0] and held.up_to == 20
+    assert [r[0] for r in stored(table)] == [f"e{n:02d}" for n in range(21)] + ["same"]
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Union" not in plan
+    table.append_batch(jobs(spark, ("e00", 0, "y"), ("new", 5, "x")), 21)
+    assert len(stored(table)) == 23
+    # Folders that no manifest names are removed by the merge after; so are old manifests.
     table.merge()
-    folders.remove(spark, f"{table.path}/base/up_to=000000000001/_SUCCESS")
-    assert table.tail() == [0, 1] and len(trend(table)) == 2
+    there = {int(m.split("run=")[1]) for m in folders.matching(spark, f"{table.path}/base/run=*")}
+    held = table.manifest()
+    assert there == {r.run for r in held.runs} | set(held.dropped)
+    assert len(table._manifests()) <= 2
+
+
+def test_readers_that_began_before_a_merge_read_on(spark, root):
+    table = T.init_tables(spark, root).jobs
+    for n in range(4):
+        table.append_batch(jobs(spark, (f"e{n}", n, "x")), n)
+        before = table.read()
+        table.merge()
+        assert before.count() == n + 1
+
+
+def test_changes_read_new_batches_only(spark, root):
+    table = T.init_tables(spark, root).jobs
+    for n in range(6):
+        table.append_batch(jobs(spark, (f"e{n}", n, "x"), (f"f{n}", n, "x")), n)
+        if n in (1, 3):
+            table.merge()
+    for since in range(-1, 6):
+        got = sorted(r["event_id"] for r in table.changes(since).collect())
+        assert got == sorted(f"{k}{n}" for k in "ef" for n in range(since + 1, 6))
+    assert [sorted(r["event_id"] for r in table.brought(n).collect()) for n in range(6)] == [
+        [f"e{n}", f"f{n}"] for n in range(6)]
+    files_ = table.changes(3).inputFiles()
+    assert files_ and not any("/base/" in f for f in files_)
+    assert not any("run=0" in f for f in table.changes(1).inputFiles())
+    assert table.last_batch() == 5
+
+
+def test_two_writers_cannot_both_switch(spark, root):
+    table = T.init_tables(spark, root).jobs
+    table.append_batch(jobs(spark, ("a", 0, "x")), 0)
+    held = table.manifest()
     table.merge()
-    assert table.tail() == [] and len(trend(table)) == 2
+    with pytest.raises(FileExistsError):
+        table._switch(held, held)
 
 
 @pytest.mark.parametrize("mode", T.MODES)
@@ -315,8 +450,8 @@ def test_recount_of_a_range(spark, root, mode):
     table.append_batch(counts(spark, (20, "go", 1)), 2)
     assert len(trend(table)) == 5
     # The stream goes on from its own counts: one more "go" at 5 minutes, two more at 10.
-    more = {"queries": [(5, "go", 2), (10, "go", 3)], "single_pass": [(5, "go", 1), (10, "go", 2)]}
-    table.append_batch(counts(spark, *more[mode]), 3)
+    more = [(5, "go", 2), (10, "go", 3)] if mode == "queries" else [(5, "go", 1), (10, "go", 2)]
+    table.append_batch(counts(spark, *more), 3)
     wanted = [(0, "go", 10), (5, "go", 1), (5, "java", 4), (10, "go", 8), (15, "sql", 1), (20, "go", 1)]
     assert trend(table) == wanted
     table.merge()
@@ -328,36 +463,102 @@ def test_recount_changes_the_days_of_its_range_only(spark, root):
     day = 24 * 60
     table.append_batch(counts(spark, *[(d * day, k, 1) for d in range(6) for k in ("go", "sql")]), 0)
     table.merge()
-    base = f"{table.path}/base/up_to=000000000000"
+    base = f"{table.path}/base"
     before = files(base)
     table.replace_range(counts(spark, (2 * day, "go", 7), (3 * day, "go", 8)), 300)
     after = files(base)
-    changed = {n.split("/")[1] for n in before.keys() ^ after.keys()}
-    assert changed == {"window_date=2024-01-03", "window_date=2024-01-04"}
-    assert all(before[n] == after[n] for n in before.keys() & after.keys())
+    added = {n.split("/")[2] for n in after.keys() - before.keys()}
+    assert added == {"window_date=2024-01-03", "window_date=2024-01-04"}
+    assert all(before[n] == after[n] for n in before)
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "run" in plan.split("PartitionFilters: ")[1].split("]")[0]
     assert sorted((r["window_start"].day, r["tech"], r["count"]) for r in table.read().collect()) == [
         (1, "go", 1), (1, "sql", 1), (2, "go", 1), (2, "sql", 1), (3, "go", 7), (4, "go", 8),
         (5, "go", 1), (5, "sql", 1), (6, "go", 1), (6, "sql", 1)]
 
 
-def test_recount_that_broke_off_is_finished(spark, root, monkeypatch):
+@pytest.mark.parametrize("mode", T.MODES)
+def test_a_reader_sees_all_of_a_recount_or_nothing(spark, root, mode):
+    """Broken off before each thing that it writes, renames or removes; a reader lists at that moment."""
+    table = T.init_tables(spark, root, mode).trend_tech
+    table.append_batch(counts(spark, (0, "go", 1), (5, "go", 1), (5, "sql", 2)), 0)
+    table.append_batch(counts(spark, (1500, "go", 3)), 1)
+    old = trend(table)
+    new = sorted([(0, "go", 1), (5, "go", 4), (0, "go", 3)])
+    days = sorted((r["window_start"].day, r["count"]) for r in table.rolled(86400).collect())
+    for at in range(40):
+        patch, steps = pytest.MonkeyPatch(), []
+
+        def stepped(real):
+            def run(*args, **more):
+                steps.append(1)
+                if len(steps) > at:
+                    raise OSError("lost")
+                return real(*args, **more)
+            return run
+
+        patch.setattr(T.BatchTable, "_write", stepped(T.BatchTable._write))
+        for name in ("write_text", "remove"):
+            patch.setattr(folders, name, stepped(getattr(folders, name)))
+        try:
+            table.replace_range(counts(spark, (5, "go", 4)), 300)
+            done = True
+        except OSError:
+            done = False
+        patch.undo()
+        seen = trend(table)
+        assert seen in (old, new)
+        by_day = sorted((r["window_start"].day, r["count"]) for r in table.rolled(86400).collect())
+        assert (by_day == days) == (seen == old)
+        if done:
+            break
+    assert done and at > 3 and trend(table) == new
+    table.merge()
+    assert trend(table) == new
+
+
+@pytest.mark.parametrize("mode", T.MODES)
+def test_roll_ups_follow_batches_merges_and_recounts(spark, root, mode):
+    table = T.init_tables(spark, root, mode).trend_tech
+
+    def wanted(size):
+        found = {}
+        for r in table.read().collect():
+            at = int(r["window_start"].timestamp()) // size * size
+            found[at, r["tech"]] = found.get((at, r["tech"]), 0) + r["count"]
+        return sorted((*k, n) for k, n in found.items())
+
+    def check():
+        for size in T.ROLLUPS:
+            got = table.rolled(size).collect()
+            assert sorted((int(r["window_start"].timestamp()), r["tech"], r["count"]) for r in got) == wanted(size)
+            assert all((r["window_end"] - r["window_start"]).total_seconds() == size for r in got)
+
+    check()
+    for n in range(5):
+        table.append_batch(counts(spark, (0, "go", n + 1), (n * 35, "sql", 2), (1440 + n, "go", 1)), n)
+        check()
+        if n % 2:
+            table.merge()
+            check()
+    table.replace_range(counts(spark, (35, "java", 9), (70, "go", 1)), 300)
+    check()
+    table.append_batch(counts(spark, (65, "go", 4)), 5)
+    check()
+    table.merge()
+    check()
+    with pytest.raises(ValueError):
+        table.rolled(7000)
+
+
+def test_a_day_of_a_roll_up_is_read_alone(spark, root):
     table = T.init_tables(spark, root, "single_pass").trend_tech
-    table.append_batch(counts(spark, (0, "go", 1), (5, "go", 1)), 0)
-    finish = T.TrendTable._finish_replace
-    calls = []
-
-    def broken(self):
-        calls.append(1)
-        if len(calls) > 1:
-            raise OSError("lost")
-        finish(self)
-
-    monkeypatch.setattr(T.TrendTable, "_finish_replace", broken)
-    with pytest.raises(OSError):
-        table.replace_range(counts(spark, (5, "go", 4)), 300)
-    monkeypatch.setattr(T.TrendTable, "_finish_replace", finish)
+    table.append_batch(counts(spark, *[(d * 1440, "go", d + 1) for d in range(5)]), 0)
     table.merge()
-    assert trend(table) == [(0, "go", 1), (5, "go", 4)]
+    top = top_techs(table.rolled(86400), 86400)
+    assert [r["count"] for r in top.collect()] == [5]
+    assert "/base/" not in "".join(table.rolled(86400).inputFiles())
+    assert 1 in _metric(top._jdf.queryExecution().executedPlan(), "numPartitions")
 
 
 def test_the_latest_window_is_read_from_one_day(spark, root):
