@@ -28,17 +28,19 @@ from pyspark.sql import types as T
 
 from hiretide.llm.common import by_bytes, code_path, type_of
 from hiretide.llm.token_counts import _json_tokenizer
-from hiretide.llm.words import split_words, word_hashes
+from hiretide.llm.words import Words, split_words, word_hashes
 
 SEQUENCE, END_ID = 4096, 2
 BLOCK_TOKENS, QUADRATIC = 4 << 20, 2048.0
-CACHED_WORDS, BATCH_BYTES = 1_000_000, 4 << 20
+CACHED_WORDS, CACHED_BYTES, BATCH_BYTES = 1_000_000, 64 << 20, 4 << 20
 SEPARATOR, JOINED = "0", 200
 
 
 class WordEncoder:
     """Ids of texts whose tokens never reach over white space: each distinct word is encoded once by
-    the library. Words are known by their 64-bit hashes in sorted arrays, some 30 bytes a word."""
+    the library. Words are found by their 64-bit hashes in sorted arrays, some 30 bytes a word and its own
+    bytes; these are compared before its ids are used, and a word that only shares a known one's hash
+    goes to the library each time."""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _json_tokenizer(path)
@@ -51,6 +53,8 @@ class WordEncoder:
         self.place = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
+        self.bytes = np.zeros(0, np.uint8)  # of the words, in the order of ``ends``
+        self.bytes_ends = np.zeros(1, np.int64)
 
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """Words without the separator go to the library joined by it, many at a time: a digit
@@ -58,6 +62,10 @@ class WordEncoder:
         alone = np.array([self.mark is None or SEPARATOR in w for w in words], bool)
         order = np.argsort(alone, kind="stable")
         words = [words[i] for i in order.tolist()]
+        raw = [x.encode() for x in words]
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(raw), np.uint8)])
+        self.bytes_ends = np.concatenate([
+            self.bytes_ends, self.bytes_ends[-1] + np.cumsum(list(map(len, raw)), dtype=np.int64)])
         apart, rest = words[:len(words) - int(alone.sum())], words[len(words) - int(alone.sum()):]
         if apart:
             joined = [f" {SEPARATOR} ".join([*apart[i:i + JOINED], ""])
@@ -86,7 +94,7 @@ class WordEncoder:
         hashes, first, which = np.unique(word_hashes(w, lower=False), return_index=True,
                                          return_inverse=True)
         new = np.flatnonzero(~self._has(hashes))
-        if len(self.known) + len(new) > CACHED_WORDS:
+        if len(self.known) + len(new) > CACHED_WORDS or len(self.bytes) > CACHED_BYTES:
             self._clear()
             new = np.arange(len(hashes))
         if len(new):
@@ -99,7 +107,26 @@ class WordEncoder:
         stop = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.arange(int(stop[-1])) + np.repeat(begin - stop[:-1], size)]
         cuts = stop[w.first].tolist()
-        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        other = np.unique(np.searchsorted(w.first, self._unlike(w, at), side="right") - 1)
+        for i in other.tolist():  # texts with a word that another of the same hash stands for
+            out[i] = np.array(self.tokenizer.encode(column[i].as_py(), add_special_tokens=False).ids, np.uint32)
+        return out
+
+    def _unlike(self, w: Words, at: np.ndarray) -> np.ndarray:
+        """The words that are not, byte by byte, the known ones at ``at``."""
+        size, begin = w.stop - w.start, self.bytes_ends[at]
+        same = size == self.bytes_ends[at + 1] - begin
+        block = 1 << 18
+        for a in range(0, len(same), block):  # bounded extra memory
+            own = np.flatnonzero(same[a:a + block]) + a
+            first = np.cumsum(size[own]) - size[own]
+            step = np.arange(int(size[own].sum())) - np.repeat(first, size[own])
+            unlike = w.data[step + np.repeat(w.start[own], size[own])] != self.bytes[
+                step + np.repeat(begin[own], size[own])]
+            if unlike.any():
+                same[own[np.unique(np.searchsorted(first, np.flatnonzero(unlike), side="right") - 1)]] = False
+        return np.flatnonzero(~same)
 
     def _has(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.known):

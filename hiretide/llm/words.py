@@ -1,7 +1,9 @@
 """Words of many texts at once: numpy over the UTF-8 bytes of an Arrow batch, no per-word Python.
 
 A word is a run of bytes outside ``[\\x20\\x09-\\x0D]``. Words and word n-grams are known by 64-bit
-hashes: a seeded random value per byte, weighted by a power of its place in the word, summed, mixed.
+hashes: a seeded random value per byte and place in the word (``PLACES`` of them, beyond these mixed with how
+often they have been passed), summed, mixed. Values of places have nothing to do with each other, so no
+arrangement of letters makes sums meet, as it does where a place is a factor.
 """
 
 from __future__ import annotations
@@ -11,14 +13,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+PLACES = 64
 _SEED = np.random.Generator(np.random.PCG64(20240501))
-_BYTE = _SEED.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BYTE = _SEED.integers(0, 2**64, (PLACES, 256), dtype=np.uint64)
 _LOWER = _BYTE.copy()
-_LOWER[65:91] = _BYTE[97:123]
+_LOWER[:, 65:91] = _BYTE[:, 97:123]
+_BYTE, _LOWER = _BYTE.ravel(), _LOWER.ravel()
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_POWERS = np.cumprod(np.full(4096, 0xD6E8FEB86659FD93, np.uint64))  # wraps at 2**64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -78,11 +81,10 @@ def word_hashes(w: Words, lower: bool) -> np.ndarray:
         size = stop - start
         at = np.cumsum(size) - size
         place = np.arange(int(size.sum())) - np.repeat(at, size)
-        values = table[w.data[place + np.repeat(start, size)]]
-        values *= _POWERS[place % 4096]
-        far = np.flatnonzero(place >= 4096)  # beyond the table of powers; no other value changes
+        values = table[(place & (PLACES - 1)) << 8 | w.data[place + np.repeat(start, size)]]
+        far = np.flatnonzero(place >= PLACES)  # no other value changes
         if len(far):
-            values[far] = mix(values[far] + (place[far] // 4096).astype(np.uint64) * _STEP)
+            values[far] = mix(values[far] + (place[far] // PLACES).astype(np.uint64) * _STEP)
         out[a:a + block] = mix(np.add.reduceat(values, at)) if len(size) else 0
     return out
 

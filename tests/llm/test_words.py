@@ -2,7 +2,8 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from hypothesis import given
+import pytest
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from hiretide.llm import words
@@ -10,6 +11,7 @@ from hiretide.llm import words
 TEXTS = st.lists(st.one_of(st.none(), st.text(st.sampled_from("aBé \n\t\x0b\x1cz漢"))), max_size=8)
 
 
+@settings(deadline=None)
 @given(TEXTS)
 def test_words_and_shingles_are_those_of_the_expression(texts):
     column = pa.array(texts, pa.string())
@@ -29,7 +31,20 @@ def test_words_and_shingles_are_those_of_the_expression(texts):
         assert np.all(np.diff(shingles[a:b].astype(object)) > 0)
 
 
-def test_long_words_differ_beyond_the_table_of_powers():
+def mirrored(n):
+    """The word of n letters in which no stretch comes three times in a row, and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [2, 64, 1024, 2048, 4096, 8192])
+def test_no_arrangement_of_letters_makes_hashes_meet(n):
+    a, b = mirrored(n)
+    hashes = words.word_hashes(words.split_words(pa.array([a, b, a + "x", b + "x", "x" + a, "x" + b])), lower=True)
+    assert len(set(hashes.tolist())) == 6
+
+
+def test_long_words_differ_at_any_place():
     column = pa.array(["x" * 9000, "x" * 8999 + "y", "y" + "x" * 8999, "x" * 9000])
     hashes = words.word_hashes(words.split_words(column), lower=False)
     assert hashes[0] == hashes[3] and len(set(hashes.tolist())) == 3
