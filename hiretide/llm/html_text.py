@@ -3,14 +3,17 @@
 Markup is read once, left to right, into blocks: runs of text between block-level tags, each with
 its length, link characters and stop words, and the zone it stands in: ``out`` (menus, headers,
 footers, sidebars, notices, adverts, forms, comments, by tag, role, class or id), ``main``
-(inside ``article``, ``main`` or such a role) or ``open``.
+(inside ``article``, ``main`` or such a role) or ``open``. A form, or an element put outside by a word of its
+class or id, is not outside if all articles of the page or most of its text are in it; a name that
+denies such a word (``no-sidebar``, ``ad-free``) puts nothing outside.
 
 Pass one decides blocks by themselves: ``out`` is boilerplate, and so is a block made of links;
 long text with many stop words is content, long text without them boilerplate. Inside ``main``
 only links count against a block. Short blocks stay open. Pass two lets open blocks inherit from
 their nearest decided neighbours of the same zone: both sides agree, or the nearer one rules (content, if
-both are as near); without any they count as content. Stop words say nothing on a page that has none of those listed. Open blocks of a page that has a main zone do not
-count.
+both are as near); without any they count as content. Stop words say nothing on a page that has none of those listed,
+nor of a block that is marked as of another language or written in other letters. Open blocks of a page
+that has a main zone do not count.
 
 Null and empty pages give the empty text; broken markup (unclosed tags, cut files, stray quotes)
 ends at the end of the page. Each row is judged alone, so ties, repeated rows and equal ids do not
@@ -33,6 +36,7 @@ from hiretide.llm.common import arrow_map, type_of
 SHORT, LONG = 70, 200
 MOST_LINKS, ALL_LINKS = 0.5, 0.9
 FEW_STOPS, MANY_STOPS = 0.1, 0.25
+FOREIGN = 0.01  # share of other letters from which a block is in another language
 
 #: Frequent function words of the languages judged.
 STOP_WORDS = frozenset((
@@ -50,8 +54,8 @@ _TOKEN = re.compile(
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)"
     r"(?P<attrs>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*+)(?P<end>>|\Z)", re.S)
-_ATTR = re.compile(r"(class|id|role|aria-hidden|hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?",
-                   re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s\"'>]+))?")
+_ATTRS = frozenset(("class", "id", "role", "aria-hidden", "hidden", "style", "lang"))
 _WORD = re.compile(r"[^\W\d_]+")
 _NAME = re.compile(r"[a-z]+")
 
@@ -80,6 +84,13 @@ _OUT_NAMES = frozenset((
     "newsletter", "notice", "notices", "notification", "pager", "pagination", "popup", "promo",
     "promotion", "related", "replies", "reply", "respond", "share", "sharing", "sidebar", "signup",
     "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar", "widget"))
+#: Of these, what readers or other pages wrote: it may be most of a page and is still not its text.
+_OTHERS = frozenset(("comment", "commentlist", "comments", "disqus", "related", "replies", "reply", "respond"))
+#: Beside such a word in one name, these say that the element is not the thing but has it, or lacks it.
+_DENIALS = frozenset(("no", "not", "non", "has", "with", "without", "free", "hide", "hides", "off"))
+#: Languages of ``STOP_WORDS``, and the letters they are written in besides a to z.
+_LANGUAGES = frozenset(("en", "de", "es", "fr"))
+_OTHER_LETTERS = re.compile(r"[^\W\d_a-zA-ZäöüßéèêëàâçîïôùûñáíóúæœÿÄÖÜÉÈÊËÀÂÇÎÏÔÙÛÑÁÍÓÚÆŒŸ]")
 #: End tags that may be left out: a start tag closes the nearest open element of those it names, with
 #: what is open inside it, unless one of the elements between them that hold their own stands there.
 _ROWS, _CELLS = frozenset(("thead", "tbody", "tfoot")), frozenset(("td", "th"))
@@ -99,29 +110,56 @@ class Block:
     linked: int = 0
     listed: bool = False
     verdict: bool | None = None
+    doubts: tuple[int, ...] = ()
+    lang: str = ""
+
+
+@dataclass
+class _Doubt:
+    """An element that its name, or a form, puts outside; whether it stays so shows at the page's end."""
+
+    others: bool
+    mains: int = 0
+    main_tags: int = 0
+    chars: int = 0
+
+
+@dataclass(frozen=True)
+class _Around:
+    """What holds inside an element: its zone, the doubtful elements it is in, its language."""
+
+    zone: str = "open"
+    doubts: tuple[int, ...] = ()
+    lang: str = ""
 
 
 @dataclass
 class _Reader:
-    """Open elements as (tag, zone), and by tag their places; the block being read as pieces."""
+    """Open elements as (tag, what holds inside), and by tag their places; the block being read as pieces."""
 
-    open: list[tuple[str, str]] = field(default_factory=list)
+    open: list[tuple[str, _Around]] = field(default_factory=list)
     places: dict[str, list[int]] = field(default_factory=dict)
     pieces: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     links: int = 0
     blocks: list[Block] = field(default_factory=list)
+    doubts: list[_Doubt] = field(default_factory=list)
+    mains: int = 0
 
     @property
-    def zone(self) -> str:
-        return self.open[-1][1] if self.open else "open"
+    def around(self) -> _Around:
+        return self.open[-1][1] if self.open else _Around()
 
     def end_block(self) -> None:
         text = " ".join(html.unescape("".join(self.pieces)).split())
         if text:
             linked = len(" ".join(html.unescape("".join(self.linked)).split()))
             listed = any(tag in ("li", "dd", "td") for tag, _ in self.open[-4:])
-            self.blocks.append(Block(self.zone, text, linked, listed))
+            around = self.around
+            self.blocks.append(Block(around.zone, text, linked, listed, None, around.doubts, around.lang))
+            if around.zone != "out":
+                for k in around.doubts:
+                    self.doubts[k].chars += len(text)
         self.pieces, self.linked = [], []
 
     def text(self, raw: str) -> None:
@@ -141,12 +179,13 @@ class _Reader:
         if tag == "a":
             self.links += 1
             return
-        zone = _zone(tag, attrs, self.zone)
-        if tag in _BLOCK or zone != self.zone:
-            if zone != self.zone and tag not in _BLOCK:
+        around = self.around
+        inside = self.inside(tag, attrs, around)
+        if tag in _BLOCK or inside is not around:
+            if tag not in _BLOCK:
                 self.end_block()
             self.places.setdefault(tag, []).append(len(self.open))
-            self.open.append((tag, zone))
+            self.open.append((tag, inside))
 
     def last(self, tags) -> int:
         """The place of the innermost open element of ``tags``, or -1."""
@@ -181,28 +220,62 @@ class _Reader:
         self.cut(at)
 
 
-def _zone(tag: str, attrs: str, around: str) -> str:
-    if around == "out" or tag in _OUT_TAGS:
-        return "out"
-    role, names, hidden = "", [], False
-    if attrs:
-        for m in _ATTR.finditer(attrs):
-            name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
-            if name in ("class", "id"):
-                names += _NAME.findall(value)
-            elif name == "role":
-                role = value
-            elif name == "hidden" or (name == "aria-hidden" and value == "true") or (
-                    name == "style" and "display:none" in value.replace(" ", "")):
-                hidden = True
-    if hidden or role in _OUT_ROLES or (tag not in ("html", "body") and any(
-            n in _OUT_NAMES for n in names)):
-        return "out"
-    if around != "main" and (tag == "header" or "header" in names):
-        return "out"
-    if tag in _MAIN_TAGS or role in ("main", "article"):
-        return "main"
-    return around
+    def inside(self, tag: str, attrs: str, around: _Around) -> _Around:
+        """What holds inside an element that starts here."""
+        given: dict[str, str] = {}
+        if attrs:
+            for m in _ATTR.finditer(attrs):
+                if (name := m.group(1).lower()) in _ATTRS and name not in given:
+                    given[name] = (m.group(2) or "").strip("\"'").lower()
+        lang = given.get("lang", around.lang)[:2]
+        zone, doubts = around.zone, around.doubts
+        if zone != "out":
+            words = _names(given)
+            if self._outside(tag, given, words, zone):
+                zone = "out"
+            else:
+                if tag in _MAIN_TAGS or given.get("role") in ("main", "article"):
+                    zone = "main"
+                if tag not in ("html", "body") and (tag == "form" or words & _OUT_NAMES):
+                    doubts = (*doubts, len(self.doubts))
+                    self.doubts.append(_Doubt(bool(words & _OTHERS)))
+                if zone == "main" and (tag in _MAIN_TAGS or given.get("role") in ("main", "article")):
+                    self.mains += 1
+                    for k in doubts:
+                        self.doubts[k].mains += 1
+                        self.doubts[k].main_tags += tag == "main"
+        if zone == around.zone and doubts is around.doubts and lang == around.lang:
+            return around
+        return _Around(zone, doubts, lang)
+
+    def _outside(self, tag: str, given: dict[str, str], words: set[str], zone: str) -> bool:
+        if tag in _OUT_TAGS and tag != "form" or given.get("role", "") in _OUT_ROLES:
+            return True
+        if "hidden" in given or given.get("aria-hidden") == "true" or (
+                "display:none" in given.get("style", "").replace(" ", "")):
+            return True
+        return zone != "main" and (tag == "header" or "header" in words)
+
+    def settle(self) -> None:
+        """Blocks in an element that is outside after all are outside. It is not if the page's articles are all in
+        it, or most of the text; comments and links to other pages are so whatever they hold, but for the
+        page's own main element."""
+        total = sum(len(b.text) for b in self.blocks if b.zone != "out")
+        outside = [d.main_tags == 0 and (d.others or (not (self.mains and d.mains == self.mains)
+                                                      and 2 * d.chars <= total)) for d in self.doubts]
+        for block in self.blocks:
+            if any(outside[k] for k in block.doubts):
+                block.zone = "out"
+
+
+def _names(given: dict[str, str]) -> set[str]:
+    """The words of class and id values; without those of names that deny them (``no-sidebar``, ``ad-free``)."""
+    out: set[str] = set()
+    for name in f"{given.get('class', '')} {given.get('id', '')}".split():
+        words = _NAME.findall(name)
+        if _DENIALS.isdisjoint(words):
+            out.update(words)
+    return out
 
 
 def blocks(page: str) -> list[Block]:
@@ -231,9 +304,18 @@ def blocks(page: str) -> list[Block]:
         else:
             reader.start(tag, m.group("attrs"))
     reader.end_block()
+    reader.settle()
     return reader.blocks
 
 
+def told_by_stop_words(block: Block) -> bool:
+    """Whether stop words say anything of a block: it is not marked as of another language, and not written
+    in other letters than the known languages are."""
+    if block.lang and block.lang not in _LANGUAGES:
+        return False
+    return len(_OTHER_LETTERS.findall(block.text)) <= FOREIGN * len(block.text)
+
+
 def stop_share(text: str) -> float:
     words = _WORD.findall(text.lower())
     return sum(w in STOP_WORDS for w in words) / max(1, len(words))
@@ -253,7 +335,7 @@ def first_pass(block: Block, known: bool = True) -> bool | None:
         return False
     if size < SHORT:
         return None
-    if not known:
+    if not known or not told_by_stop_words(block):
         return True
     stops = stop_share(block.text)
     if stops >= MANY_STOPS or (size > LONG and stops >= FEW_STOPS):

@@ -96,3 +96,49 @@ def test_omitted_end_tags_close_their_own_list_alone():
     assert opened("table thead tr th tbody tr td") == ["table", "tbody", "tr", "td"]
     assert opened("p p div") == ["div"] and opened("dl dt dd p dt") == ["dl", "dt"]
     assert opened("div " * 500 + "p /div /div") == ["div"] * 498
+
+
+GOOD = "This is the text of the page and it has many of the words that are in a text. " * 2
+
+
+@pytest.mark.parametrize("around", [
+    '<div class="page no-sidebar"><article>{}</article></div>', '<article class="post has-sidebar">{}</article>',
+    '<div class="ad-free"><p>{}</div>', '<section aria-label="Hidden gems"><p>{}</section>',
+    '<article title="the hidden valley">{}</article>', '<div data-id="comments-1"><p>{}</div>',
+    '<form id="aspnetForm"><nav>Menu</nav><article>{}</article></form>',
+    '<div class="with-sidebar layout"><p>{}</div>', "<div data-class=sidebar data-role=banner><p>{}</div>",
+    '<div class="content-sidebar-wrap"><article>{}</article><div class="sidebar">Side</div></div>',
+    '<form><p>{}</form>', '<div id="widget-page"><main>{}</main></div>', '<div class="main sidebar-left">{}</div>'])
+def test_names_and_forms_about_the_page_do_not_hide_it(around):
+    page = f"<html><body><header>Site</header>{around.format(GOOD)}<footer>x</footer></body></html>"
+    assert main_text(page) == GOOD.strip()
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="sidebar">It is the best of all the pages in here.</div>', "<div class='ad'>Buy!</div>",
+    '<section class="comments"><article>' + GOOD * 9 + "</article></section>",
+    '<div class="related-posts"><article>More of it.</article></div>',
+    '<form action=x>Your name in the box, and then send it to us.</form>', '<p hidden>Not seen.</p>',
+    "<div id=cookie-notice>We use cookies.</div>", '<div role="banner">Site</div>',
+    '<div class="widget"><p>About the author and so on.</div>', "<p style='color:red; display: none'>Not seen.</p>"])
+def test_parts_that_are_not_the_article_go(part):
+    for page in (f"<article>{GOOD}</article>{part}", f"<main><p>{GOOD}</p>{part}</main>"):
+        assert main_text(f"<html><body>{page}</body></html>") == GOOD.strip()
+    if "comments" not in part:
+        assert main_text(f"<html><body><p>{GOOD}</p>{part}</body></html>") == GOOD.strip()
+
+
+POLISH = "Wczoraj wieczorem nad jeziorem spotkaliśmy się z przyjaciółmi, żeby porozmawiać o długiej podróży w góry. "
+JAPANESE = "昨日の夜、湖のほとりで友人たちと会い、山への長い旅について話しました。" * 4
+DUTCH = "Gisteren liepen wij langs het meer naar huis toe omdat onze vrienden daar voor ons hadden gekookt. " * 2
+
+
+def test_blocks_in_other_languages_stay_beside_known_ones():
+    english = f"<p>{GOOD}</p>"
+    for other in (POLISH * 3, JAPANESE):
+        assert main_text(f"{english}<p>{other}</p>{english}") == f"{GOOD.strip()}\n{other.strip()}\n{GOOD.strip()}"
+    marked = f'{english}<div lang="nl-NL"><p>{DUTCH}</p></div>'
+    assert main_text(marked) == f"{GOOD.strip()}\n{DUTCH.strip()}"
+    assert main_text(f'<html lang="nl"><p>{DUTCH}</p><p lang=en>{GOOD}</p>') == f"{DUTCH.strip()}\n{GOOD.strip()}"
+    junk = "buy now cheap pills discount offer deal sale " * 6
+    assert main_text(f"{english}<p>{junk}</p>{english}") == f"{GOOD.strip()}\n{GOOD.strip()}"
