@@ -1,14 +1,21 @@
 """Quality rules whose thresholds come from quantile sketches per language and source.
 
 Two fixed rules fail a document outright: fewer than 20 words, or over 30 % of its words inside
-8-word windows that the text holds twice or more. The others are relative: for every measure a
-mergeable quantile sketch (``percentile_approx``) per (language, source) gives quartiles, and a
-document fails where it lies over ``FENCE`` interquartile ranges beyond them, yet never by less
-than the measure's ``slack``. Quartiles stand unmoved while less than a quarter of a source is junk.
+8-word windows that the text holds twice or more. The others are relative: for every measure (a part of
+a whole, as capitals of letters) a mergeable quantile sketch (``percentile_approx``) per language and source gives
+median and quartiles, one per language those for small groups to lean on: a group of n rows counts n times,
+its language ``LEAN`` times. A fence stands ``FENCE`` times the spread (the way from the median to the
+quartile of its side, as a standard deviation) from the median. A document fails where it lies
+beyond a fence by more than chance makes its own share vary, three times the root of fence by whole. Median
+and quartiles stand nearly unmoved while less than a quarter of a group is junk.
+
+Symbols, marks and repeated lines are absent from most texts, so that sketches of them have no spread:
+``FLOORS`` keeps these three fences from falling to nothing. The other four (capitals, echoes, and word length on
+both sides) are the sketches' alone.
 
 Null text counts as empty (no words, so it fails); null language or source is a group of its own.
 Each row is judged alone: repeated rows and equal ids each give one row. An empty table gives an
-empty result. A group of few rows has the same rule; with equal values the slack alone decides.
+empty result. A group of few rows has the same rule; with equal values chance alone decides.
 Only id, text, language and source columns are read, so further columns cannot clash.
 """
 
@@ -25,17 +32,19 @@ from hiretide.llm.words import gram_hashes, split_words, word_hashes
 
 LEAST_WORDS, MOST_REPEATED_PCT, WINDOW = 20, 30, 8
 BATCH_BYTES = 8 << 20
-FENCE, ACCURACY = 3.0, 10_000
-#: Measure: the least distance beyond a quartile that counts, below it and above it (None: that
-#: side is not judged).
-MEASURES: dict[str, tuple[float | None, float | None]] = {
-    "symbol_share": (None, 0.05),
-    "mark_share": (None, 0.05),
-    "upper_share": (None, 0.3),
-    "dup_line_share": (None, 0.4),
-    "echo_share": (None, 0.2),
-    "word_length": (1.5, 3.0),
+FENCE, CHANCE, LEAN, ACCURACY = 6.0, 3.0, 50, 10_000
+QUARTILE = 0.6745  # standard deviations from the median of a normal distribution to its quartiles
+#: Measure: its part, its whole, and whether it is judged below and above.
+MEASURES: dict[str, tuple[str, str, bool, bool]] = {
+    "symbol_share": ("n_symbols", "word_chars", False, True),
+    "mark_share": ("n_marks", "word_chars", False, True),
+    "upper_share": ("n_upper", "n_cased", False, True),
+    "dup_line_share": ("n_dup_lines", "n_lines", False, True),
+    "echo_share": ("n_echoes", "n_words", False, True),
+    "word_length": ("word_chars", "n_words", True, True),
 }
+#: The least fences of measures that most texts do not have at all.
+FLOORS = {"symbol_share": 0.05, "mark_share": 0.05, "dup_line_share": 0.4}
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -120,45 +129,53 @@ def quality_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def with_measures(counts: DataFrame) -> DataFrame:
-    def share(part, whole):
-        return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
-
     return counts.withColumns({
         "base_failed": (F.col("n_words") < LEAST_WORDS)
         | (100 * F.col("n_repeat_words") > MOST_REPEATED_PCT * F.col("n_words")),
-        "symbol_share": share("n_symbols", "word_chars"),
-        "mark_share": share("n_marks", "word_chars"),
-        "upper_share": share("n_upper", "n_cased"),
-        "dup_line_share": share("n_dup_lines", "n_lines"),
-        "echo_share": share("n_echoes", "n_words"),
-        "word_length": share("word_chars", "n_words"),
-    })
+        **{m: F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
+           for m, (part, whole, _, _) in MEASURES.items()}})
 
 
 def thresholds(measured: DataFrame, group_cols: tuple[str, ...] = ("lang", "source"),
                fence: float = FENCE) -> DataFrame:
-    """One row per group: the columns of the group, and ``<measure>_low`` and ``_high``."""
-    quartiles = measured.groupBy(*group_cols).agg(*(
-        F.percentile_approx(m, [0.25, 0.75], ACCURACY).alias(m) for m in MEASURES))
+    """One row per group (the last of its columns within the others): the columns of the group, and
+    ``<measure>_low`` and ``_high``."""
+    def sketched(by: tuple[str, ...], name: str) -> DataFrame:
+        return measured.groupBy(*by).agg(F.count("*").alias(f"n_{name}"), *(
+            F.percentile_approx(m, [0.25, 0.5, 0.75], ACCURACY).alias(f"{m}_{name}") for m in MEASURES))
+
+    wider = group_cols[:-1] or group_cols
+    own = sketched(group_cols, "own")
+    wide = sketched(wider, "wide")
+    wide = wide.toDF(*(f"__wide_{c}" for c in wider), *wide.columns[len(wider):])
+    on = [F.col(c).eqNullSafe(F.col(f"__wide_{c}")) for c in wider]
+    both = own.join(wide, on, "left")
+
+    def leaning(m: str, i: int) -> Column:
+        n = F.col("n_own")
+        return (n * F.col(f"{m}_own")[i] + LEAN * F.col(f"{m}_wide")[i]) / (n + LEAN)
+
     bounds = []
-    for m, (below, above) in MEASURES.items():
-        low, high = F.col(m)[0], F.col(m)[1]
-        reach = (high - low) * F.lit(fence)
-        if below is not None:
-            bounds.append((low - F.greatest(reach, F.lit(below))).alias(f"{m}_low"))
-        if above is not None:
-            bounds.append((high + F.greatest(reach, F.lit(above))).alias(f"{m}_high"))
-    return quartiles.select(*group_cols, *bounds)
+    for m, (_, _, below, above) in MEASURES.items():
+        low, middle, high = (leaning(m, i) for i in range(3))
+        if below:
+            bounds.append((middle - (middle - low) * F.lit(fence / QUARTILE)).alias(f"{m}_low"))
+        if above:
+            bounds.append(F.greatest(middle + (high - middle) * F.lit(fence / QUARTILE),
+                                     F.lit(FLOORS.get(m, 0.0))).alias(f"{m}_high"))
+    return both.select(*group_cols, *bounds)
 
 
 def _failed() -> Column:
-    """Names of the bounds that a row lies beyond."""
+    """Names of the bounds that a row lies beyond, by more than chance."""
     out = []
-    for m, (below, above) in MEASURES.items():
-        if below is not None:
-            out.append(F.when(F.col(m) < F.col(f"{m}_low"), F.lit(f"{m}_low")))
-        if above is not None:
-            out.append(F.when(F.col(m) > F.col(f"{m}_high"), F.lit(f"{m}_high")))
+    for m, (_, whole, below, above) in MEASURES.items():
+        for side, judged in (("low", below), ("high", above)):
+            if judged:
+                bound = F.col(f"{m}_{side}")
+                chance = F.lit(CHANCE) * F.sqrt(F.greatest(bound, F.lit(0.0)) / F.col(whole))
+                beyond = F.col(m) < bound - chance if side == "low" else F.col(m) > bound + chance
+                out.append(F.when((F.col(whole) > 0) & beyond, F.lit(f"{m}_{side}")))
     return F.array_compact(F.array(*out))
 
 
@@ -192,13 +209,13 @@ def keep_good(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             counts = measure(part.column(at[-1]))
             yield [*part.columns, *(pa.array(counts[c]) for c in COUNTS)]
 
-    # Positions instead of names: a column of the table may be called like a count.
+    # Positions instead of names: a column of the table may be called like a count. Texts are measured once:
+    # rows are stored with their counts, which the sketches read alone.
     plain = df.toDF(*(f"c{i}" for i in range(len(names))))
-    measured = with_measures(arrow_map(plain, run, [
-        *((c, type_of(plain, c)) for c in plain.columns), *((c, T.LongType()) for c in COUNTS)]))
+    measured = with_measures(stored(arrow_map(plain, run, [
+        *((c, type_of(plain, c)) for c in plain.columns), *((c, T.LongType()) for c in COUNTS)]), "quality"))
     groups = tuple(f"c{i}" for i in at[:-1])
-    counts = stored(quality_counts(df, id_col, text_col, group_cols), "quality")
-    limits = thresholds(with_measures(counts), group_cols, fence)
+    limits = thresholds(measured, groups, fence)
     limits = limits.toDF(*(f"__{g}" for g in groups), *limits.columns[len(groups):])
     joined = measured.join(limits, [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in groups], "left")
     return joined.filter(_passes()).select(

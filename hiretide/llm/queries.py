@@ -22,33 +22,25 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The texts as they are left, and how many chunks went."""
+    """The texts as they are left, and how many lines went."""
     return line_dedup.dedup_lines(documents(spark, sf_dir), count_col="n_removed").select(
         "doc_id", "n_removed", "text")
 
 
-OP3_SQL = rf"""
-WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
-               WHERE text IS NOT NULL),
+OP3_SQL = r"""
+WITH texts AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
 lines AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM texts),
-hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
-marked AS (SELECT *, (h + {line_dedup.MULTIPLIER} * coalesce(lag(h) OVER w, 0))
-                     % {line_dedup.MODULUS} % {line_dedup.MEAN_LINES} = 0 AS ends
-           FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-placed AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM marked),
-chunks AS (SELECT doc_id, k, string_agg(line, chr(10) ORDER BY i) AS chunk,
-                  count(*) FILTER (regexp_matches(line, '[^ 	
-
-]')) AS solid
-           FROM placed GROUP BY doc_id, k),
-ranked AS (SELECT *, solid >= {line_dedup.LEAST_LINES} AND row_number() OVER (
-                  PARTITION BY chunk ORDER BY doc_id, k) > 1 AS gone FROM chunks)
-SELECT d.doc_id, coalesce(r.n, 0) AS n_removed, CASE WHEN r.n > 0 THEN r.rest ELSE d.text END AS text
-FROM documents d LEFT JOIN (
-    SELECT doc_id, count(*) FILTER (gone) AS n,
-           coalesce(string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT gone), '') AS rest
-    FROM ranked GROUP BY doc_id) r ON d.doc_id = r.doc_id
+solid AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM lines
+          WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+pairs AS (SELECT s.doc_id, i, j, array_to_string(lines[i:j], chr(10)) AS pair
+          FROM solid s JOIN texts t ON s.doc_id = t.doc_id WHERE j IS NOT NULL),
+later AS (SELECT doc_id, i, j FROM pairs QUALIFY row_number() OVER (PARTITION BY pair ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, j + 1)) AS i FROM later),
+rest AS (SELECT l.doc_id, count(g.i) AS n,
+                coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (g.i IS NULL), '') AS text
+         FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(r.n, 0) AS n_removed, CASE WHEN r.n > 0 THEN r.text ELSE d.text END AS text
+FROM documents d LEFT JOIN rest r ON d.doc_id = r.doc_id
 """
 
 
@@ -161,23 +153,26 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _quality_sql() -> str:
-    """The counts, the quartiles of each language and source, and the fences about them."""
+    """The counts, the quartiles of each language and source leaning on the language's, and the fences."""
     kind = "[^{0}]"
     count = lambda chars: f"length(regexp_replace(t, '{kind.format(chars)}', '', 'g'))"
     share = lambda part, whole: f"CASE WHEN {whole} > 0 THEN {part} / {whole} ELSE 0.0::DOUBLE END"
-    shares = {"symbol_share": ("n_symbols", "word_chars"), "mark_share": ("n_marks", "word_chars"),
-              "upper_share": ("n_upper", "n_cased"), "dup_line_share": ("n_dup_lines", "n_lines"),
-              "echo_share": ("n_echoes", "n_words"), "word_length": ("word_chars", "n_words")}
-    quartiles, failed = [], []
-    for name, (below, above) in quality.MEASURES.items():
-        quartiles.append(f"quantile_disc({name}, 0.25) AS {name}_a, quantile_disc({name}, 0.75) AS {name}_b")
-        reach = f"({name}_b - {name}_a) * {quality.FENCE}::DOUBLE"
-        if below is not None:
-            failed.append(f"CASE WHEN {name} < {name}_a - greatest({reach}, {below}::DOUBLE) "
-                          f"THEN '{name}_low' END")
-        if above is not None:
-            failed.append(f"CASE WHEN {name} > {name}_b + greatest({reach}, {above}::DOUBLE) "
-                          f"THEN '{name}_high' END")
+    shares = {m: (part, whole) for m, (part, whole, _, _) in quality.MEASURES.items()}
+    sketches = ", ".join(f"quantile_disc({m}, [0.25, 0.5, 0.75]) AS {m}_q" for m in shares)
+    leaning = lambda m, i: (f"((o.n * o.{m}_q[{i}] + {quality.LEAN} * w.{m}_q[{i}]) / (o.n + {quality.LEAN}))")
+    reach = f"{quality.FENCE / quality.QUARTILE!r}::DOUBLE"
+    bounds, failed = [], []
+    for m, (_, whole, below, above) in quality.MEASURES.items():
+        low, middle, high = (leaning(m, i) for i in (1, 2, 3))
+        if below:
+            bounds.append(f"{middle} - ({middle} - {low}) * {reach} AS {m}_low")
+            failed.append((m, "low", f"{m} < {m}_low - {{}}", whole))
+        if above:
+            bounds.append(f"greatest({middle} + ({high} - {middle}) * {reach}, "
+                          f"{quality.FLOORS.get(m, 0.0)}::DOUBLE) AS {m}_high")
+            failed.append((m, "high", f"{m} > {m}_high + {{}}", whole))
+    failed = [f"CASE WHEN {w} > 0 AND {test.format(f'{quality.CHANCE}::DOUBLE * sqrt(greatest({m}_{side}, 0) / {w})')} "
+              f"THEN '{m}_{side}' END" for m, side, test, w in failed]
     n = quality.WINDOW
     return rf"""
 WITH texts AS (
@@ -202,7 +197,9 @@ counts AS (
 measured AS (SELECT *, n_words < {quality.LEAST_WORDS}
     OR 100 * n_repeat_words > {quality.MOST_REPEATED_PCT} * n_words AS base_failed,
     {", ".join(f"{share(*parts)} AS {name}" for name, parts in shares.items())} FROM counts),
-limits AS (SELECT lang, source, {", ".join(quartiles)} FROM measured GROUP BY lang, source),
+own AS (SELECT lang, source, count(*) AS n, {sketches} FROM measured GROUP BY lang, source),
+wide AS (SELECT lang, {sketches} FROM measured GROUP BY lang),
+limits AS (SELECT o.lang, o.source, {", ".join(bounds)} FROM own o JOIN wide w ON o.lang IS NOT DISTINCT FROM w.lang),
 judged AS (SELECT m.*, list_filter([{", ".join(failed)}], lambda x: x IS NOT NULL) AS failed
   FROM measured m JOIN limits l ON m.lang IS NOT DISTINCT FROM l.lang
     AND m.source IS NOT DISTINCT FROM l.source)

@@ -93,7 +93,7 @@ def test_stages_take_odd_rows(spark, edge_docs, no_docs):
 
 def test_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and names >= set(entry.oracle_sql())
 
 

@@ -1,4 +1,3 @@
-import hashlib
 import random
 
 import pytest
@@ -7,35 +6,26 @@ from oracle import connect, difference
 from hiretide.llm import line_dedup, queries
 
 
-def chunks(text):
-    lines = text.split("\n")
-    hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-    out, own = [], []
-    for i, line in enumerate(lines):
-        own.append(line)
-        rolled = hashes[i] + line_dedup.MULTIPLIER * (hashes[i - 1] if i else 0)
-        if rolled % line_dedup.MODULUS % line_dedup.MEAN_LINES == 0:
-            out.append(own)
-            own = []
-    return [("\n".join(c), sum(bool(x.strip(" \t\n\x0b\x0c\r")) for x in c)) for c in out + [own] if c]
+def pairs(lines):
+    """(first place, last place, text) of neighbouring lines with a word."""
+    solid = [i for i, x in enumerate(lines) if x.strip(" \t\n\x0b\x0c\r")]
+    return [(i, j, "\n".join(lines[i:j + 1])) for i, j in zip(solid, solid[1:])]
 
 
 def brute(rows):
-    """Texts and counts of (id, text) rows; rows of one id are one document."""
-    seen, out = {}, []
-    for ident, text in sorted((r for r in rows if r[0] is not None and r[1] is not None),
-                              key=lambda r: r[0]):
-        for k, (chunk, lines) in enumerate(chunks(text)):
-            if lines >= line_dedup.LEAST_LINES:
-                seen.setdefault(chunk, (ident, k))
+    """Texts and numbers of lines that went of (id, text) rows; equal rows are one document."""
+    places = {}
+    for ident, text in {r for r in rows if r[0] is not None and r[1] is not None}:
+        for k, (_, _, pair) in enumerate(pairs(text.split("\n"))):
+            places.setdefault(pair, set()).add((ident, k))
+    out = []
     for ident, text in rows:
-        if ident is None or text is None:
-            out.append((ident, text, 0))
-            continue
-        kept = [c for k, (c, lines) in enumerate(chunks(text))
-                if lines < line_dedup.LEAST_LINES or seen[c] == (ident, k)]
-        gone = len(chunks(text)) - len(kept)
-        out.append((ident, "\n".join(kept) if gone else text, gone))
+        gone = set()
+        lines = [] if ident is None or text is None else text.split("\n")
+        for k, (i, j, pair) in enumerate(pairs(lines)):
+            if min(places[pair]) != (ident, k):
+                gone |= set(range(i, j + 1))
+        out.append((ident, "\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else text, len(gone)))
     return sorted(out, key=str)
 
 
@@ -62,9 +52,49 @@ def test_bounds_move_with_the_passage(spark):
     passage = "\n".join(f"line {i} of a long passage" for i in range(60))
     rows = [(1, passage), (2, "other start\n" + passage + "\nother end"), (3, "x\ny\nz\n" + passage)]
     left = {r[0]: r[1] for r in spark_rows(spark.createDataFrame(rows, "doc_id long, text string"))}
-    assert left[1] == passage
-    assert left[2].startswith("other start") and left[2].endswith("other end")
-    assert len(left[2]) < 0.4 * len(passage) and len(left[3]) < 0.4 * len(passage)
+    assert left == {1: passage, 2: "other start\nother end", 3: "x\ny\nz"}
+
+
+@pytest.mark.parametrize("n", [2, 3, 5])
+def test_short_passages_go_whole_wherever_they_stand(spark, n):
+    passage = [f"sentence {i} of it has some words" for i in range(n)]
+    rows = [(1, "\n".join(passage))]
+    for i in range(2, 30):
+        own = [f"own {i} {k}" for k in range(i % 5)]
+        gaps = ["", "  "][:i % 3]  # lines without a word inside, which make it another passage
+        rows.append((i, "\n".join(own[:2] + passage[:1] + gaps + passage[1:] + own[2:])))
+    for i, text, gone in spark_rows(spark.createDataFrame(rows, "doc_id long, text string")):
+        if i > 1 and i % 3 == 0:
+            assert gone == n and all(line.startswith("own") for line in text.split("\n") if line)
+        assert i > 1 or not gone
+
+
+def test_what_goes_stands_in_an_earlier_text(spark, docs):
+    left = {r[0]: r[1] for r in spark_rows(docs.select("doc_id", "text"))}
+    lines = {x for t in left.values() if t for x in t.split("\n")}
+    assert {x for r in docs.collect() if r.text for x in r.text.split("\n") if x.strip()} <= lines
+
+
+def test_few_repeated_pairs_are_left(spark):
+    """Later copies of two neighbouring lines that both are still there, of those there were."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    left = {r[0]: set((r[1] or "").split("\n")) for r in spark_rows(docs)}
+    first, later, stay = {}, 0, 0
+    for ident, text in sorted(tuple(r) for r in docs.collect()):
+        lines = (text or "").split("\n")
+        for i, j, pair in pairs(lines):
+            if first.setdefault(pair, ident) != ident:
+                later += 1
+                stay += lines[i] in left[ident] and lines[j] in left[ident]
+    assert later > 500 and stay < 0.01 * later
+
+
+def test_hashes_that_meet_take_nothing_else_out(spark, monkeypatch):
+    """Equal hashes of different lines in rows of one id: the hash at the place decides."""
+    rows = [(1, "a b\nc d\ne f"), (2, "a b\nc d"), (2, "x y\nz w"), (2, "q r\na b\nc d")]
+    got = spark_rows(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows) and ("2", 0) not in got
+    assert {r[1] for r in got} == {"a b\nc d\ne f", "", "x y\nz w", "q r"}
 
 
 def test_edges(edge_docs, no_docs):
