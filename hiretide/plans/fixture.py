@@ -73,7 +73,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 def clean(spark: SparkSession) -> None:
     """Remove what queries of this application have written; their results cannot be read then."""
-    folders.remove(spark, folders.scratch(spark))
+    folders.clear_scratch(spark)
 
 
 #: Files a micro-batch of the derived stream reads, however many there are.

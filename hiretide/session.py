@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # Python workers get long texts in batches of this many bytes, however many rows that is.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
     # State of the windowed counts off the heap, so its size is not bound by it.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -75,4 +75,9 @@ def scratch(spark: SparkSession) -> str:
     return path
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the application's intermediate tables. Results that have not been written cannot be read then."""
+    remove(spark, scratch(spark))
+
+
 _AT_EXIT: set[str] = set()
