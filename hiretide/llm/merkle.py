@@ -16,8 +16,9 @@ Places within a source come from one range partitioned sort: a row's place in it
 counts per partition and source, so a source that holds most rows is spread over many tasks. Text is hashed
 where it is read and goes nowhere else.
 
-Null columns are framed as ``-``, empty texts as ``0:``. Null ids stand first in their source; repeated ids stand by their leaf digests, equal rows are equal leaves of
-their own. Columns of other names do not matter. An empty table has no rows and no root.
+Null columns are framed as ``-``, empty texts as ``0:``. Null ids stand first in their source; repeated ids stand
+by their leaf digests, equal rows are equal leaves of their own. Columns of other names do not matter. An
+empty table has no rows and no root.
 """
 
 from __future__ import annotations
