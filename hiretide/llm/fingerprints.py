@@ -10,8 +10,8 @@ again counts as another one, by its number), so that the share of equal bands te
 
 ``KEYS`` keys of four bands each, every band in two of them, name candidates (``links``): rows that agree in
 a key. At first each key has one of its rows as hub, which differs from key to key; all rows of the key
-meet it and no other, and the pair is verified on the whole fingerprints. Rows unlike their hub meet two
-others in the next round, then four, and so on, until each has been like one, or has been one. So a group of n
+meet it and no other, and the pair is verified on the whole fingerprints. Rows unlike their hub meet up to 16
+others in the next round, then 256, and so on, until each has been like one, or has been one. So a group of n
 near copies makes about n pairs a key and not n * n, rows that share a key and nothing else are done in log n
 rounds, and no key is gathered in a task. Two rows that are both like a
 hub have a class in common by it and are not compared. A pair of likeness s has no key in common, and may be
@@ -46,6 +46,7 @@ GROUP, STRETCH = 8, 2  # a band samples one step of a group, in one of two stret
 STEPS = 3 * MOST
 BATCH_CHARS = 3 << 20
 BANDS_PER_KEY, SIMILAR = 4, 0.6
+MORE_HUBS = 16  # times as many in each round
 #: Bands of each key: runs of four, and every sixteenth.
 KEYS = [[*range(i, i + BANDS_PER_KEY)] for i in range(0, BANDS, BANDS_PER_KEY)] + [
     [*range(i, BANDS, BANDS // BANDS_PER_KEY)] for i in range(BANDS // BANDS_PER_KEY)]
@@ -220,7 +221,7 @@ def row_links(one: DataFrame, least: float = SIMILAR) -> DataFrame:
         active = stored(rest, "keys")
         if active.isEmpty():
             break
-        parts *= 2
+        parts *= MORE_HUBS
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
