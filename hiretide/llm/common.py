@@ -16,6 +16,10 @@ from hiretide.llm.words import text_bytes
 from hiretide.sources.folders import scratch
 
 
+#: Rows of long texts go to Python workers in batches of so many bytes.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: lineage ends here, so a lost
     executor costs a read and not the work before it."""
@@ -26,11 +30,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def code_path(spark: SparkSession) -> None:
     """Lets Python workers on this machine import the package from where the driver has it; a
-    cluster installs it, or gets it by ``--py-files``."""
+    cluster installs it, or gets it by ``--py-files``. Batches that go to them are bounded by bytes, unless
+    the session has a bound of its own."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, root)))
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

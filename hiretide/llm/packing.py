@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from hiretide.llm.common import by_bytes, code_path, type_of
 from hiretide.llm.token_counts import _json_tokenizer
-from hiretide.llm.words import Words, split_words, word_hashes
+from hiretide.llm.words import Words, blocks, split_words, word_hashes
 
 SEQUENCE, END_ID = 4096, 2
 BLOCK_TOKENS, QUADRATIC = 4 << 20, 2048.0
@@ -117,9 +117,8 @@ class WordEncoder:
         """The words that are not, byte by byte, the known ones at ``at``."""
         size, begin = w.stop - w.start, self.bytes_ends[at]
         same = size == self.bytes_ends[at + 1] - begin
-        block = 1 << 18
-        for a in range(0, len(same), block):  # bounded extra memory
-            own = np.flatnonzero(same[a:a + block]) + a
+        for a, b in blocks(w):
+            own = np.flatnonzero(same[a:b]) + a
             first = np.cumsum(size[own]) - size[own]
             step = np.arange(int(size[own].sum())) - np.repeat(first, size[own])
             unlike = w.data[step + np.repeat(w.start[own], size[own])] != self.bytes[

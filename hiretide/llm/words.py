@@ -8,6 +8,7 @@ arrangement of letters makes sums meet, as it does where a place is a factor.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -72,20 +73,33 @@ def split_words(column: pa.Array) -> Words:
     return Words(data, ends, start, stop, np.searchsorted(start, ends))
 
 
+def blocks(w: Words, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """Ranges of words that have about ``most`` bytes together, or one word: bounded extra memory for
+    what is worked out by byte."""
+    ends = np.cumsum(w.stop - w.start)
+    a = 0
+    while a < len(ends):
+        done = int(ends[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield a, b
+        a = b
+
+
 def word_hashes(w: Words, lower: bool) -> np.ndarray:
     """One hash per word; with ``lower``, A-Z count as a-z."""
     out = np.empty(len(w.start), np.uint64)
-    table, block = (_LOWER if lower else _BYTE), 1 << 18
-    for a in range(0, len(out), block):  # bounded extra memory for a long text, too
-        start, stop = w.start[a:a + block], w.stop[a:a + block]
-        size = stop - start
+    table = _LOWER if lower else _BYTE
+    for a, b in blocks(w):
+        start, size = w.start[a:b], w.stop[a:b] - w.start[a:b]
         at = np.cumsum(size) - size
         place = np.arange(int(size.sum())) - np.repeat(at, size)
-        values = table[(place & (PLACES - 1)) << 8 | w.data[place + np.repeat(start, size)]]
+        code = w.data[place + np.repeat(start, size)].astype(np.int64)
+        code += (place & (PLACES - 1)) << 8
+        values = table[code]
         far = np.flatnonzero(place >= PLACES)  # no other value changes
         if len(far):
             values[far] = mix(values[far] + (place[far] // PLACES).astype(np.uint64) * _STEP)
-        out[a:a + block] = mix(np.add.reduceat(values, at)) if len(size) else 0
+        out[a:b] = mix(np.add.reduceat(values, at))
     return out
 
 
