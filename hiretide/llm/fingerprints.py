@@ -8,14 +8,14 @@ in few places: edit distance becomes Hamming distance. Each of ``BANDS`` bands s
 walk, and a fingerprint holds for each band the least hash over the text's segments (a segment that comes
 again counts as another one, by its number), so that the share of equal bands tells how alike two texts are.
 
-``KEYS`` keys of four bands each, every band in two of them, name candidates (``links``): rows that agree in
+``KEYS``, 32 keys of five bands each, every band in two or three of them, name candidates (``links``): rows that agree in
 a key. At first each key has one of its rows as hub, which differs from key to key; all rows of the key
 meet it and no other, and the pair is verified on the whole fingerprints. Rows unlike their hub meet up to 16
 others in the next round, then 256, and so on, until each has been like one, or has been one. So a group of n
 near copies makes about n pairs a key and not n * n, rows that share a key and nothing else are done in log n
 rounds, and no key is gathered in a task. Two rows that are both like a
 hub have a class in common by it and are not compared. A pair of likeness s has no key in common, and may be
-missed, with a chance of about (1 - s ** 4) ** 32: 1 % at ``SIMILAR``, 0.02 % at 0.7.
+missed, with a chance of about (1 - s ** 5) ** 32: 7 % at ``SIMILAR``, 0.3 % at 0.7.
 
 Null text counts as empty; the empty text's fingerprint is all zeros, equal texts have equal ones.
 Each row is fingerprinted alone; texts of any length are walked whole, in memory bounded by
@@ -45,11 +45,10 @@ LEAST, MEAN, MOST = 10, 16, 64  # characters of a segment
 GROUP, STRETCH = 8, 2  # a band samples one step of a group, in one of two stretches of 2 groups
 STEPS = 3 * MOST
 BATCH_CHARS = 3 << 20
-BANDS_PER_KEY, SIMILAR = 4, 0.6
+BANDS_PER_KEY, SIMILAR = 5, 0.6
 MORE_HUBS = 16  # times as many in each round
-#: Bands of each key: runs of four, and every sixteenth.
-KEYS = [[*range(i, i + BANDS_PER_KEY)] for i in range(0, BANDS, BANDS_PER_KEY)] + [
-    [*range(i, BANDS, BANDS // BANDS_PER_KEY)] for i in range(BANDS // BANDS_PER_KEY)]
+#: Bands of each key: every 13th from an even one on, so that each band is in two keys or three.
+KEYS = [[(2 * k + 13 * j) % BANDS for j in range(BANDS_PER_KEY)] for k in range(BANDS // 2)]
 
 _RNG = np.random.Generator(np.random.PCG64(20240607))
 _MOVE = _RNG.integers(0, 2, (STEPS, 256), dtype=np.int32)  # of the shared walk

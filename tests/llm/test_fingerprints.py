@@ -142,14 +142,15 @@ def test_every_link_of_likeness_three_quarters_is_found(spark):
 def test_rows_unlike_the_hub_of_their_key_meet_each_other(spark):
     chosen = random.Random(4)
     draw = lambda n: [chosen.randrange(1, 1 << 16) for _ in range(n)]
-    shared, rows = draw(fp.BANDS_PER_KEY), []  # one hot key: all rows agree in the first run
+    shared, rows = draw(fp.BANDS_PER_KEY), []  # one hot key: all rows agree in it
     for family in range(40):
-        own = draw(fp.BANDS - fp.BANDS_PER_KEY)
+        own = draw(fp.BANDS)
         for copy in range(3):
-            # Copies differ in a place of each other key, so that no other one brings them together.
             new = [chosen.randrange(1, 1 << 16) if i % 4 == (i // 4 + copy) % 4 and copy else x
                    for i, x in enumerate(own)]
-            rows.append((3 * family + copy, [*shared, *new]))
+            for band, x in zip(fp.KEYS[0], shared):
+                new[band] = x
+            rows.append((3 * family + copy, new))
     found = fp.with_neighbours(given(spark, rows)).collect()
     assert all(r.class_id == r.doc_id // 3 * 3 for r in found)
     assert all(r.link_id // 3 == r.doc_id // 3 and r.link_near >= fp.SIMILAR for r in found)
