@@ -2,6 +2,7 @@ import random
 
 import pytest
 from oracle import connect, difference
+from pyspark.sql import functions as F
 
 from hiretide.llm import line_dedup, queries
 
@@ -97,6 +98,27 @@ def test_hashes_that_meet_take_nothing_else_out(spark, monkeypatch):
     assert {r[1] for r in got} == {"a b\nc d\ne f", "", "x y\nz w", "q r"}
 
 
+def test_chunks_are_bounded_by_their_own_lines(spark):
+    """Chunks inside a passage are the same whatever stands around it, and longer than a pair."""
+    passage = [f"line {i} of a long passage" for i in range(200)]
+    rows = [(1, "\n".join(passage)), (2, "\n".join(["other", "start", *passage, "end"]))]
+    df = spark.createDataFrame(rows, "id long, text string")
+    found = {r.id: [bytes(c.hash) for c in r["__chunks"]]
+             for r in line_dedup.with_chunks(df, df.text).collect()}
+    assert 20 < len(found[1]) < 100
+    assert set(found[1][1:-1]) <= set(found[2])
+    again = line_dedup.repeated_places(df.toDF("__id", "__text")).collect()
+    assert {r["__id"] for r in again} == {2} and max(r["__size"] for r in again) > 1
+    assert sum(r["__size"] for r in again) == len(passage) - 1
+
+
+def test_bytes_decide_under_an_equal_hash(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_digest", lambda text: F.sha2(F.substring(text, 1, 0), 256))
+    rows = [(1, "a b\nc d"), (2, "x y\nz w"), (3, "a b\nc d"), (4, "q r\na b\nc d\ne f")]
+    got = {r[0]: r[1:] for r in spark_rows(spark.createDataFrame(rows, "doc_id long, text string"))}
+    assert got[1] == ("a b\nc d", 0) and got[2] == ("x y\nz w", 0) and got[3] == ("", 2)
+
+
 def test_edges(edge_docs, no_docs):
     assert spark_rows(edge_docs) == brute([(r.doc_id, r.text) for r in edge_docs.collect()])
     out = line_dedup.dedup_lines(edge_docs)
