@@ -4,6 +4,10 @@ Each pattern is filed under one key, of the pieces it is made of the one that th
 its runs of three letters (shorter patterns: all of it), or, for whole words, of its words. A text is
 broken into its distinct pieces once; those that are keys lead to the patterns filed there, and only these
 are looked for in the text. So the work follows the texts and what they may hold, not texts times patterns.
+
+A pattern that is a run of letters, digits and ``_`` stands inside one of the text's words. It is filed under
+itself, and the text is broken into its distinct words, or into what these hold of the patterns' lengths: an
+equal key is the pattern, so nothing is looked for in the text, which stays where it is.
 """
 
 from __future__ import annotations
@@ -16,12 +20,13 @@ PIECE = 3
 #: patterns are shuffled by key.
 MOST_BROADCAST = 64 << 20
 WORD = r"\w+"
+LONG_WORD = 64
 
 
 def _pieces(text: Column, match: str, sizes: list[int]) -> Column:
     """The distinct pieces of a text; runs of letters overlap, so they are read by looking ahead."""
     if match == "word":
-        return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?U)({WORD})"), F.lit(1)))
+        return _words(text)
     found = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]
     return F.array_distinct(F.concat(*found)) if found else F.array().cast("array<string>")
 
@@ -48,6 +53,26 @@ def filed(patterns: DataFrame, pattern: str = "pattern", match: str = "substring
     return rows.drop("__piece").join(rare, F.col(pattern) == F.col("__own")).drop("__own")
 
 
+def _words(text: Column) -> Column:
+    """The distinct words of a text, the runs of letters, digits and ``_``."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?U)({WORD})"), F.lit(1)))
+
+
+def _runs(words: Column, sizes: list[int]) -> Column:
+    """What ``words`` hold of these lengths, each once."""
+    def of(n: int) -> Column:
+        # A place in a word is counted from its beginning, which for long ones takes longer than reading ahead.
+        ahead = F.lit(f"(?s)(?=(.{{{n}}}))")
+        inside = F.transform(F.filter(words, lambda w: F.length(w) >= n), lambda w: F.when(
+            F.length(w) <= LONG_WORD, F.transform(F.sequence(F.lit(1), F.length(w) - (n - 1)),
+                                                  lambda i: F.substring(w, i, F.lit(n)))).otherwise(
+            F.regexp_extract_all(w, ahead, F.lit(1))))
+        return F.flatten(inside)
+
+    found = [of(n) for n in sizes]
+    return F.array_distinct(F.concat(*found))
+
+
 def find_patterns(df: DataFrame, patterns: DataFrame, text: str, pattern: str = "pattern",
                   match: str = "substring", most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """One row for each row of ``df`` and pattern in its ``text``: the columns of ``df`` but the text, and those of
@@ -55,27 +80,49 @@ def find_patterns(df: DataFrame, patterns: DataFrame, text: str, pattern: str =
 
     ``match="word"``: the pattern has no letter, digit or ``_`` before or behind it. Patterns up to
     ``most_broadcast`` bytes are sent to the tasks and nothing is shuffled; beyond, pieces are dealt by key
-    and candidates meet their texts again by row, each text crossing once.
+    and candidates of more than a word meet their texts again by row, each text crossing once.
     """
     if match not in ("substring", "word"):
         raise ValueError(f"match must be 'substring' or 'word', not {match!r}")
     if shared := {c.lower() for c in df.columns} & {c.lower() for c in patterns.columns}:
         raise ValueError(f"columns of both: {sorted(shared)}")
+    is_run = F.regexp_like(F.col(pattern), F.lit(rf"(?U)\A{WORD}\z"))
     length = F.least(F.length(pattern), F.lit(PIECE))
-    sizes, size = patterns.filter(F.col(pattern) != "").agg(
-        F.collect_set(length), F.sum(F.octet_length(F.to_json(F.struct("*"))) + PIECE)).first()
-    sizes, size = sorted(sizes), size or 0
-    index = filed(patterns, pattern, match)
+    runs, sizes, size = patterns.filter(F.col(pattern) != "").agg(
+        F.collect_set(F.when(is_run, F.length(pattern))), F.collect_set(F.when(~is_run, length)),
+        F.sum(F.octet_length(F.to_json(F.struct("*"))) + PIECE)).first()
+    small = (size or 0) <= most_broadcast
     kept = [c for c in df.columns if c != text]
-    found = _held(F.col("__text"), F.col(pattern), match)
     rows = df.select(*kept, F.col(text).alias("__text"))
-    if size <= most_broadcast:
+    found = []
+    if runs or not sizes:
+        keys = _words(F.col("__text"))
+        if match == "substring":
+            # A step of its own: the words are used once for each length.
+            keys, rows_of = _runs(F.col("__words"), sorted(runs) or [1]), rows.withColumn("__words", keys)
+        else:
+            rows_of = rows
+        pieces = rows_of.select(*kept, F.explode(keys).alias("__key"))
+        index = patterns.filter(is_run).withColumn("__key", F.col(pattern))
+        met = pieces.join(F.broadcast(index) if small else index, "__key")
+        found.append(met.select(*kept, *patterns.columns))
+    if sizes:
+        index = filed(patterns.filter(~is_run), pattern, match)
+        found.append(_candidates(rows, index, kept, patterns.columns, match, sorted(sizes), pattern, small))
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
+def _candidates(rows: DataFrame, index: DataFrame, kept: list[str], own: list[str], match: str,
+                sizes: list[int], pattern: str, small: bool) -> DataFrame:
+    """Patterns of ``index`` that a piece of a text leads to and that stand in it."""
+    found = _held(F.col("__text"), F.col(pattern), match)
+    if small:
         pieces = rows.select("*", F.explode(_pieces(F.col("__text"), match, sizes)).alias("__key"))
-        return pieces.join(F.broadcast(index), "__key").where(found).select(*kept, *patterns.columns)
+        return pieces.join(F.broadcast(index), "__key").where(found).select(*kept, *own)
     rows = rows.withColumn("__row", F.monotonically_increasing_id())
     pieces = rows.select("__row", F.explode(_pieces(F.col("__text"), match, sizes)).alias("__key"))
-    met = pieces.join(index, "__key").select("__row", *patterns.columns)
-    return rows.join(met, "__row").where(found).select(*kept, *patterns.columns)
+    met = pieces.join(index, "__key").select("__row", *own)
+    return rows.join(met, "__row").where(found).select(*kept, *own)
 
 
 def tags_of(found: DataFrame, by: list[str], tag: str, place: str) -> DataFrame:

@@ -72,6 +72,23 @@ def test_plans(spark):
     assert "BroadcastHashJoin" in small
 
 
+@pytest.mark.parametrize("match", ["substring", "word"])
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_words_are_not_looked_for_in_the_text(spark, match, most):
+    """Patterns that are words are met by key alone: texts are neither searched nor moved."""
+    chosen = random.Random(3)
+    texts = [(i, " ".join("".join(chosen.choice("abcé_1") for _ in range(chosen.randint(1, 90)))
+                          for _ in range(6))) for i in range(80)] + [(80, "ab" * 100_000)]
+    words = sorted({"".join(chosen.choice("abcé_1") for _ in range(chosen.randint(1, 4))) for _ in range(200)})
+    df, patterns = frames(spark, texts, words)
+    met = find_patterns(df, patterns, "text", match=match, most_broadcast=most)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "Contains(" not in plan and "__row" not in plan
+    wanted = brute(texts, words) if match == "substring" else sorted(
+        (i, p) for i, t in texts for p in words if p in t.split(" "))
+    assert found(met) == wanted and wanted
+
+
 def test_tags_and_first_rules(spark):
     texts = spark.createDataFrame([(1, "sql python sql"), (2, "go"), (3, "none")], "id long, text string")
     rules = spark.createDataFrame([(0, "python", "P"), (1, "sql", "S"), (2, "go", "G"), (3, "sql", "S"), (1, "go", "F")],
