@@ -424,7 +424,9 @@ class JobsTable(BatchTable):
         if not self.any_day:  # a value per day of the batch; read before the scan starts
             days = rows.agg(F.collect_set("ingest_date").alias("v")).scalar()
             stored = stored.where(F.array_contains(days, F.col("ingest_date")))
-        return events.join(stored, self._key(), "left_anti")
+        # Dealt by key, however small the files are: the stored ids of some days grow with the table, and
+        # broadcast they would cross the driver with every batch.
+        return events.join(stored.hint("merge"), self._key(), "left_anti")
 
     def _laid_out(self, rows: DataFrame) -> DataFrame:
         # By time: small tables get one file a day, in large ones each file has a part of a day, and readers

@@ -81,6 +81,18 @@ def test_copies_within_and_across_batches(spark, root):
     assert stored(table) == [("a", "w"), ("b", "x"), ("c", "x")]
 
 
+@pytest.mark.parametrize("any_day", [False, True])
+def test_stored_ids_do_not_cross_the_driver(spark, root, any_day):
+    """However small their files are: they grow with the table, and each batch would send them again."""
+    table = T.init_tables(spark, root, any_day=any_day).jobs
+    table.append_batch(jobs(spark, *((str(i), 0, "x") for i in range(50))), 0)
+    rows = jobs(spark, ("1", 0, "x"), ("new", 0, "y")).withColumns(
+        {"ingest_date": utc_day(F.col("ingested_at")), "row": F.monotonically_increasing_id()})
+    unseen = table._unseen(table._one_per_event(rows), rows)
+    assert [r.event_id for r in unseen.collect()] == ["new"]
+    assert "Broadcast" not in unseen._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("any_day, kept", [(False, 2), (True, 1)])
 def test_one_id_on_two_days(spark, root, any_day, kept):
     table = T.init_tables(spark, root, any_day=any_day).jobs
