@@ -9,12 +9,14 @@ walk, and a fingerprint holds for each band the least hash over the text's segme
 again counts as another one, by its number), so that the share of equal bands tells how alike two texts are.
 
 ``KEYS`` keys of four bands each, every band in two of them, name candidates (``links``): rows that agree in
-a key. At first each key has one of its rows as hub, which differs from key to key; all rows of the key
-meet it and no other, and the pair is verified on the whole fingerprints. Rows unlike their hub meet up to 16
-others in the next round, then 256, and so on, until each has been like one, or has been one. So a group of n
-near copies makes about n pairs a key and not n * n, rows that share a key and nothing else are done in log n
-rounds, and no key is gathered in a task. Two rows that are both like a
-hub have a class in common by it and are not compared. A pair of likeness s has no key in common, and may be
+a key. Each key has one of its rows as hub, which differs from key to key; all rows of the key meet it, and the
+pair is verified on the whole fingerprints. Links make classes, and rows of one class need not meet.
+Of a key of at most ``DIRECT`` rows, then, all rows of different classes meet, and those unlike the hub. In larger
+keys very many rows may be somewhat alike, but not enough. Rows alike enough agree in 39 of 64 bands (at ``SIMILAR``),
+so they have at least two of the 27 bands in common that are rarest among the rows of such keys. There rows of
+different classes meet when they share a key and two of these bands, after all that have one of them have met a row of
+the largest class with it. So a group of n near copies makes about n pairs a key and not n * n, no link between
+classes is left out, and no key is gathered in a task. A pair of likeness s has no key in common, and may be
 missed, with a chance of about (1 - s ** 4) ** 32: 1 % at ``SIMILAR``, 0.02 % at 0.7.
 
 Null text counts as empty; the empty text's fingerprint is all zeros, equal texts have equal ones.
@@ -27,11 +29,12 @@ as their least id. Empty tables give no rows. Only id and text are looked at, wh
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -46,7 +49,8 @@ GROUP, STRETCH = 8, 2  # a band samples one step of a group, in one of two stret
 STEPS = 3 * MOST
 BATCH_CHARS = 3 << 20
 BANDS_PER_KEY, SIMILAR = 4, 0.6
-MORE_HUBS = 16  # times as many in each round
+DIRECT = 32  # rows of a key that may be compared with each other
+COMMON = 2  # of their rarest bands that rows of larger keys must have in common to be compared
 #: Bands of each key: runs of four, and every sixteenth.
 KEYS = [[*range(i, i + BANDS_PER_KEY)] for i in range(0, BANDS, BANDS_PER_KEY)] + [
     [*range(i, BANDS, BANDS // BANDS_PER_KEY)] for i in range(BANDS // BANDS_PER_KEY)]
@@ -197,67 +201,123 @@ def _verified(pairs: DataFrame, one: DataFrame, least: float) -> DataFrame:
         ("x", T.LongType()), ("y", T.LongType()), ("near", T.DoubleType())])
 
 
-def row_links(one: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """Verified links (``x`` < ``y``, ``near``) of ``one`` (row, fingerprint in bytes, each once)."""
+def _in_classes(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``classes`` (row, class) with those as one that the links ``found`` join."""
+    for c in ("x", "y"):
+        found = found.join(classes.select(F.col("row").alias(c), F.col("class").alias(f"of_{c}")), c)
+    return _renamed(classes, found.select(F.col("of_x").alias("a"), F.col("of_y").alias("b")))
+
+
+def _renamed(classes: DataFrame, joined: DataFrame) -> DataFrame:
+    return stored(classes.join(components(joined), F.col("class") == F.col("node"), "left").select(
+        "row", F.coalesce("component", "class").alias("class")), "classes")
+
+
+def _rarest_bands(one: DataFrame, rows: DataFrame, least: float) -> DataFrame:
+    """Per row the hashes of its bands that the fewest of ``rows`` have: so many that two rows alike enough have
+    ``COMMON`` of them in common. Those that no other row has are counted and left out."""
+    most = BANDS - _needed(least) + min(COMMON, _needed(least))
+    bands = F.array(*(F.xxhash64(F.lit(b), F.substring("fingerprint", 2 * b + 1, 2)) for b in range(BANDS)))
+    bands = rows.join(one, "row").select("row", F.explode(bands).alias("band"))
+    shared = bands.withColumn("n", F.count("*").over(Window.partitionBy("band"))).filter("n > 1")
+    ranked = shared.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("n", "band")))["band"].alias("bands"))
+    alone = BANDS - F.size("bands")  # the rarest, in no other row
+    return stored(ranked.select("row", F.slice("bands", F.lit(1), F.greatest(F.lit(0), most - alone)).alias(
+        "rare")), "rare")
+
+
+def _needed(least: float) -> int:
+    """Bands that rows so alike have in common."""
+    return max(1, math.ceil(least * BANDS - 1e-9))
+
+
+def _pairs_of(rows: DataFrame, by: str, met: Column) -> DataFrame:
+    """Pairs (x, y) of ``rows`` of one ``by`` for which ``met`` holds of p and q."""
+    p, q = rows.alias("p"), rows.alias("q")
+    return p.join(q, (F.col(f"p.{by}") == F.col(f"q.{by}")) & (F.col("p.row") < F.col("q.row")) & met).select(
+        F.col("p.row").alias("x"), F.col("q.row").alias("y"))
+
+
+def _undecided(parts: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the bands that rows of several classes have, with their class."""
+    rows = parts.join(classes, "row")
+    several = rows.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+    return stored(rows.join(several.filter("low <> high").select("band"), "band", "left_semi"), "parts")
+
+
+def row_links(one: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """Verified links (``x`` < ``y``, ``near``) of ``one`` (row, fingerprint in bytes, each once), and the
+    ``class`` of every row that they lead to."""
     keys = one.select("row", F.explode(_keys(F.col("fingerprint"))).alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    active = stored(keys.join(shared, "key"), "keys")
-    found, parts = [], 1
-    while True:
-        # Another order for every key and round, so that a row's hubs differ.
-        order = F.xxhash64("key", "row", F.lit(parts))
-        hubs = active.groupBy("key", F.pmod(order, F.lit(parts)).alias("part")).agg(
-            F.min_by("row", order).alias("hub")).select("key", "hub")
-        met = active.join(hubs, "key").filter("row <> hub").select(
-            "key", "row", F.least("row", "hub").alias("x"), F.greatest("row", "hub").alias("y"))
-        links = stored(_verified(met.select("x", "y").distinct(), one, least), "links")
-        found.append(links)
-        if parts == 1:  # each row met one hub of its key
-            rest = met.join(links.select("x", "y"), ["x", "y"], "left_anti").select("key", "row")
-        else:
-            hit = met.join(links.select("x", "y", F.lit(1).alias("hit")), ["x", "y"], "left")
-            rest = hit.groupBy("key", "row").agg(F.max("hit").alias("hit")).filter("hit IS NULL").select(
-                "key", "row").join(hubs.withColumnRenamed("hub", "row"), ["key", "row"], "left_anti")
-        active = stored(rest, "keys")
-        if active.isEmpty():
-            break
-        parts *= MORE_HUBS
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    keys = stored(keys.join(shared.select("key", (F.col("n") <= DIRECT).alias("few")), "key"), "keys")
+    # Another order for every key, so that a row's hubs differ.
+    hubs = keys.groupBy("key").agg(F.min_by("row", F.xxhash64("key", "row", F.lit(1))).alias("hub"))
+    met = keys.join(hubs, "key").filter("row <> hub").select(
+        "key", "row", "few", F.least("row", "hub").alias("x"), F.greatest("row", "hub").alias("y"))
+    found = [stored(_verified(met.select("x", "y").distinct(), one, least), "links")]
+    classes = _renamed(one.select("row", F.col("row").alias("class")),
+                       found[0].select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+    unlike = met.join(found[0].select("x", "y", F.lit(False).alias("unlike")), ["x", "y"], "left").select(
+        "key", "row", "few", F.coalesce("unlike", F.lit(True)).alias("unlike")).join(classes, "row")
+    several = unlike.groupBy("key").agg(
+        F.min("class").alias("low"), F.max("class").alias("high"), F.count_if("unlike").alias("n"))
+    rest = stored(unlike.join(several.filter("low <> high OR n > 1").select("key"), "key", "left_semi"), "keys")
+    apart = F.col("p.class") != F.col("q.class")
+    pairs = _pairs_of(rest.filter("few"), "key", apart | (F.col("p.unlike") & F.col("q.unlike")))
+
+    many = rest.filter("NOT few").groupBy("row").agg(F.collect_list("key").alias("keys"))
+    rare = _rarest_bands(one, many.select("row"), least)
+    parts = many.join(rare, "row").select(F.explode("rare").alias("band"), "row", "keys")
+    parts = _undecided(parts, classes)
+    sizes = classes.groupBy("class").agg(F.count("*").alias("size"))
+    hub = F.max_by(F.struct("row", "class", "keys"), F.struct("size", F.xxhash64("band", "row")))
+    hubs = parts.join(sizes, "class").groupBy("band").agg(hub.alias("hub"))
+    near = parts.join(hubs, "band").filter(
+        (F.col("class") != F.col("hub.class")) & F.arrays_overlap("keys", "hub.keys")).select(
+        F.least("row", "hub.row").alias("x"), F.greatest("row", "hub.row").alias("y"))
+    found.append(stored(_verified(pairs.unionByName(near).distinct(), one, least), "links"))
+    classes = _in_classes(classes, found[1])
+
+    pairs = _pairs_of(_undecided(parts.drop("class"), classes), "band",
+                      apart & F.arrays_overlap("p.keys", "q.keys"))
+    pairs = pairs.groupBy("x", "y").count().filter(F.col("count") >= min(COMMON, _needed(least))).select("x", "y")
+    found.append(stored(_verified(pairs, one, least), "links"))
+    classes = _in_classes(classes, found[2])
+    return found[0].unionByName(found[1]).unionByName(found[2]).distinct(), classes
 
 
 def links(prints: DataFrame, id_col: str = "doc_id", least: float = SIMILAR) -> DataFrame:
     """Verified links (``a``, ``b``, ``near``) between ids of ``prints`` (with ``fingerprint`` in bytes); rows of
     equal fingerprint stand together as their least id."""
-    one, found = _named_links(prints, id_col, least)
+    one, found, _ = _named_links(prints, id_col, least)
     for c, name in (("x", "a"), ("y", "b")):
         found = found.join(one.select(F.col("row").alias(c), F.col("same_id").alias(name)), c)
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "near")
 
 
-def _named_links(prints: DataFrame, id_col: str, least: float) -> tuple[DataFrame, DataFrame]:
+def _named_links(prints: DataFrame, id_col: str, least: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = prints.filter(F.col(id_col).isNotNull()).groupBy("fingerprint").agg(F.min(id_col).alias("same_id"))
     one = stored(rows.select(F.xxhash64("fingerprint").alias("row"), "same_id", "fingerprint"), "prints")
-    return one, stored(row_links(one, least), "links")
+    found, classes = row_links(one, least)
+    return one, stored(found, "links"), classes
 
 
 def with_neighbours(prints: DataFrame, id_col: str = "doc_id", least: float = SIMILAR) -> DataFrame:
     """``prints``, their ``fingerprint`` as bytes, with ``same_id``, the least id of the equal fingerprints;
     ``class_id``, the least id that links lead to; and the likest verified neighbour (ties: the least
     id), ``link_id`` and ``link_near``, null without links. All four are null where the id is."""
-    one, found = _named_links(prints, id_col, least)
+    one, found, classes = _named_links(prints, id_col, least)
     names = one.select("row", "same_id")
     ends = found.unionByName(found.select(F.col("y").alias("x"), F.col("x").alias("y"), "near"))
     ends = ends.join(names.select(F.col("row").alias("y"), F.col("same_id").alias("other")), "y")
     ends = ends.groupBy("x").agg(F.min(F.struct((-F.col("near")).alias("far"), "other")).alias("__link"))
-    classes = stored(components(found.select(F.col("x").alias("a"), F.col("y").alias("b"))), "classes")
-    classes = classes.withColumnRenamed("node", "row").join(names, "row")
-    least_id = classes.groupBy("component").agg(F.min("same_id").alias("class_id"))
-    classes = classes.join(least_id, "component").select("row", "class_id")
-    known = names.join(classes, "row", "left").join(ends, F.col("row") == F.col("x"), "left").select(
-        F.col("row").alias("__row"), "same_id", F.coalesce("class_id", "same_id").alias("class_id"),
+    classes = classes.join(names, "row")
+    least_id = classes.groupBy("class").agg(F.min("same_id").alias("class_id"))
+    known = classes.join(least_id, "class").join(ends, F.col("row") == F.col("x"), "left").select(
+        F.col("row").alias("__row"), "same_id", "class_id",
         F.col("__link.other").alias("link_id"), (-F.col("__link.far")).alias("link_near"))
     row = F.when(F.col(id_col).isNotNull(), F.xxhash64("fingerprint"))
     return prints.join(known, row == F.col("__row"), "left").drop("__row")

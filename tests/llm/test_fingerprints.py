@@ -173,6 +173,44 @@ def test_a_group_of_near_copies_makes_about_a_link_a_row_and_key(spark):
     assert made[2] < 2.6 * made[1] < 2.6 * 2.6 * made[0] and made[2] <= 400 * len(fp.KEYS)
 
 
+def test_a_wide_group_has_the_classes_of_all_its_pairs_without_meeting_them(spark, monkeypatch):
+    """Near copies of one text, and twice as many rows that share keys with them and with each other, and are
+    not alike enough, but for chains of rows that lead from some of them into the group."""
+    rng, rows, n = np.random.default_rng(8), [], 150
+    base = rng.integers(1, 1 << 16, fp.BANDS)
+
+    def drawn(of, bands):
+        new = of.copy()
+        at = rng.permutation(fp.BANDS)[:bands]
+        new[at] = rng.integers(1, 1 << 16, len(at))
+        return new
+
+    rows = [drawn(base, rng.integers(6, 14)) for _ in range(n)]
+    rows += [drawn(base, rng.integers(26, 38)) for _ in range(2 * n)]
+    rows += [drawn(x, 22) for x in rows[:n // 3]]
+    rows = np.unique(np.array(rows, np.uint16), axis=0)
+    of = list(range(len(rows)))
+    shared = 0
+    for i in range(1, len(rows)):
+        equal = rows[:i] == rows[i]
+        of_key = equal[:, fp.KEYS].all(axis=2).any(axis=1)
+        shared += of_key.sum()
+        for j in np.flatnonzero(of_key & (equal.mean(axis=1) >= fp.SIMILAR)).tolist():
+            low, high = sorted((of[i], of[j]))
+            if low < high:
+                of = [low if c == high else c for c in of]
+    made, verified = [], fp._verified
+
+    def counted(pairs, one, least):
+        made.append(pairs.count())
+        return verified(pairs, one, least)
+
+    monkeypatch.setattr(fp, "_verified", counted)
+    found = fp.with_neighbours(given(spark, list(enumerate(rows)))).collect()
+    assert {r.doc_id: r.class_id for r in found} == dict(enumerate(of))
+    assert 1 < len(set(of)) and shared > 3 * sum(made)
+
+
 def test_repeated_segments_count(docs):
     """A text and its tenfold repeat are unlike; so are they by edit distance."""
     texts = [r.text for r in docs.collect() if r.text and len(r.text) > 1000][:40]
